@@ -98,7 +98,7 @@ def file_date(path_col: Column | None = None) -> Column:
     c = path_col if path_col is not None else F.col("_metadata.file_path")
     last = r"^.*" + PATH_DATE_REGEX  # greedy prefix: the last date wins
     y, m, d = (F.regexp_extract(c, last, i) for i in (1, 2, 3))
-    return F.try_to_date(F.concat_ws("-", y, m, d), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
 
 def read_text_dirs(spark: SparkSession, root: str | list[str], pattern: str = "*",

@@ -1,0 +1,164 @@
+"""Trailing top-n averages, cheapest option under a limit, severity, streaks."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tessera.functions import as_of_instant
+from tessera.operators import (
+    cheapest_under_limit, choice_severity, failure_streak, option_prices, trailing_topn_avg,
+)
+
+NOW = dt.datetime(2014, 5, 1, 0, 0, 0)
+
+
+def ago(hours):
+    return NOW - dt.timedelta(hours=hours)
+
+
+PRICE_SCHEMA = "grp string, opt string, ts timestamp_ntz, value double"
+
+
+def test_lookback_start_truncates_to_seconds(spark):
+    from tessera.functions import lookback_start
+    got = spark.range(1).select(lookback_start("2014-05-01 00:00:00.750000", 7).alias("x")).first().x
+    assert got == dt.datetime(2014, 4, 30, 17, 0, 0)
+
+
+def test_as_of_defaults_to_latest_ts(spark):
+    df = spark.createDataFrame([("g", "o", ago(5), 1.0), ("g", "o", NOW, 2.0)], PRICE_SCHEMA)
+    assert as_of_instant(df, "ts").startswith("2014-05-01 00:00:00")
+
+
+def test_trailing_topn_avg(spark):
+    data = [("g", "o", ago(1), v) for v in (1.0, 5.0, 3.0)] + [("g", "o", ago(13), 100.0), ("h", "o", ago(2), 4.0)]
+    df = spark.createDataFrame(data, PRICE_SCHEMA)
+    got = rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, n=2, as_of=NOW))
+    assert got == [("g", 4.0), ("h", 4.0)]
+
+
+def test_trailing_window_start_is_inclusive(spark):
+    df = spark.createDataFrame([("g", "o", ago(12), 9.0), ("g", "o", ago(1), 1.0)], PRICE_SCHEMA)
+    got = rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, n=10, as_of=NOW))
+    assert got == [("g", 5.0)]
+
+
+def brute_price(data, grp, opt, now, hist=(12, 10), rec=(6, 2)):
+    def avg_top(hours, n):
+        lo = (now - dt.timedelta(hours=hours)).replace(microsecond=0)
+        vals = sorted((v for g, o, t, v in data if g == grp and o == opt and t >= lo), reverse=True)[:n]
+        return sum(vals) / len(vals) if vals else 0
+    return max(avg_top(*rec), avg_top(*hist))
+
+
+def test_option_prices_random_against_brute_force(spark):
+    rnd = random.Random(3)
+    data = [(rnd.choice("ab"), rnd.choice("xyz"), ago(rnd.uniform(0, 15)), round(rnd.uniform(0, 9), 2))
+            for _ in range(300)]
+    df = spark.createDataFrame(data, PRICE_SCHEMA)
+    got = {(r.grp, r.opt): r.price for r in
+           option_prices(df, "grp", "opt", "value", "ts", NOW.isoformat(sep=" ")).collect()}
+    for (g, o), p in got.items():
+        assert p == pytest.approx(brute_price(data, g, o, NOW))
+    assert len(got) == len({(g, o) for g, o, t, v in data if t >= ago(12)})
+
+
+def prefs(spark, items):
+    return spark.createDataFrame(items, "pos int, grp string, max_price double")
+
+
+def price_rows(spec):
+    """One row per (grp, opt, price): constant price within the last hour."""
+    return [(g, o, ago(0.5), p) for g, o, p in spec]
+
+
+def test_cheapest_picks_first_group_under_margin(spark):
+    df = spark.createDataFrame(price_rows([("big", "z1", 10.0), ("big", "z2", 7.0),
+                                           ("mid", "z1", 3.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "big", 8.0), (2, "mid", 10.0)])
+    # big: cheapest 7.0 is not < 8.0 * 0.8 = 6.4, so the second group wins.
+    got = [tuple(r) for r in cheapest_under_limit(df, p, "grp", "opt", "value", "ts").collect()]
+    assert got == [(2, "mid", "z1", 3.0)]
+
+
+def test_cheapest_strict_limit_and_no_row(spark):
+    df = spark.createDataFrame(price_rows([("big", "z1", 8.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "big", 10.0)])
+    assert cheapest_under_limit(df, p, "grp", "opt", "value", "ts").count() == 0
+
+
+def test_cheapest_ties_go_to_option_order(spark):
+    df = spark.createDataFrame(price_rows([("g", "zb", 1.0), ("g", "za", 1.0)]), PRICE_SCHEMA)
+    got = cheapest_under_limit(df, prefs(spark, [(1, "g", 100.0)]), "grp", "opt", "value", "ts").first()
+    assert got.opt == "za"
+
+
+def test_cheapest_no_limit_takes_first_option(spark):
+    df = spark.createDataFrame(price_rows([("big", "z1", 50.0), ("od", "zb", 1.0), ("od", "za", 9.0)]),
+                               PRICE_SCHEMA)
+    p = prefs(spark, [(1, "big", 10.0), (2, "od", None)])
+    got = [tuple(r) for r in cheapest_under_limit(df, p, "grp", "opt", "value", "ts").collect()]
+    assert got == [(2, "od", "za", 9.0)]
+
+
+def test_cheapest_exclusions_expire(spark):
+    df = spark.createDataFrame(price_rows([("g", "za", 1.0), ("g", "zb", 2.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "g", 100.0)])
+    now = as_of_instant(df, "ts")
+    latest = dt.datetime.fromisoformat(now)
+    alive = spark.createDataFrame([("za", latest - dt.timedelta(hours=2.9))], "opt string, ts timestamp_ntz")
+    dead = spark.createDataFrame([("za", latest - dt.timedelta(hours=3))], "opt string, ts timestamp_ntz")
+    assert cheapest_under_limit(df, p, "grp", "opt", "value", "ts", exclusions=alive).first().opt == "zb"
+    assert cheapest_under_limit(df, p, "grp", "opt", "value", "ts", exclusions=dead).first().opt == "za"
+    keyed = spark.createDataFrame([("other", "za", latest)], "grp string, opt string, ts timestamp_ntz")
+    assert cheapest_under_limit(df, p, "grp", "opt", "value", "ts", exclusions=keyed).first().opt == "za"
+
+
+def test_choice_severity_labels(spark):
+    df = spark.createDataFrame([(i,) for i in range(1, 6)], "pos int")
+    got = [r.severity for r in choice_severity(df, "pos").orderBy("pos").collect()]
+    assert got == [None, "WARNING", "CRITICAL", "CRITICAL", "CRITICAL"]
+    four = spark.createDataFrame([(i,) for i in range(1, 5)], "pos int")
+    got = [r.severity for r in choice_severity(four, "pos", 4).orderBy("pos").collect()]
+    assert got == [None, "WARNING", "CRITICAL", "CRITICAL"]
+
+
+def brute_streak(events, cap):
+    out = {}
+    by_key = {}
+    for eid, k, t, failed in events:
+        by_key.setdefault(k, []).append((t, eid, failed))
+    for k, evs in by_key.items():
+        c = 0
+        for t, eid, failed in sorted(evs):
+            if failed:
+                c += 1
+                out[eid] = c
+                if cap and c >= cap:
+                    c = 0
+            else:
+                c = 0
+    return out
+
+
+@pytest.mark.parametrize("cap,bucket_hours", [(2, 24.0), (3, 1.0), (None, 0.25)])
+def test_failure_streak_random_against_brute_force(spark, cap, bucket_hours):
+    rnd = random.Random(11)
+    events = [(i, rnd.choice(["hot"] * 5 + ["a", "b"]), ago(rnd.uniform(0, 30)), rnd.random() < 0.6)
+              for i in range(500)]
+    df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap,
+                         bucket_hours=bucket_hours, keep=["id"])
+    got = {r.id: r.streak for r in out.collect()}
+    assert got == brute_streak(events, cap)
+
+
+def test_failure_streak_equal_times_use_tiebreak(spark):
+    t = ago(1)
+    events = [(1, "u", t, True), (2, "u", t, True), (3, "u", t, False), (4, "u", t, True)]
+    df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
+    got = rows(failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"]))
+    assert got == [(1, "u", 1), (2, "u", 2), (4, "u", 1)]
