@@ -1,0 +1,24 @@
+"""Input spreading for CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_narrow_input(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``target`` tasks when the input has fewer splits.
+
+    Per-row text work (regex find-all over whole documents) runs in the scan's
+    tasks. A table stored as one large row group is read by one task however
+    many cores there are; spreading its rows first lets every core tokenise.
+    On a cluster reading many files the scan already has at least as many
+    splits as cores, and the input is left as it is: no extra shuffle.
+    ``target`` defaults to the cluster's default parallelism. Meant for a
+    DataFrame read straight from files: counting the splits of a plan with a
+    shuffle would run its earlier stages.
+    """
+    sc = df.sparkSession.sparkContext
+    target = target or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -78,14 +78,15 @@ def anagram_groups(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPA
     line breaks separate tokens as well. Case-sensitive. Members are joined
     by one space in ascending order.
 
-    ``collect_set`` aggregates partially per task, so a token repeated many
-    times is sent once per task, and the set of a key only ever holds
-    distinct tokens (bounded by the vocabulary, not by occurrences). An empty
-    token is alone under its key and never forms a group.
+    Tokens are made distinct first (partial aggregate per task, then one
+    shuffle on the token), so the anagram key is computed once per distinct
+    token, and a key's list only ever holds distinct tokens: bounded by the
+    vocabulary, not by occurrences. An empty token is alone under its key
+    and never forms a group.
     """
     seps = sep + (LINE_SEPARATOR if whole_documents else "")
     splitter = "[" + "".join("\\" + ch if ch in "\\^]-[" else ch for ch in seps) + "]"
-    tokens = df.select(F.explode(F.split(F.col(text_col), splitter)).alias("w"))
+    tokens = df.select(F.explode(F.split(F.col(text_col), splitter)).alias("w")).distinct()
     grouped = (tokens.groupBy(anagram_key("w").alias("k"))
-               .agg(F.collect_set("w").alias("ws")))
+               .agg(F.collect_list("w").alias("ws")))
     return grouped.where(F.size("ws") > 1).select(joined_sorted("ws").alias("words"))

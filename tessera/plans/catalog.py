@@ -18,6 +18,7 @@ from tessera.operators import (
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
     trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk,
 )
+from tessera.operators.partitioning import spread_narrow_input
 from tessera.session import scratch_root
 from tessera.sources import table
 from tessera.streaming import run_word_count_stream
@@ -33,16 +34,21 @@ GUESSED_SEGMENT = "AUTOMOBILE"
 ROUND_DIGITS = 6
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    """The document texts, spread over all cores when the file has few splits."""
+    return spread_narrow_input(table(spark, d, "documents").select("text"))
+
+
 def q_line_count(spark: SparkSession, d: str) -> DataFrame:
     return line_count(table(spark, d, "documents"), "text", whole_documents=True)
 
 
 def q_word_count(spark: SparkSession, d: str) -> DataFrame:
-    return word_count(table(spark, d, "documents"), "text")
+    return word_count(documents(spark, d), "text")
 
 
 def q_word_count_topk(spark: SparkSession, d: str) -> DataFrame:
-    return word_count_topk(table(spark, d, "documents"), TOP_WORDS, "text")
+    return word_count_topk(documents(spark, d), TOP_WORDS, "text")
 
 
 def q_value_share(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +66,7 @@ def q_topk_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_anagram_groups(spark: SparkSession, d: str) -> DataFrame:
-    return anagram_groups(table(spark, d, "documents"), "text", whole_documents=True)
+    return anagram_groups(documents(spark, d), "text", whole_documents=True)
 
 
 def q_pair_digest_match(spark: SparkSession, d: str) -> DataFrame:
@@ -111,13 +117,13 @@ def q_failure_streak(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Documents written once as text files, then counted by the stream."""
+    """The documents table read as a file stream and counted by the stream."""
     root = scratch_root(spark)
-    src = f"{root}/source"
-    (table(spark, d, "documents").select("text").repartition(8)
-     .write.mode("overwrite").text(src))
-    return run_word_count_stream(spark, src, f"{root}/sink", f"{root}/checkpoint",
-                                 max_files_per_trigger=2)
+    schema = table(spark, d, "documents").schema
+    return run_word_count_stream(
+        spark, d, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
+        schema=schema, options={"pathGlobFilter": "documents.parquet"},
+        spread=spark.sparkContext.defaultParallelism)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

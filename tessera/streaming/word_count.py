@@ -1,42 +1,60 @@
-"""Word count as a Structured Streaming query over a folder of text files.
+"""Word count as a Structured Streaming query over a folder of files.
 
-New files in the source folder are read as they arrive, tokenised with the
-same expressions as the batch job, and counted into streaming state; every
-micro-batch writes the complete, current count table to a Parquet folder.
-State and progress live in a checkpoint folder on shared storage, so a
-restarted query (or a lost executor) resumes where it stopped.
+New files in the source folder are read as they arrive (text lines, or a
+text column of Parquet/JSON/... files), tokenised with the same expressions
+as the batch job, and counted into streaming state; every micro-batch
+writes the complete, current count table to a Parquet folder. State and
+progress live in a checkpoint folder on shared storage, so a restarted
+query (or a lost executor) resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tessera.functions.text import WORD_PATTERN
 from tessera.operators.text import word_count
 
 
-def word_count_stream_df(spark: SparkSession, source_dir: str,
+def word_count_stream_df(spark: SparkSession, source_dir: str, fmt: str = "text",
+                         text_col: str = "value", schema: StructType | str | None = None,
+                         options: dict[str, str] | None = None,
                          max_files_per_trigger: int | None = None,
+                         spread: int | None = None,
                          pattern: str = WORD_PATTERN) -> DataFrame:
-    """The streaming ``(word, cnt)`` DataFrame (not started)."""
-    reader = spark.readStream.format("text")
+    """The streaming ``(word, cnt)`` DataFrame (not started).
+
+    ``fmt``/``schema``/``options`` describe the file source (a file stream
+    needs a schema unless it is text). ``spread`` round-robins each batch
+    over that many tasks before tokenising, for batches made of a few large
+    files; leave it unset when batches already span many splits.
+    """
+    reader = spark.readStream.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return word_count(reader.load(source_dir), "value", pattern)
+    lines = reader.load(source_dir).select(text_col)
+    if spread:
+        lines = lines.repartition(spread)
+    return word_count(lines, text_col, pattern)
 
 
 def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                             checkpoint_dir: str, available_now: bool = True,
-                            max_files_per_trigger: int | None = None,
-                            processing_time: str | None = None) -> StreamingQuery:
+                            processing_time: str | None = None, **source) -> StreamingQuery:
     """Start the query; each micro-batch replaces ``sink_dir`` with the full counts.
 
     Complete output mode keeps one state row per distinct word (bounded by
     the vocabulary). ``foreachBatch`` overwrites the Parquet folder with the
     batch's complete result, which makes a replayed batch harmless.
+    ``source`` takes the keyword arguments of ``word_count_stream_df``.
     """
-    counts = word_count_stream_df(spark, source_dir, max_files_per_trigger)
+    counts = word_count_stream_df(spark, source_dir, **source)
 
     def write_snapshot(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink_dir)
@@ -52,12 +70,14 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
 
 
 def run_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
-                          checkpoint_dir: str, max_files_per_trigger: int | None = None,
-                          timeout_sec: float | None = None) -> DataFrame:
+                          checkpoint_dir: str, timeout_sec: float | None = None,
+                          **source) -> DataFrame:
     """Process every file present now, then return the count table."""
-    q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, True,
-                                max_files_per_trigger)
-    q.awaitTermination(timeout_sec) if timeout_sec else q.awaitTermination()
+    q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, True, **source)
+    if timeout_sec:
+        q.awaitTermination(timeout_sec)
+    else:
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"word count stream failed: {q.exception()}")
     return spark.read.parquet(sink_dir)

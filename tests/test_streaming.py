@@ -24,3 +24,13 @@ def test_stream_resumes_from_checkpoint(spark, scratch):
     lines_frame(spark, VERSE[3:]).coalesce(1).write.mode("append").text(f"{src}")
     second = run_word_count_stream(spark, src, sink, ckpt)
     assert dict(second.collect()) == VERSE_COUNTS
+
+
+def test_stream_over_parquet_table(spark, scratch):
+    docs = spark.createDataFrame([(1, VERSE[1]), (2, VERSE[2]), (3, None)], "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{scratch}/tables/documents.parquet")
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{scratch}/tables/other.parquet")
+    out = run_word_count_stream(spark, f"{scratch}/tables/documents.parquet", f"{scratch}/sink",
+                                f"{scratch}/ckpt", fmt="parquet", text_col="text",
+                                schema=docs.schema, spread=4)
+    assert rows(out) == rows(word_count(docs, "text"))
