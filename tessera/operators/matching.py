@@ -37,9 +37,16 @@ def _epoch_micros(ts: Column, dtype: str) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, ts)
 
 
+def floor_div(a: Column, b: int) -> Column:
+    """Integer floor division, also for negative ``a``: ``a - pmod(a, b)`` is a
+    multiple of ``b``, so the quotient is exact (for |a| < 2^53, e.g. any
+    epoch-microsecond time)."""
+    return (a - F.pmod(a, F.lit(b))).cast("bigint") / F.lit(b)
+
+
 def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
                 ttl_hours: float = 3.0, excl_key: str | None = None,
-                excl_ts: str | None = None) -> DataFrame:
+                excl_ts: str | None = None, bucket_hours: float | None = None) -> DataFrame:
     """Candidate rows not covered by an exclusion of the same key.
 
     A candidate at time t is dropped when an exclusion of its key exists at
@@ -47,18 +54,24 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
     Output: the candidate rows unchanged (all their columns).
 
     No candidate is ever paired with every exclusion of its key. Time is cut
-    into buckets of ``ttl``; only the latest exclusion at or before t
-    matters, and it lies in t's bucket or the one before. Candidates and
-    exclusions are unioned and sorted per (key, bucket), a running maximum
-    gives the latest exclusion so far in the bucket, and one row per
-    (key, bucket) carries the latest exclusion of the previous bucket. A key
-    holding a third of all rows is thus spread over its time buckets, and
-    the work is a sort, not a product. Null keys or times never exclude.
+    into buckets (``ttl`` wide by default); only the latest exclusion at or before t
+    matters, and it lies in t's bucket or one of the ``ceil(ttl / bucket)``
+    buckets before. Candidates and exclusions are unioned and sorted per
+    (key, bucket), a running maximum gives the latest exclusion so far in
+    the bucket, and one row per (key, bucket) carries the latest exclusion
+    of the earlier buckets in reach. A key holding a third of all rows is
+    thus spread over its time buckets (``bucket_hours`` below ``ttl_hours``
+    splits it further), and the work is a sort, not a product. Null keys or
+    times never exclude.
     """
     excl_key = excl_key or key
     excl_ts = excl_ts or ts
     dtype = candidates.schema[ts].dataType.simpleString()
     ttl_us = int(round(ttl_hours * 3600 * 1_000_000))
+    width_us = int(round((bucket_hours or ttl_hours) * 3600 * 1_000_000))
+    if not 0 < width_us <= ttl_us:
+        raise ValueError("bucket_hours must be positive and at most ttl_hours")
+    reach = -(-ttl_us // width_us)  # earlier buckets an exclusion can reach from
     cand_cols = candidates.columns
 
     cand = (candidates
@@ -69,7 +82,7 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
            .select(F.col(excl_key).alias("_k"), _epoch_micros(F.col(excl_ts).cast(dtype), dtype).alias("_us"))
            .where(F.col("_k").isNotNull() & F.col("_us").isNotNull())
            .withColumn("_e", F.lit(1)))
-    bucket = F.floor(F.col("_us") / F.lit(ttl_us))
+    bucket = floor_div(F.col("_us"), width_us).cast("bigint")
 
     both = cand.unionByName(exc, allowMissingColumns=True).withColumn("_b", bucket)
     w = (Window.partitionBy("_k", "_b").orderBy(F.col("_us").asc_nulls_first(), F.col("_e").desc())
@@ -77,8 +90,10 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
     last_in_bucket = F.max(F.when(F.col("_e") == 1, F.col("_us"))).over(w)
     swept = both.withColumn("_last", last_in_bucket).where(F.col("_e") == 0)
 
-    prev = (exc.withColumn("_b", bucket + 1)
-            .groupBy("_k", "_b").agg(F.max("_us").alias("_prev")))
+    per_bucket = exc.groupBy("_k", bucket.alias("_eb")).agg(F.max("_us").alias("_m"))
+    prev = (per_bucket
+            .select("_k", "_m", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("_d"), "_eb")
+            .groupBy("_k", (F.col("_eb") + F.col("_d")).alias("_b")).agg(F.max("_m").alias("_prev")))
     joined = swept.join(prev, ["_k", "_b"], "left")
     covered = (((F.col("_last").isNotNull()) & (F.col("_us") < F.col("_last") + ttl_us))
                | ((F.col("_prev").isNotNull()) & (F.col("_us") < F.col("_prev") + ttl_us)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.time import as_of_instant, instant_literal, lookback_start, ts_type
-from tessera.operators.matching import _epoch_micros, active_at
+from tessera.operators.matching import _epoch_micros, active_at, floor_div
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -171,7 +171,7 @@ def failure_streak(events: DataFrame, key: str, ts: str, failed: Column,
     bucket_us = int(round(bucket_hours * 3600 * 1_000_000))
     order = [F.col(ts).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
     rows = (events.select(*dict.fromkeys([*keep, key, ts, *order_by]), failed.alias("_f"))
-            .withColumn("_b", F.coalesce(F.floor(_epoch_micros(F.col(ts), dtype) / F.lit(bucket_us)),
+            .withColumn("_b", F.coalesce(floor_div(_epoch_micros(F.col(ts), dtype), bucket_us).cast("bigint"),
                                          F.lit(-(2 ** 62)).cast("bigint"))))
     wl = Window.partitionBy(key, "_b").orderBy(*order)
     succ_idx = F.when(~F.col("_f"), F.col("_li"))

@@ -78,9 +78,16 @@ def test_ttl_exclude_random_against_brute_force(spark):
     excl = [(rnd.choice(keys), h(rnd.uniform(0, 40))) for _ in range(60)]
     c = spark.createDataFrame(cands, "id int, k string, ts timestamp_ntz")
     e = spark.createDataFrame(excl, "k string, ts timestamp_ntz")
-    for ttl in (0.5, 3, 7.25):
-        got = sorted(r.id for r in ttl_exclude(c, e, "k", "ts", ttl).collect())
-        assert got == brute_ttl(cands, excl, dt.timedelta(hours=ttl)), ttl
+    for ttl, width in ((0.5, None), (3, None), (7.25, None), (3, 1), (3, 0.7), (2, 2)):
+        got = sorted(r.id for r in ttl_exclude(c, e, "k", "ts", ttl, bucket_hours=width).collect())
+        assert got == brute_ttl(cands, excl, dt.timedelta(hours=ttl)), (ttl, width)
+
+
+def test_floor_div_negative(spark):
+    from pyspark.sql import functions as F
+    from tessera.operators.matching import floor_div
+    df = spark.createDataFrame([(-11,), (-10,), (-1,), (0,), (9,), (10,)], "a long")
+    assert [r[0] for r in df.select(floor_div(F.col("a"), 10).cast("long")).collect()] == [-2, -1, -1, 0, 0, 1]
 
 
 def test_ttl_exclude_keeps_candidate_columns(spark):
