@@ -20,7 +20,8 @@ def line_count(df: DataFrame, text_col: str = "value", whole_documents: bool = F
     the lines. A null text counts no line.
     """
     if whole_documents:
-        n = F.sum(F.coalesce(F.size(lines_of(text_col)), F.lit(0)).cast("bigint"))
+        per_row = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines_of(text_col)))
+        n = F.sum(per_row.cast("bigint"))
         return df.agg(F.coalesce(n, F.lit(0).cast("bigint")).alias("n_lines"))
     return df.agg(F.count(F.lit(1)).alias("n_lines"))
 

@@ -123,7 +123,7 @@ def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
     return run_word_count_stream(
         spark, d, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
         schema=schema, options={"pathGlobFilter": "documents.parquet"},
-        spread=spark.sparkContext.defaultParallelism)
+        spread=2 * spark.sparkContext.defaultParallelism)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,5 +1,6 @@
 from tessera.streaming.word_count import (
-    run_word_count_stream, start_word_count_stream, word_count_stream_df,
+    read_word_counts, run_word_count_stream, start_word_count_stream, word_count_stream_df,
 )
 
-__all__ = ["run_word_count_stream", "start_word_count_stream", "word_count_stream_df"]
+__all__ = ["read_word_counts", "run_word_count_stream", "start_word_count_stream",
+           "word_count_stream_df"]

@@ -2,15 +2,17 @@
 
 New files in the source folder are read as they arrive (text lines, or a
 text column of Parquet/JSON/... files), tokenised with the same expressions
-as the batch job, and counted into streaming state; every micro-batch
-writes the complete, current count table to a Parquet folder. State and
+as the batch job, and counted into streaming state. State and
 progress live in a checkpoint folder on shared storage, so a restarted
-query (or a lost executor) resumes where it stopped.
+query (or a lost executor) resumes where it stopped. Each micro-batch
+appends the changed counts (update mode) or rewrites the whole table
+(complete mode) in a Parquet folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -45,23 +47,33 @@ def word_count_stream_df(spark: SparkSession, source_dir: str, fmt: str = "text"
 
 
 def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
-                            checkpoint_dir: str, available_now: bool = True,
-                            processing_time: str | None = None, **source) -> StreamingQuery:
-    """Start the query; each micro-batch replaces ``sink_dir`` with the full counts.
+                            checkpoint_dir: str, output_mode: str = "update",
+                            available_now: bool = True, processing_time: str | None = None,
+                            **source) -> StreamingQuery:
+    """Start the query, writing each micro-batch to ``sink_dir`` through ``foreachBatch``.
 
-    Complete output mode keeps one state row per distinct word (bounded by
-    the vocabulary). ``foreachBatch`` overwrites the Parquet folder with the
-    batch's complete result, which makes a replayed batch harmless.
+    ``update`` (default): a batch appends only the words whose count changed,
+    tagged with the batch id; ``read_word_counts`` keeps each word's latest
+    row. Write cost follows the batch, not the vocabulary. ``complete``: a
+    batch overwrites the folder with the whole count table. Either way a
+    replayed batch rewrites the same values, so replays are harmless. State
+    holds one row per distinct word (bounded by the vocabulary).
     ``source`` takes the keyword arguments of ``word_count_stream_df``.
     """
+    if output_mode not in ("update", "complete"):
+        raise ValueError("output_mode must be 'update' or 'complete'")
     counts = word_count_stream_df(spark, source_dir, **source)
 
-    def write_snapshot(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink_dir)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if output_mode == "complete":
+            batch.write.mode("overwrite").parquet(sink_dir)
+        else:
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+             .write.mode("append").parquet(sink_dir))
 
-    writer = (counts.writeStream.outputMode("complete")
+    writer = (counts.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint_dir)
-              .foreachBatch(write_snapshot))
+              .foreachBatch(write_batch))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -69,15 +81,29 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     return writer.start()
 
 
+def read_word_counts(spark: SparkSession, sink_dir: str, output_mode: str = "update") -> DataFrame:
+    """The current ``(word, cnt)`` table from a sink folder.
+
+    In update mode each word's row of the highest batch id wins (one
+    aggregate with partial aggregation; a replayed batch only repeats equal
+    rows).
+    """
+    df = spark.read.parquet(sink_dir)
+    if output_mode == "complete":
+        return df
+    return df.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
+
+
 def run_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
-                          checkpoint_dir: str, timeout_sec: float | None = None,
-                          **source) -> DataFrame:
+                          checkpoint_dir: str, output_mode: str = "update",
+                          timeout_sec: float | None = None, **source) -> DataFrame:
     """Process every file present now, then return the count table."""
-    q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, True, **source)
+    q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, output_mode,
+                                True, **source)
     if timeout_sec:
         q.awaitTermination(timeout_sec)
     else:
         q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"word count stream failed: {q.exception()}")
-    return spark.read.parquet(sink_dir)
+    return read_word_counts(spark, sink_dir, output_mode)

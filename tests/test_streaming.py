@@ -34,3 +34,12 @@ def test_stream_over_parquet_table(spark, scratch):
                                 f"{scratch}/ckpt", fmt="parquet", text_col="text",
                                 schema=docs.schema, spread=4)
     assert rows(out) == rows(word_count(docs, "text"))
+
+
+def test_complete_mode_equals_update_mode(spark, scratch):
+    src = f"{scratch}/src"
+    lines_frame(spark, VERSE).repartition(3).write.text(src)
+    upd = run_word_count_stream(spark, src, f"{scratch}/u", f"{scratch}/uc", max_files_per_trigger=1)
+    full = run_word_count_stream(spark, src, f"{scratch}/c", f"{scratch}/cc", output_mode="complete",
+                                 max_files_per_trigger=1)
+    assert rows(upd) == rows(full) == sorted(VERSE_COUNTS.items())
