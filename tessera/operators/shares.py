@@ -74,3 +74,9 @@ def affected_share(status: DataFrame, address: DataFrame, status_id: str, status
     per_addr = flagged.groupBy("_addr").agg(F.bool_or(F.coalesce("_hit", F.lit(False))).alias("hit"))
     out = per_addr.agg(F.count_if("hit").alias("n_affected"), F.count(F.lit(1)).alias("n_total"))
     return out.select("n_affected", "n_total", _ratio(F.col("n_affected"), F.col("n_total")).alias("share"))
+
+
+def format_share_lines(df: DataFrame, key: str, cnt: str = "cnt", share: str = "share") -> DataFrame:
+    """Text form of key/count/share rows: ``<key> <count> <share>``."""
+    return df.select(F.format_string("%s %d %s", F.col(key), F.col(cnt),
+                                     F.col(share).cast("string")).alias("line"))

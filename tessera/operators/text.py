@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import (
     FIELD_SEPARATOR, LINE_SEPARATOR, WORD_PATTERN, anagram_key, joined_sorted,
-    lines_of,
+    lines_of, split_fields,
 )
 
 
@@ -85,9 +85,13 @@ def anagram_groups(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPA
     vocabulary, not by occurrences. An empty token is alone under its key
     and never forms a group.
     """
-    seps = sep + (LINE_SEPARATOR if whole_documents else "")
-    splitter = "[" + "".join("\\" + ch if ch in "\\^]-[" else ch for ch in seps) + "]"
-    tokens = df.select(F.explode(F.split(F.col(text_col), splitter)).alias("w")).distinct()
+    text = F.col(text_col)
+    if whole_documents:
+        # a line break separates tokens like ``sep`` does: map it onto ``sep``
+        # so the split stays on one literal character (no regex engine)
+        text = F.translate(text, LINE_SEPARATOR, sep) if len(sep) == 1 else F.replace(
+            text, F.lit(LINE_SEPARATOR), F.lit(sep))
+    tokens = df.select(F.explode(split_fields(text, sep)).alias("w")).distinct()
     grouped = (tokens.groupBy(anagram_key("w").alias("k"))
                .agg(F.collect_list("w").alias("ws")))
     return grouped.where(F.size("ws") > 1).select(joined_sorted("ws").alias("words"))

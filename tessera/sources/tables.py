@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import lines_of
+from tessera.functions.text import FIELD_SEPARATOR, field, lines_of, split_fields
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,3 +24,16 @@ def document_lines(docs: DataFrame, text_col: str = "text",
 def lines_frame(spark: SparkSession, lines: list[str]) -> DataFrame:
     """A small in-memory list of lines as a ``value`` table (fixtures)."""
     return spark.createDataFrame([(line,) for line in lines], "value string")
+
+
+def fields_table(lines: DataFrame, names: list[str], text_col: str = "value",
+                 sep: str = FIELD_SEPARATOR, strict: bool = True) -> DataFrame:
+    """Named columns from the separated fields of each line.
+
+    ``names[i]`` is field ``i``; a name of ``None`` skips that field. With
+    ``strict`` a line with too few fields raises (like positional access on
+    the JVM); otherwise its missing fields are null. Extra fields are
+    ignored. The split is computed once per line.
+    """
+    parts = lines.select(split_fields(text_col, sep).alias("_p"))
+    return parts.select(*[field("_p", i, strict).alias(n) for i, n in enumerate(names) if n])

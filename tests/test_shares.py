@@ -4,8 +4,8 @@ import pytest
 
 from conftest import rows
 from tessera.functions import field, split_fields
-from tessera.operators import affected_share, topk_share, value_share
-from tessera.sources import lines_frame
+from tessera.operators import affected_share, format_share_lines, topk_share, value_share
+from tessera.sources import fields_table, lines_frame
 
 # Fixture lines "<id> <page> <status>" (status log 1).
 STATUS_LOG_1 = [
@@ -31,9 +31,7 @@ PAGE_LOG = [
 
 
 def parse(spark, lines, names):
-    parts = split_fields("value")
-    df = lines_frame(spark, lines).select(parts.alias("p"))
-    return df.select(*[field("p", i).alias(n) for i, n in enumerate(names)])
+    return fields_table(lines_frame(spark, lines), names)
 
 
 def test_value_share_status_log(spark):
@@ -95,3 +93,15 @@ def test_topk_share_counts_null_keys_in_total(spark):
     df = spark.createDataFrame([("x",), ("x",), (None,), ("y",)], "k string")
     got = rows(topk_share(df, "k", 1))
     assert got == [("x", 2, 0.5)]
+
+
+def test_fields_table_skips_and_permissive(spark):
+    lines = lines_frame(spark, ["1 /a 200", "2 /b"])
+    got = rows(fields_table(lines, ["id", None, "status"], strict=False))
+    assert got == sorted([("1", "200"), ("2", None)], key=str)
+
+
+def test_share_lines(spark):
+    log = parse(spark, PAGE_LOG, ["id", "page", "status"])
+    first = format_share_lines(topk_share(log, "page", 1), "page").first().line
+    assert first == "/comprar 3 0.25"
