@@ -4,21 +4,62 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_DEFAULT_SPLIT = 128 * 1024 * 1024
+
+
+def _size_conf(value: str | None) -> int:
+    """A byte size setting such as ``134217728b``, ``128m`` or ``1g``."""
+    if not value:
+        return _DEFAULT_SPLIT
+    v = value.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb"):
+        if v.endswith(suffix):
+            v = v[:-1]
+    if v and v[-1] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(v)
+
+
+def _bytes_of(df: DataFrame, files: list[str]) -> int:
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def is_narrow_input(df: DataFrame) -> bool:
+    """True when a file-based DataFrame is smaller than one full split per core.
+
+    Spark cuts files into splits of up to ``spark.sql.files.maxPartitionBytes``,
+    but a Parquet split holds whole row groups: an input of few files and
+    less than one full split per core may be read by a single task. A large
+    input (as many files as cores, or a full-size split per core) is left
+    alone. Only file metadata is consulted (one status call per file, and
+    only when there are fewer files than cores).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
+        return False
+    max_split = _size_conf(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", None))
+    return _bytes_of(df, files) < cores * max_split
+
 
 def spread_narrow_input(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``target`` tasks when the input has fewer splits.
+    """Round-robin the rows over ``target`` tasks when the input is narrow.
 
     Per-row text work (regex find-all over whole documents) runs in the scan's
     tasks. A table stored as one large row group is read by one task however
     many cores there are; spreading its rows first lets every core tokenise.
-    On a cluster reading many files the scan already has at least as many
-    splits as cores, and the input is left as it is: no extra shuffle.
-    ``target`` defaults to twice the cluster's default parallelism: texts
-    differ widely in length, and smaller slices even out the tasks. Meant
-    for a DataFrame read straight from files: counting the splits of a plan
-    with a shuffle would run its earlier stages.
+    On a cluster reading many files, or files of at least one full split per
+    core, the input is left as it is: no extra shuffle. ``target`` defaults
+    to twice the default parallelism: texts differ widely in length, and
+    smaller slices even out the tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(target or 2 * cores)
+    if is_narrow_input(df):
+        return df.repartition(target or 2 * df.sparkSession.sparkContext.defaultParallelism)
     return df

@@ -99,3 +99,15 @@ def test_topk_is_prefix_of_full_sort(spark, k):
     full = word_count(docs, "text").orderBy(F.desc("cnt"), F.desc("word")).collect()
     top = word_count_topk(docs, k, "text").collect()
     assert [(r.word, r.cnt) for r in top] == [(r.word, r.cnt) for r in full[:k]]
+
+
+def test_narrow_input_detection(spark, scratch):
+    from tessera.operators.partitioning import _size_conf, is_narrow_input, spread_narrow_input
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert is_narrow_input(docs)
+    assert spread_narrow_input(docs, 5).rdd.getNumPartitions() == 5
+    many = f"{scratch}/many"
+    spark.range(64).repartition(32).write.parquet(many)
+    assert not is_narrow_input(spark.read.parquet(many))
+    assert _size_conf("134217728b") == _size_conf("128m") == 128 * 1024 * 1024
+    assert _size_conf("1g") == 1 << 30
