@@ -78,8 +78,9 @@ def pair_digest(a: str | Column, b: str | Column, sep: str = PAIR_SEPARATOR) ->
 
 
 def joined_sorted(values: str | Column, sep: str = GROUP_SEPARATOR) -> Column:
-    """Members of an array joined in ascending order."""
-    return F.concat_ws(sep, F.array_sort(_col(values)))
+    """Members of an array joined in ascending order (``sort_array``: a
+    native sort, where ``array_sort`` would run a comparator lambda)."""
+    return F.concat_ws(sep, F.sort_array(_col(values)))
 
 
 def _regex_quote(s: str) -> str:
