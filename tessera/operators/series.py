@@ -156,16 +156,20 @@ def failure_streak(events: DataFrame, key: str, ts: str, failed: Column,
     """Consecutive-failure counter per key, reported on each failing row.
 
     Rows of a key are taken in ``(ts, *order_by)`` order. The counter goes
-    up by one per failure and back to 0 on a success; with ``cap`` it also
-    restarts after reaching ``cap`` (values 1..cap), without it it just
-    counts. Output: ``keep`` columns, ``key`` and ``streak`` (BIGINT) for
-    the failing rows.
-
-    Gaps and islands without one task per key: rows are numbered inside
-    (key, time bucket) partitions; one row per bucket carries its size and
-    last success, a running sum over the buckets of a key turns local
-    numbers into global ones. A key holding a third of all rows is split
-    over its buckets; only the small per-bucket table is windowed per key.
+    up by one per failure (``failed`` true) and back to 0 on a success
+    (``failed`` false); a row whose outcome is null changes nothing. With
+    ``cap`` the counter also restarts after reaching ``cap`` (values
+    1..cap); without it it just counts. Output: ``keep`` columns, ``key``
+    and ``streak`` (BIGINT) for the failing rows.
+
+    The counter before the cap is the number of failures since the last
+    success. It is computed without one task per key: inside each
+    (key, time bucket) partition a running count of failures gives every
+    row its local count and the count at the latest success; one row per
+    bucket carries its failure total and the count at its last success, and
+    a running sum over the buckets of a key turns local counts into global
+    ones. A key holding a third of all rows is split over its buckets; only
+    the small per-bucket table is windowed per key.
     """
     dtype = ts_type(events, ts)
     bucket_us = int(round(bucket_hours * 3600 * 1_000_000))
@@ -173,21 +177,26 @@ def failure_streak(events: DataFrame, key: str, ts: str, failed: Column,
     rows = (events.select(*dict.fromkeys([*keep, key, ts, *order_by]), failed.alias("_f"))
             .withColumn("_b", F.coalesce(floor_div(_epoch_micros(F.col(ts), dtype), bucket_us).cast("bigint"),
                                          F.lit(-(2 ** 62)).cast("bigint"))))
-    wl = Window.partitionBy(key, "_b").orderBy(*order)
-    succ_idx = F.when(~F.col("_f"), F.col("_li"))
-    local = (rows.withColumn("_li", F.row_number().over(wl).cast("bigint"))
-             .withColumn("_ls", F.max(succ_idx).over(wl.rowsBetween(Window.unboundedPreceding,
-                                                                   Window.currentRow))))
-    per_bucket = local.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"), F.max(succ_idx).alias("_bs"))
+    running = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                         Window.currentRow)
+    is_fail = F.coalesce(F.col("_f"), F.lit(False))
+    is_success = F.coalesce(~F.col("_f"), F.lit(False))
+    # failures so far in the bucket; its value at a success row (the count
+    # never decreases, so the latest success holds the running maximum)
+    at_success = F.when(is_success, F.col("_lf"))
+    local = (rows.withColumn("_lf", F.sum(is_fail.cast("bigint")).over(running))
+             .withColumn("_ls", F.max(at_success).over(running)))
+    per_bucket = local.groupBy(key, "_b").agg(F.sum(is_fail.cast("bigint")).alias("_nf"),
+                                              F.max(at_success).alias("_bs"))
     wb = Window.partitionBy(key).orderBy("_b")
     offsets = (per_bucket
-               .withColumn("_off", F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding,
-                                                                   Window.currentRow)) - F.col("_n"))
+               .withColumn("_off", F.sum("_nf").over(wb.rowsBetween(Window.unboundedPreceding,
+                                                                    Window.currentRow)) - F.col("_nf"))
                .withColumn("_prev", F.max(F.col("_off") + F.col("_bs"))
                            .over(wb.rowsBetween(Window.unboundedPreceding, -1)))
                .select(key, "_b", "_off", "_prev"))
-    fails = local.where(F.col("_f")).join(offsets, [key, "_b"])
-    last_success = F.coalesce(F.col("_off") + F.col("_ls"), F.col("_prev"), F.lit(0).cast("bigint"))
-    run = F.col("_off") + F.col("_li") - last_success
+    fails = local.where(is_fail).join(offsets, [key, "_b"])
+    at_last_success = F.coalesce(F.col("_off") + F.col("_ls"), F.col("_prev"), F.lit(0).cast("bigint"))
+    run = F.col("_off") + F.col("_lf") - at_last_success
     streak = ((run - 1) % cap + 1) if cap else run
     return fails.select(*dict.fromkeys([*keep, key]), streak.cast("bigint").alias("streak"))

@@ -162,3 +162,11 @@ def test_failure_streak_equal_times_use_tiebreak(spark):
     df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
     got = rows(failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"]))
     assert got == [(1, "u", 1), (2, "u", 2), (4, "u", 1)]
+
+
+def test_failure_streak_unknown_outcome_changes_nothing(spark):
+    t = ago(1)
+    events = [(1, "u", t, True), (2, "u", t, None), (3, "u", t, True), (4, "u", t, False), (5, "u", t, True)]
+    df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
+    got = rows(failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"]))
+    assert got == [(1, "u", 1), (3, "u", 2), (5, "u", 1)]
