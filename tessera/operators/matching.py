@@ -90,10 +90,10 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
     last_in_bucket = F.max(F.when(F.col("_e") == 1, F.col("_us"))).over(w)
     swept = both.withColumn("_last", last_in_bucket).where(F.col("_e") == 0)
 
-    per_bucket = exc.groupBy("_k", bucket.alias("_eb")).agg(F.max("_us").alias("_m"))
-    prev = (per_bucket
-            .select("_k", "_m", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("_d"), "_eb")
-            .groupBy("_k", (F.col("_eb") + F.col("_d")).alias("_b")).agg(F.max("_m").alias("_prev")))
+    # latest exclusion of the buckets in reach, keyed by the bucket it reaches
+    # into: one partial + final aggregate (map-side max before the shuffle)
+    shifted = exc.select("_k", "_us", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("_d"))
+    prev = shifted.groupBy("_k", (bucket + F.col("_d")).alias("_b")).agg(F.max("_us").alias("_prev"))
     joined = swept.join(prev, ["_k", "_b"], "left")
     covered = (((F.col("_last").isNotNull()) & (F.col("_us") < F.col("_last") + ttl_us))
                | ((F.col("_prev").isNotNull()) & (F.col("_us") < F.col("_prev") + ttl_us)))

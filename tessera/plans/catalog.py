@@ -96,11 +96,15 @@ def q_cheapest_under_limit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_choice_severity(spark: SparkSession, d: str) -> DataFrame:
-    # Preferences: the event types present, in name order.
-    kinds = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    # Preferences: the event types present, in name order. The position and
+    # the number of preferences come from one window over the distinct
+    # types (one row per type, never per event).
+    kinds = table(spark, d, "events").select("event_type").distinct()
+    ordered = Window.orderBy("event_type")
     ranked = kinds.select("event_type",
-                          F.row_number().over(Window.orderBy("event_type")).cast("bigint").alias("pos"))
-    return choice_severity(ranked, "pos").select("event_type", "pos", "severity")
+                          F.row_number().over(ordered).cast("bigint").alias("pos"),
+                          F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    return choice_severity(ranked, "pos", "n").select("event_type", "pos", "severity")
 
 
 def q_ttl_exclude(spark: SparkSession, d: str) -> DataFrame:
