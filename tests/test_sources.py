@@ -58,3 +58,13 @@ def test_explicit_folder_list(spark, scratch):
     b = write_day(spark, scratch, "2014-05-02", ["b", "c"], complete=False)
     assert read_text_dirs(spark, [a, b]).count() == 1
     assert read_text_dirs(spark, [a, b], require_success=False).count() == 3
+
+
+def test_nested_date_layout(spark, scratch):
+    for day, n in (("2014/04/30", 2), ("2014/05/01", 1), ("2014/05/02", 3)):
+        write_day(spark, scratch, day, [f"x{i}" for i in range(n)])
+    write_day(spark, scratch, "2014/05/03", ["late"], complete=False)
+    df = read_text_dirs(spark, scratch, pattern="*/*/*", date_from="2014-05-01", with_date=True)
+    got = sorted((str(r.date), r.value) for r in df.collect())
+    assert [d for d, _ in got] == ["2014-05-01"] + ["2014-05-02"] * 3
+    assert read_text_dirs(spark, scratch, pattern="*/*/*").count() == 6
