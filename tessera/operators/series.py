@@ -100,8 +100,10 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
     window), and the final choice is ``orderBy(pos).limit(1)``.
     """
     as_of = as_of_instant(prices, ts, as_of)
-    out_schema = f"{pos} int, {grp} string, {opt} string, price double"
     if as_of is None:
+        t = {c: prices.schema[c].dataType.simpleString() for c in (grp, opt)}
+        pos_t = preferences.schema[pos].dataType.simpleString()
+        out_schema = f"`{pos}` {pos_t}, `{grp}` {t[grp]}, `{opt}` {t[opt]}, price double"
         return prices.sparkSession.createDataFrame([], out_schema)
     p = option_prices(prices, grp, opt, value, ts, as_of, hist_hours, hist_n, recent_hours, recent_n)
     if exclusions is not None:

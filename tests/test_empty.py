@@ -43,7 +43,9 @@ def test_series_jobs_on_empty(spark):
     ev = spark.createDataFrame([], EV)
     assert trailing_topn_avg(ev, "event_type", "value", "ts").count() == 0
     prefs = spark.createDataFrame([(1, "view", 10.0)], "pos int, event_type string, max_price double")
-    assert cheapest_under_limit(ev, prefs, "event_type", "user_id", "value", "ts").count() == 0
+    empty = cheapest_under_limit(ev, prefs, "event_type", "user_id", "value", "ts")
+    assert empty.count() == 0
+    assert empty.dtypes == [("pos", "int"), ("event_type", "string"), ("user_id", "bigint"), ("price", "double")]
     assert failure_streak(ev, "user_id", "ts", F.col("event_type") == "error").count() == 0
     none = spark.createDataFrame([], "pos int")
     assert choice_severity(none, "pos").count() == 0
