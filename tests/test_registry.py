@@ -23,6 +23,7 @@ def test_every_job_has_an_oracle():
 def test_job_matches_oracle(spark, con, name):
     r = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con)
     assert r["cols"], (r["s_cols"], r["d_cols"])
+    assert r["types"], (r["s_types"], r["d_types"])
     assert r["spark_rows"] == r["oracle_rows"]
     assert r["exact"], (r["s_sample"], r["d_sample"])
 
