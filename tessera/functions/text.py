@@ -44,12 +44,17 @@ def split_fields(line: str | Column, sep: str = FIELD_SEPARATOR,
     """Split a line into its fields on a literal separator.
 
     Spark keeps trailing empty parts (``"a b "`` gives ``[a, b, ""]``).
-    ``java_trailing=True`` drops them first, like ``String.split`` on the JVM.
+    ``java_trailing=True`` drops them, like ``String.split`` on the JVM: a
+    line made only of separators then has no part at all, while an empty
+    line keeps its one empty part.
     """
     c = _col(line)
-    if java_trailing:
-        c = F.regexp_replace(c, "(" + _regex_quote(sep) + ")+$", "")
-    return F.split(c, _regex_quote(sep))
+    if not java_trailing:
+        return F.split(c, _regex_quote(sep))
+    stripped = F.regexp_replace(c, "(" + _regex_quote(sep) + ")+$", "")
+    only_separators = (stripped == F.lit("")) & (c != F.lit(""))
+    return (F.when(only_separators, F.array().cast("array<string>"))
+            .otherwise(F.split(stripped, _regex_quote(sep))))
 
 
 def field(parts: str | Column, i: int, strict: bool = True) -> Column:

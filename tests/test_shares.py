@@ -89,6 +89,13 @@ def test_split_trailing_separator(spark):
     assert df.select(split_fields("value", java_trailing=True)).first()[0] == ["a", "b"]
 
 
+def test_split_like_the_jvm(spark):
+    lines = ["a b ", "    ", "", " a", "a  b"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    got = [r[0] for r in df.orderBy("i").select(split_fields("value", java_trailing=True)).collect()]
+    assert got == [["a", "b"], [], [""], ["", "a"], ["a", "", "b"]]
+
+
 def test_topk_share_counts_null_keys_in_total(spark):
     df = spark.createDataFrame([("x",), ("x",), (None,), ("y",)], "k string")
     got = rows(topk_share(df, "k", 1))
