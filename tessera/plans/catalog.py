@@ -18,7 +18,7 @@ from tessera.operators import (
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
     trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk,
 )
-from tessera.operators.partitioning import spread_narrow_input
+from tessera.operators.partitioning import is_narrow_input, spread_narrow_input
 from tessera.session import scratch_root
 from tessera.sources import table
 from tessera.streaming import run_word_count_stream
@@ -121,13 +121,17 @@ def q_failure_streak(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The documents table read as a file stream and counted by the stream."""
+    """The documents table read as a file stream and counted by the stream.
+
+    Batches are spread over the cores only when the files present at start
+    form a narrow input (as for the batch jobs).
+    """
     root = scratch_root(spark)
-    schema = table(spark, d, "documents").schema
+    docs = table(spark, d, "documents")
+    spread = 2 * spark.sparkContext.defaultParallelism if is_narrow_input(docs) else None
     return run_word_count_stream(
         spark, d, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
-        schema=schema, options={"pathGlobFilter": "documents.parquet"},
-        spread=2 * spark.sparkContext.defaultParallelism)
+        schema=docs.schema, options={"pathGlobFilter": "documents.parquet"}, spread=spread)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
