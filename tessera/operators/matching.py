@@ -36,15 +36,14 @@ def _epoch_micros(ts: Column, dtype: str) -> Column:
 
     A zoned ``timestamp`` is an instant: its exact epoch microseconds, so
     durations are real elapsed time, also across a daylight-saving change.
-    A ``timestamp_ntz`` is a wall-clock reading: day number and time of day
-    are combined as is, without passing through any time zone.
+    A ``timestamp_ntz`` is a wall-clock reading: its difference from the
+    wall-clock epoch is a day-time interval that never passes through a
+    time zone, read back as exact seconds with microseconds.
     """
     if dtype != "timestamp_ntz":
         return F.unix_micros(ts.cast("timestamp"))
-    day_us = F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(86_400_000_000)
-    time_us = ((F.hour(ts) * 3600 + F.minute(ts) * 60).cast("bigint") * F.lit(1_000_000)
-               + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"))
-    return day_us + time_us
+    since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (since.cast("interval second").cast("decimal(24,6)") * F.lit(1_000_000)).cast("bigint")
 
 
 def floor_div(a: Column, b: int) -> Column:
