@@ -33,14 +33,16 @@ def _round(c: Column, digits: int | None) -> Column:
 
 def trailing_topn_avg(prices: DataFrame, keys: str | Sequence[str], value: str, ts: str,
                       hours: float = 12.0, n: int = 10, as_of=None,
-                      digits: int | None = None) -> DataFrame:
+                      digits: int | None = None, fill_empty: bool = False) -> DataFrame:
     """Average of the n largest values per key since ``as_of - hours``.
 
     The window start is cut to whole seconds and inclusive; ``as_of``
-    defaults to the latest ``ts`` of the table. Keys with no row in the
-    window have no output row (their average counts as 0 when combined, see
-    ``cheapest_under_limit``). The time bound is a literal, so it is pushed
-    into the Parquet scan. Output ``(keys..., avg_top)``.
+    defaults to the latest ``ts`` of the table. The time bound is a literal,
+    so it is pushed into the Parquet scan. Output ``(keys..., avg_top)``.
+
+    A key with no value in the window has no row, unless ``fill_empty``:
+    then every key of the table is reported, with 0 for an empty window
+    (this costs one more pass over the key columns, partially aggregated).
     """
     keys = _keys(keys)
     as_of = as_of_instant(prices, ts, as_of)
@@ -49,7 +51,12 @@ def trailing_topn_avg(prices: DataFrame, keys: str | Sequence[str], value: str,
     lo = lookback_start(as_of, hours, ts_type(prices, ts))
     recent = prices.where(F.col(ts) >= lo).select(*keys, value)
     top = top_n_rows(recent, keys, value, n)
-    return top.groupBy(*keys).agg(_round(F.avg(value), digits).alias("avg_top"))
+    avg_top = top.groupBy(*keys).agg(_round(F.avg(value), digits).alias("avg_top"))
+    if not fill_empty:
+        return avg_top
+    every_key = prices.select(*keys).distinct()
+    return (every_key.join(avg_top, keys, "left")
+            .select(*keys, F.coalesce("avg_top", F.lit(0.0)).alias("avg_top")))
 
 
 def option_prices(prices: DataFrame, grp: str, opt: str, value: str, ts: str, as_of,

@@ -40,6 +40,14 @@ def test_trailing_topn_avg(spark):
     assert got == [("g", 4.0), ("h", 4.0)]
 
 
+def test_trailing_fill_empty_keys(spark):
+    data = [("g", "o", ago(1), 3.0), ("old", "o", ago(30), 7.0)]
+    df = spark.createDataFrame(data, PRICE_SCHEMA)
+    assert rows(trailing_topn_avg(df, "grp", "value", "ts", as_of=NOW)) == [("g", 3.0)]
+    got = rows(trailing_topn_avg(df, "grp", "value", "ts", as_of=NOW, fill_empty=True))
+    assert got == [("g", 3.0), ("old", 0.0)]
+
+
 def test_trailing_window_start_is_inclusive(spark):
     df = spark.createDataFrame([("g", "o", ago(12), 9.0), ("g", "o", ago(1), 1.0)], PRICE_SCHEMA)
     got = rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, n=10, as_of=NOW))
