@@ -9,7 +9,7 @@ from tessera.operators.shares import (
     affected_share, format_share_lines, key_counts, topk_share, value_share,
 )
 from tessera.operators.text import (
-    anagram_groups, format_ranked, line_count, top_words, word_count,
+    anagram_groups, anagram_members, format_ranked, line_count, top_words, word_count,
     word_count_topk, words,
 )
 
@@ -17,6 +17,6 @@ __all__ = [
     "active_at", "option_expand", "pair_digest_match", "ttl_exclude",
     "cheapest_under_limit", "choice_severity", "failure_streak", "option_prices",
     "severity", "top_n_rows", "trailing_topn_avg", "affected_share", "key_counts",
-    "topk_share", "value_share", "format_share_lines", "anagram_groups", "format_ranked", "line_count",
+    "topk_share", "value_share", "format_share_lines", "anagram_groups", "anagram_members", "format_ranked", "line_count",
     "top_words", "word_count", "word_count_topk", "words",
 ]

@@ -83,15 +83,36 @@ def anagram_groups(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPA
     shuffle on the token), so the anagram key is computed once per distinct
     token, and a key's list only ever holds distinct tokens: bounded by the
     vocabulary, not by occurrences. An empty token is alone under its key
-    and never forms a group.
+    and never forms a group. Each group is one output row, so a group is
+    gathered in one task; ``anagram_members`` gives the same groups without
+    gathering them.
     """
+    tokens = _distinct_tokens(df, text_col, sep, whole_documents)
+    grouped = (tokens.groupBy(anagram_key("w").alias("k"))
+               .agg(F.collect_list("w").alias("ws")))
+    return grouped.where(F.size("ws") > 1).select(joined_sorted("ws").alias("words"))
+
+
+def anagram_members(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPARATOR,
+                    whole_documents: bool = False) -> DataFrame:
+    """The members of the anagram groups in long form: ``(anagram_key, word)``.
+
+    Same groups as ``anagram_groups``, one row per member, and no group is
+    ever gathered into one row: group sizes come from a partial count per
+    key, and members are kept by a join on the key (AQE splits a hot key's
+    side). Use this form when one key may hold a large share of all tokens.
+    """
+    tokens = _distinct_tokens(df, text_col, sep, whole_documents).select(
+        anagram_key("w").alias("anagram_key"), F.col("w").alias("word"))
+    sizes = tokens.groupBy("anagram_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return tokens.join(sizes.select("anagram_key"), "anagram_key", "left_semi")
+
+
+def _distinct_tokens(df: DataFrame, text_col: str, sep: str, whole_documents: bool) -> DataFrame:
     text = F.col(text_col)
     if whole_documents:
         # a line break separates tokens like ``sep`` does: map it onto ``sep``
         # so the split stays on one literal character (no regex engine)
         text = F.translate(text, LINE_SEPARATOR, sep) if len(sep) == 1 else F.replace(
             text, F.lit(LINE_SEPARATOR), F.lit(sep))
-    tokens = df.select(F.explode(split_fields(text, sep)).alias("w")).distinct()
-    grouped = (tokens.groupBy(anagram_key("w").alias("k"))
-               .agg(F.collect_list("w").alias("ws")))
-    return grouped.where(F.size("ws") > 1).select(joined_sorted("ws").alias("words"))
+    return df.select(F.explode(split_fields(text, sep)).alias("w")).distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tessera.functions import anagram_key, word_tokens
 from tessera.operators import (
-    anagram_groups, format_ranked, line_count, top_words, word_count, word_count_topk,
+    anagram_groups, anagram_members, format_ranked, line_count, top_words, word_count, word_count_topk,
 )
 from tessera.sources import document_lines, lines_frame
 
@@ -111,3 +111,13 @@ def test_narrow_input_detection(spark, scratch):
     assert not is_narrow_input(spark.read.parquet(many))
     assert _size_conf("134217728b") == _size_conf("128m") == 128 * 1024 * 1024
     assert _size_conf("1g") == 1 << 30
+
+
+def test_anagram_members_same_groups_as_joined_form(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    joined = sorted(r.words for r in anagram_groups(docs, "text", whole_documents=True).collect())
+    members = {}
+    for r in anagram_members(docs, "text", whole_documents=True).collect():
+        members.setdefault(r.anagram_key, []).append(r.word)
+    assert sorted(" ".join(sorted(ws)) for ws in members.values()) == joined
+    assert len(joined) > 10
