@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from tools.check_oracle import compare, duck
 
 QUERIES = entry.queries()
@@ -11,17 +11,18 @@ ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
-def con():
-    return duck(SF_SMALL)
+def cons():
+    return {SF_SMALL: duck(SF_SMALL), SF_MID: duck(SF_MID)}
 
 
 def test_every_job_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+@pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_job_matches_oracle(spark, con, name):
-    r = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con)
+def test_job_matches_oracle(spark, cons, name, sf):
+    r = compare(spark, name, QUERIES[name], ORACLE[name], sf, cons[sf])
     assert r["cols"], (r["s_cols"], r["d_cols"])
     assert r["types"], (r["s_types"], r["d_types"])
     assert r["spark_rows"] == r["oracle_rows"]
