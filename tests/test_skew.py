@@ -22,7 +22,7 @@ def test_hot_key_is_spread_over_tasks():
         if line.startswith("{"):
             r = json.loads(line)
             runs[r["run"].split(" ")[0]] = r
-    assert set(runs) == {"failure_streak", "ttl_exclude", "plain"}, out.stderr[-2000:]
+    assert set(runs) == {"failure_streak", "ttl_exclude", "trailing_topn_avg", "plain"}, out.stderr[-2000:]
     hot = runs["plain"]["hot_user_rows"]
     assert hot * 3 == runs["plain"]["rows"]
     # the plain per-key window puts the whole hot key into one task ...
@@ -30,3 +30,5 @@ def test_hot_key_is_spread_over_tasks():
     # ... the bucketed jobs do not
     assert runs["failure_streak"]["max_records_per_task"] < hot / 2
     assert runs["ttl_exclude"]["max_records_per_task"] < hot / 2
+    # top-n per key ships at most n rows per key and task before its shuffle
+    assert runs["trailing_topn_avg"]["max_records_per_task"] < hot / 20

@@ -2,8 +2,8 @@
 
 Derives a skewed events table from the given ``events`` table with Spark
 (copies shifted in time; every third copy's rows all belong to one user),
-runs ``failure_streak`` and ``ttl_exclude`` and, for comparison, a plain
-window partitioned by user alone, and reads the per-task shuffle records of
+runs ``failure_streak``, ``ttl_exclude`` and ``trailing_topn_avg`` and,
+for comparison, a plain window partitioned by user alone, and reads the per-task shuffle records of
 each run from Spark's event log (written to a scratch folder).
 
 Usage: python tools/skew_report.py [sf_dir] [copies]
@@ -65,7 +65,7 @@ def main():
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 9
     log_dir = tempfile.mkdtemp(prefix="tessera-eventlog-")
     from tessera.session import build_session
-    from tessera.operators import failure_streak, ttl_exclude
+    from tessera.operators import failure_streak, trailing_topn_avg, ttl_exclude
     spark = build_session("local[8]", shuffle_partitions=32,
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                  "spark.eventLog.compress": "false", "spark.driver.memory": "8g",
@@ -80,6 +80,9 @@ def main():
         "ttl_exclude (key, 3h bucket)": lambda: ttl_exclude(
             ev.where(F.col("event_type") == "view"),
             ev.where(err).select("user_id", "ts"), "user_id", "ts", 3.0),
+        "trailing_topn_avg (top 10 per user, whole history)": lambda: trailing_topn_avg(
+            ev.withColumn("v", F.col("event_id") % 997), "user_id", "v", "ts",
+            hours=24 * 31 * copies, n=10),
         "plain window by key (for comparison)": lambda: ev.withColumn(
             "rn", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))),
     }
