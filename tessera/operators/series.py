@@ -88,7 +88,7 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
                          margin: float = 0.8, hist_hours: float = 12.0, hist_n: int = 10,
                          recent_hours: float = 6.0, recent_n: int = 2,
                          exclusion_ttl_hours: float = 3.0,
-                         digits: int | None = None) -> DataFrame:
+                         digits: int | None = None, with_severity: bool = False) -> DataFrame:
     """Walk groups in preference order and pick the first affordable option.
 
     For each group of ``preferences`` (``pos``, group, ``max_price``), in
@@ -105,12 +105,16 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
 
     The per-option argmin is a ``min`` over a struct (an aggregate, no
     window), and the final choice is ``orderBy(pos).limit(1)``.
+    ``with_severity`` adds the ``severity`` of the choice (see ``severity``)
+    from its position among all rows of ``preferences``.
     """
     as_of = as_of_instant(prices, ts, as_of)
     if as_of is None:
         t = {c: prices.schema[c].dataType.simpleString() for c in (grp, opt)}
         pos_t = preferences.schema[pos].dataType.simpleString()
         out_schema = f"`{pos}` {pos_t}, `{grp}` {t[grp]}, `{opt}` {t[opt]}, price double"
+        if with_severity:
+            out_schema += ", severity string"
         return prices.sparkSession.createDataFrame([], out_schema)
     p = option_prices(prices, grp, opt, value, ts, as_of, hist_hours, hist_n, recent_hours, recent_n)
     if exclusions is not None:
@@ -126,9 +130,13 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
             .agg(F.min(F.struct(sort_price.alias("sp"), F.col(opt).alias("o"), F.col("price").alias("p"),
                                 F.col(pos).alias("pos"), F.col(max_price).alias("mx"))).alias("b")))
     accepted = best.where(F.col("b.mx").isNull() | (F.col("b.p") < F.col("b.mx") * F.lit(margin)))
-    return (accepted.orderBy(F.col("b.pos")).limit(1)
-            .select(F.col("b.pos").alias(pos), grp, F.col("b.o").alias(opt),
-                    _round(F.col("b.p"), digits).alias("price")))
+    chosen = (accepted.orderBy(F.col("b.pos")).limit(1)
+              .select(F.col("b.pos").alias(pos), grp, F.col("b.o").alias(opt),
+                      _round(F.col("b.p"), digits).alias("price")))
+    if with_severity:
+        n_prefs = preferences.select(F.count(F.lit(1))).scalar()
+        chosen = chosen.withColumn("severity", severity(F.col(pos), n_prefs))
+    return chosen
 
 
 def severity(pos: Column, n: Column) -> Column:

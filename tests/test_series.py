@@ -92,6 +92,17 @@ def test_cheapest_picks_first_group_under_margin(spark):
     assert got == [(2, "mid", "z1", 3.0)]
 
 
+def test_cheapest_with_severity(spark):
+    df = spark.createDataFrame(price_rows([("a", "z", 50.0), ("b", "z", 50.0), ("c", "z", 1.0),
+                                           ("d", "z", 1.0), ("e", "z", 1.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "a", 10.0), (2, "b", 10.0), (3, "c", 10.0), (4, "d", 10.0), (5, "e", 10.0)])
+    got = cheapest_under_limit(df, p, "grp", "opt", "value", "ts", with_severity=True).first()
+    assert (got.pos, got.grp, got.severity) == (3, "c", "CRITICAL")
+    p2 = prefs(spark, [(1, "c", 10.0), (2, "a", 10.0)])
+    got = cheapest_under_limit(df, p2, "grp", "opt", "value", "ts", with_severity=True).first()
+    assert (got.pos, got.severity) == (1, None)
+
+
 def test_cheapest_strict_limit_and_no_row(spark):
     df = spark.createDataFrame(price_rows([("big", "z1", 8.0)]), PRICE_SCHEMA)
     p = prefs(spark, [(1, "big", 10.0)])
