@@ -27,6 +27,14 @@ def top_n_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def _in_window(ts: Column, as_of: str, hours: float, dtype: str, upper: bool = True) -> Column:
+    """``as_of - hours`` (cut to seconds) <= ts <= ``as_of``: literal bounds,
+    pushed into the Parquet scan. ``upper=False`` when ``as_of`` is the
+    table's own latest ``ts`` (no row lies beyond it)."""
+    lower = ts >= lookback_start(as_of, hours, dtype)
+    return (lower & (ts <= instant_literal(as_of, dtype))) if upper else lower
+
+
 def _round(c: Column, digits: int | None) -> Column:
     return F.round(c, digits) if digits is not None else c
 
@@ -36,20 +44,22 @@ def trailing_topn_avg(prices: DataFrame, keys: str | Sequence[str], value: str,
                       digits: int | None = None, fill_empty: bool = False) -> DataFrame:
     """Average of the n largest values per key since ``as_of - hours``.
 
-    The window start is cut to whole seconds and inclusive; ``as_of``
-    defaults to the latest ``ts`` of the table. The time bound is a literal,
-    so it is pushed into the Parquet scan. Output ``(keys..., avg_top)``.
+    The window start is cut to whole seconds and inclusive, and the window
+    ends at ``as_of`` (inclusive: later rows are not seen). ``as_of``
+    defaults to the latest ``ts`` of the table. Both bounds are literals,
+    pushed into the Parquet scan. Output ``(keys..., avg_top)``.
 
     A key with no value in the window has no row, unless ``fill_empty``:
     then every key of the table is reported, with 0 for an empty window
     (this costs one more pass over the key columns, partially aggregated).
     """
     keys = _keys(keys)
+    given = as_of is not None
     as_of = as_of_instant(prices, ts, as_of)
     if as_of is None:
         return prices.select(*keys, F.lit(None).cast("double").alias("avg_top")).limit(0)
-    lo = lookback_start(as_of, hours, ts_type(prices, ts))
-    recent = prices.where(F.col(ts) >= lo).select(*keys, value)
+    dtype = ts_type(prices, ts)
+    recent = prices.where(_in_window(F.col(ts), as_of, hours, dtype, given)).select(*keys, value)
     top = top_n_rows(recent, keys, value, n)
     avg_top = top.groupBy(*keys).agg(_round(F.avg(value), digits).alias("avg_top"))
     if not fill_empty:
@@ -61,7 +71,8 @@ def trailing_topn_avg(prices: DataFrame, keys: str | Sequence[str], value: str,
 
 def option_prices(prices: DataFrame, grp: str, opt: str, value: str, ts: str, as_of,
                   hist_hours: float = 12.0, hist_n: int = 10,
-                  recent_hours: float = 6.0, recent_n: int = 2) -> DataFrame:
+                  recent_hours: float = 6.0, recent_n: int = 2,
+                  upper: bool = True) -> DataFrame:
     """Worst-case price per (group, option): the larger of the average of the
     ``hist_n`` highest values in the last ``hist_hours`` and of the
     ``recent_n`` highest in the last ``recent_hours`` (0 for an empty window).
@@ -71,9 +82,9 @@ def option_prices(prices: DataFrame, grp: str, opt: str, value: str, ts: str, as
     """
     dtype = ts_type(prices, ts)
     keys = [grp, opt]
-    hist = top_n_rows(prices.where(F.col(ts) >= lookback_start(as_of, hist_hours, dtype))
+    hist = top_n_rows(prices.where(_in_window(F.col(ts), as_of, hist_hours, dtype, upper))
                       .select(*keys, value), keys, value, hist_n).withColumn("_h", F.lit(True))
-    rec = top_n_rows(prices.where(F.col(ts) >= lookback_start(as_of, recent_hours, dtype))
+    rec = top_n_rows(prices.where(_in_window(F.col(ts), as_of, recent_hours, dtype, upper))
                      .select(*keys, value), keys, value, recent_n).withColumn("_h", F.lit(False))
     both = hist.unionByName(rec)
     agg = both.groupBy(*keys).agg(
@@ -108,6 +119,7 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
     ``with_severity`` adds the ``severity`` of the choice (see ``severity``)
     from its position among all rows of ``preferences``.
     """
+    given = as_of is not None
     as_of = as_of_instant(prices, ts, as_of)
     if as_of is None:
         t = {c: prices.schema[c].dataType.simpleString() for c in (grp, opt)}
@@ -116,7 +128,8 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
         if with_severity:
             out_schema += ", severity string"
         return prices.sparkSession.createDataFrame([], out_schema)
-    p = option_prices(prices, grp, opt, value, ts, as_of, hist_hours, hist_n, recent_hours, recent_n)
+    p = option_prices(prices, grp, opt, value, ts, as_of, hist_hours, hist_n, recent_hours, recent_n,
+                      upper=given)
     if exclusions is not None:
         now = instant_literal(as_of, ts_type(prices, ts))
         alive = active_at(exclusions, ts, now, exclusion_ttl_hours)

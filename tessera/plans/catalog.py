@@ -7,6 +7,7 @@ given here (wanted status values, limits, suffixes) are job parameters.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,7 +21,7 @@ from tessera.operators import (
 )
 from tessera.operators.partitioning import is_narrow_input, spread_narrow_input
 from tessera.session import scratch_root
-from tessera.sources import table
+from tessera.sources import is_directory, table
 from tessera.streaming import run_word_count_stream
 
 # Job parameters used by the registered queries.
@@ -129,9 +130,16 @@ def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_root(spark)
     docs = table(spark, d, "documents")
     spread = 2 * spark.sparkContext.defaultParallelism if is_narrow_input(docs) else None
+    # a table written by Spark is a folder of part files: stream that folder;
+    # a single file is picked out of the data folder by name
+    path = os.path.join(d, "documents.parquet")
+    if is_directory(spark, path):
+        source, options = path, {}
+    else:
+        source, options = d, {"pathGlobFilter": "documents.parquet"}
     return run_word_count_stream(
-        spark, d, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
-        schema=docs.schema, options={"pathGlobFilter": "documents.parquet"}, spread=spread)
+        spark, source, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
+        schema=docs.schema, options=options, spread=spread)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -40,6 +40,11 @@ def completed_dirs(spark: SparkSession, root: str, pattern: str = "*") -> list[s
     return sorted(str(s.getPath().getParent().toString()) for s in statuses)
 
 
+def is_directory(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_for(spark, path)
+    return bool(fs.exists(p) and fs.getFileStatus(p).isDirectory())
+
+
 def has_marker(spark: SparkSession, folder: str) -> bool:
     p, fs = _fs_for(spark, f"{folder.rstrip('/')}/{SUCCESS_MARKER}")
     return bool(fs.exists(p))

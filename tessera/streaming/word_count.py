@@ -88,20 +88,36 @@ def read_word_counts(spark: SparkSession, sink_dir: str, output_mode: str = "upd
     aggregate with partial aggregation; a replayed batch only repeats equal
     rows).
     """
+    if not _exists(spark, sink_dir):  # no batch has run yet: nothing counted
+        return spark.createDataFrame([], "word string, cnt bigint")
     df = spark.read.parquet(sink_dir)
     if output_mode == "complete":
         return df
     return df.groupBy("word").agg(F.max_by("cnt", "batch_id").alias("cnt"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def run_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                           checkpoint_dir: str, output_mode: str = "update",
                           timeout_sec: float | None = None, **source) -> DataFrame:
-    """Process every file present now, then return the count table."""
+    """Process every file present now, then return the count table.
+
+    With ``timeout_sec``, a query still running at the deadline is stopped
+    and ``TimeoutError`` is raised (its checkpoint lets a later run resume),
+    rather than returning the counts of the batches finished so far.
+    """
     q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, output_mode,
                                 True, **source)
     if timeout_sec:
-        q.awaitTermination(timeout_sec)
+        finished = q.awaitTermination(timeout_sec)
+        if not finished:
+            q.stop()
+            raise TimeoutError(f"word count stream still running after {timeout_sec} s")
     else:
         q.awaitTermination()
     if q.exception() is not None:

@@ -48,6 +48,14 @@ def test_trailing_fill_empty_keys(spark):
     assert got == [("g", 3.0), ("old", 0.0)]
 
 
+def test_trailing_window_ends_at_as_of(spark):
+    df = spark.createDataFrame([("g", "o", ago(6), 1.0), ("g", "o", NOW + dt.timedelta(hours=18), 100.0)],
+                               PRICE_SCHEMA)
+    assert rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, as_of=NOW)) == [("g", 1.0)]
+    later = as_of_instant(df, "ts")
+    assert rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, as_of=later)) == [("g", 100.0)]
+
+
 def test_trailing_window_start_is_inclusive(spark):
     df = spark.createDataFrame([("g", "o", ago(12), 9.0), ("g", "o", ago(1), 1.0)], PRICE_SCHEMA)
     got = rows(trailing_topn_avg(df, "grp", "value", "ts", hours=12, n=10, as_of=NOW))

@@ -43,3 +43,31 @@ def test_complete_mode_equals_update_mode(spark, scratch):
     full = run_word_count_stream(spark, src, f"{scratch}/c", f"{scratch}/cc", output_mode="complete",
                                  max_files_per_trigger=1)
     assert rows(upd) == rows(full) == sorted(VERSE_COUNTS.items())
+
+
+def test_stream_with_no_input_gives_empty_counts(spark, scratch):
+    src = f"{scratch}/empty"
+    lines_frame(spark, []).write.text(src)
+    out = run_word_count_stream(spark, src, f"{scratch}/sink", f"{scratch}/ckpt")
+    assert out.count() == 0 and out.columns == ["word", "cnt"]
+
+
+def test_registered_stream_reads_a_folder_table(spark, scratch):
+    from tessera.plans.catalog import q_word_count_stream
+    data = f"{scratch}/data"
+    docs = spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string")
+    docs.repartition(2).write.parquet(f"{data}/documents.parquet")
+    assert sorted(tuple(r) for r in q_word_count_stream(spark, data).collect()) == [("a", 2), ("b", 1)]
+
+
+def test_stream_timeout_stops_the_query(spark, scratch):
+    import pytest
+    src = f"{scratch}/src"
+    lines_frame(spark, VERSE).repartition(3).write.text(src)
+    with pytest.raises(TimeoutError):
+        run_word_count_stream(spark, src, f"{scratch}/sink", f"{scratch}/ckpt",
+                              timeout_sec=0.001, max_files_per_trigger=1)
+    assert not spark.streams.active
+    # the checkpoint lets a later run finish the work
+    out = run_word_count_stream(spark, src, f"{scratch}/sink", f"{scratch}/ckpt", max_files_per_trigger=1)
+    assert dict(out.collect()) == VERSE_COUNTS
