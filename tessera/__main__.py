@@ -38,19 +38,26 @@ def main(argv: list[str] | None = None) -> int:
     from tessera.session import build_session
     owned = SparkSession.getActiveSession() is None
     spark = build_session(args.master, app_name=f"tessera-{args.job}")
-    df = REGISTRY[args.job](spark, args.data_dir)
-    if args.out:
-        if args.format == "text":
-            line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-            df.select(line.alias("value")).write.mode("overwrite").text(args.out)
+    try:
+        df = REGISTRY[args.job](spark, args.data_dir)
+        if args.out:
+            if args.format == "text":
+                line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                           for c in df.columns])
+                df.select(line.alias("value")).write.mode("overwrite").text(args.out)
+                shown = spark.read.text(args.out)
+            else:
+                df.write.mode("overwrite").parquet(args.out)
+                shown = spark.read.parquet(args.out)
+            if args.show:  # from the written result: the job is not run twice
+                shown.show(args.show, truncate=False)
+        elif args.show:
+            df.show(args.show, truncate=False)
         else:
-            df.write.mode("overwrite").parquet(args.out)
-    if args.show:
-        df.show(args.show, truncate=False)
-    if not args.out and not args.show:
-        df.write.format("noop").mode("overwrite").save()
-    if owned:
-        spark.stop()
+            df.write.format("noop").mode("overwrite").save()
+    finally:
+        if owned:
+            spark.stop()
     return 0
 
 

@@ -48,9 +48,15 @@ def _epoch_micros(ts: Column, dtype: str) -> Column:
 
 def floor_div(a: Column, b: int) -> Column:
     """Integer floor division, also for negative ``a``: ``a - pmod(a, b)`` is a
-    multiple of ``b``, so the quotient is exact (for |a| < 2^53, e.g. any
-    epoch-microsecond time)."""
-    return (a - F.pmod(a, F.lit(b))).cast("bigint") / F.lit(b)
+    multiple of ``b``, divided with integral ``div`` (no floating point)."""
+    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b))
+
+
+def check_free(df: DataFrame, names: Sequence[str]) -> None:
+    """Fail loudly instead of overwriting an input column with a helper column."""
+    clash = sorted(set(df.columns) & set(names))
+    if clash:
+        raise ValueError(f"input has columns reserved for internal use: {clash}")
 
 
 def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
@@ -82,30 +88,31 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
         raise ValueError("bucket_hours must be positive and at most ttl_hours")
     reach = -(-ttl_us // width_us)  # earlier buckets an exclusion can reach from
     cand_cols = candidates.columns
+    check_free(candidates, ["__k", "__us", "__e", "__b", "__last", "__prev", "__d"])
 
     cand = (candidates
-            .withColumn("_k", F.col(key))
-            .withColumn("_us", _epoch_micros(F.col(ts), dtype))
-            .withColumn("_e", F.lit(0)))
+            .withColumn("__k", F.col(key))
+            .withColumn("__us", _epoch_micros(F.col(ts), dtype))
+            .withColumn("__e", F.lit(0)))
     exc = (exclusions
-           .select(F.col(excl_key).alias("_k"), _epoch_micros(F.col(excl_ts).cast(dtype), dtype).alias("_us"))
-           .where(F.col("_k").isNotNull() & F.col("_us").isNotNull())
-           .withColumn("_e", F.lit(1)))
-    bucket = floor_div(F.col("_us"), width_us).cast("bigint")
+           .select(F.col(excl_key).alias("__k"), _epoch_micros(F.col(excl_ts).cast(dtype), dtype).alias("__us"))
+           .where(F.col("__k").isNotNull() & F.col("__us").isNotNull())
+           .withColumn("__e", F.lit(1)))
+    bucket = floor_div(F.col("__us"), width_us).cast("bigint")
 
-    both = cand.unionByName(exc, allowMissingColumns=True).withColumn("_b", bucket)
-    w = (Window.partitionBy("_k", "_b").orderBy(F.col("_us").asc_nulls_first(), F.col("_e").desc())
+    both = cand.unionByName(exc, allowMissingColumns=True).withColumn("__b", bucket)
+    w = (Window.partitionBy("__k", "__b").orderBy(F.col("__us").asc_nulls_first(), F.col("__e").desc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last_in_bucket = F.max(F.when(F.col("_e") == 1, F.col("_us"))).over(w)
-    swept = both.withColumn("_last", last_in_bucket).where(F.col("_e") == 0)
+    last_in_bucket = F.max(F.when(F.col("__e") == 1, F.col("__us"))).over(w)
+    swept = both.withColumn("__last", last_in_bucket).where(F.col("__e") == 0)
 
     # latest exclusion of the buckets in reach, keyed by the bucket it reaches
     # into: one partial + final aggregate (map-side max before the shuffle)
-    shifted = exc.select("_k", "_us", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("_d"))
-    prev = shifted.groupBy("_k", (bucket + F.col("_d")).alias("_b")).agg(F.max("_us").alias("_prev"))
-    joined = swept.join(prev, ["_k", "_b"], "left")
-    covered = (((F.col("_last").isNotNull()) & (F.col("_us") < F.col("_last") + ttl_us))
-               | ((F.col("_prev").isNotNull()) & (F.col("_us") < F.col("_prev") + ttl_us)))
+    shifted = exc.select("__k", "__us", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("__d"))
+    prev = shifted.groupBy("__k", (bucket + F.col("__d")).alias("__b")).agg(F.max("__us").alias("__prev"))
+    joined = swept.join(prev, ["__k", "__b"], "left")
+    covered = (((F.col("__last").isNotNull()) & (F.col("__us") < F.col("__last") + ttl_us))
+               | ((F.col("__prev").isNotNull()) & (F.col("__us") < F.col("__prev") + ttl_us)))
     return joined.where(~F.coalesce(covered, F.lit(False))).select(*cand_cols)
 
 
@@ -127,10 +134,13 @@ def option_expand(regions: DataFrame, region_col: str, suffixes: str | Sequence[
     expanded in place with ``explode``: no join, no shuffle. A null region
     or suffix gives no zone.
     """
+    clash = sorted({"region", "zone", "__s"} & set(keep))
+    if clash:
+        raise ValueError(f"kept columns clash with the output columns: {clash}")
     if isinstance(suffixes, str):
         arr = F.col(suffixes)
     else:
         arr = F.array(*[F.lit(s) for s in suffixes])
-    exploded = regions.select(*keep, F.col(region_col).alias("region"), F.explode(arr).alias("_s"))
-    return (exploded.where(F.col("region").isNotNull() & F.col("_s").isNotNull())
-            .select(*keep, "region", F.concat("region", F.lit(sep), "_s").alias("zone")))
+    exploded = regions.select(*keep, F.col(region_col).alias("region"), F.explode(arr).alias("__s"))
+    return (exploded.where(F.col("region").isNotNull() & F.col("__s").isNotNull())
+            .select(*keep, "region", F.concat("region", F.lit(sep), "__s").alias("zone")))

@@ -38,8 +38,10 @@ def is_narrow_input(df: DataFrame) -> bool:
     but a Parquet split holds whole row groups: an input of few files and
     less than one full split per core may be read by a single task. A large
     input (as many files as cores, or a full-size split per core) is left
-    alone. Only file metadata is consulted (one status call per file, and
-    only when there are fewer files than cores).
+    alone: its files are expected to hold many row groups, and telling for
+    sure would take reading every footer. Only file metadata is consulted
+    (one status call per file, and only when there are fewer files than
+    cores).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     files = df.inputFiles()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.time import as_of_instant, instant_literal, lookback_start, ts_type
-from tessera.operators.matching import _epoch_micros, active_at, floor_div
+from tessera.operators.matching import _epoch_micros, active_at, check_free, floor_div
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -23,8 +23,9 @@ def top_n_rows(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFr
     before the shuffle: each task forwards at most n rows per key, so a key
     holding a third of all rows still moves only n rows per task.
     """
+    check_free(df, ["__rn"])
     w = Window.partitionBy(*keys).orderBy(F.desc(value))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 
 
 def _in_window(ts: Column, as_of: str, hours: float, dtype: str, upper: bool = True) -> Column:
@@ -83,13 +84,13 @@ def option_prices(prices: DataFrame, grp: str, opt: str, value: str, ts: str, as
     dtype = ts_type(prices, ts)
     keys = [grp, opt]
     hist = top_n_rows(prices.where(_in_window(F.col(ts), as_of, hist_hours, dtype, upper))
-                      .select(*keys, value), keys, value, hist_n).withColumn("_h", F.lit(True))
+                      .select(*keys, value), keys, value, hist_n).withColumn("__h", F.lit(True))
     rec = top_n_rows(prices.where(_in_window(F.col(ts), as_of, recent_hours, dtype, upper))
-                     .select(*keys, value), keys, value, recent_n).withColumn("_h", F.lit(False))
+                     .select(*keys, value), keys, value, recent_n).withColumn("__h", F.lit(False))
     both = hist.unionByName(rec)
     agg = both.groupBy(*keys).agg(
-        F.coalesce(F.avg(F.when(F.col("_h"), F.col(value))), F.lit(0.0)).alias("hist_price"),
-        F.coalesce(F.avg(F.when(~F.col("_h"), F.col(value))), F.lit(0.0)).alias("recent_price"))
+        F.coalesce(F.avg(F.when(F.col("__h"), F.col(value))), F.lit(0.0)).alias("hist_price"),
+        F.coalesce(F.avg(F.when(~F.col("__h"), F.col(value))), F.lit(0.0)).alias("recent_price"))
     return agg.withColumn("price", F.greatest("recent_price", "hist_price"))
 
 
@@ -141,11 +142,11 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
     sort_price = F.when(F.col(max_price).isNull(), F.lit(0.0)).otherwise(F.col("price"))
     best = (cand.groupBy(grp)
             .agg(F.min(F.struct(sort_price.alias("sp"), F.col(opt).alias("o"), F.col("price").alias("p"),
-                                F.col(pos).alias("pos"), F.col(max_price).alias("mx"))).alias("b")))
-    accepted = best.where(F.col("b.mx").isNull() | (F.col("b.p") < F.col("b.mx") * F.lit(margin)))
-    chosen = (accepted.orderBy(F.col("b.pos")).limit(1)
-              .select(F.col("b.pos").alias(pos), grp, F.col("b.o").alias(opt),
-                      _round(F.col("b.p"), digits).alias("price")))
+                                F.col(pos).alias("pos"), F.col(max_price).alias("mx"))).alias("__best")))
+    accepted = best.where(F.col("__best.mx").isNull() | (F.col("__best.p") < F.col("__best.mx") * F.lit(margin)))
+    chosen = (accepted.orderBy(F.col("__best.pos")).limit(1)
+              .select(F.col("__best.pos").alias(pos), grp, F.col("__best.o").alias(opt),
+                      _round(F.col("__best.p"), digits).alias("price")))
     if with_severity:
         n_prefs = preferences.select(F.count(F.lit(1))).scalar()
         chosen = chosen.withColumn("severity", severity(F.col(pos), n_prefs))
@@ -201,32 +202,34 @@ def failure_streak(events: DataFrame, key: str, ts: str, failed: Column,
     ones. A key holding a third of all rows is split over its buckets; only
     the small per-bucket table is windowed per key.
     """
+    check_free(events.select(*dict.fromkeys([*keep, key, ts, *order_by])),
+               ["__f", "__b", "__lf", "__ls", "__nf", "__bs", "__off", "__prev"])
     dtype = ts_type(events, ts)
     bucket_us = int(round(bucket_hours * 3600 * 1_000_000))
     order = [F.col(ts).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order_by]
-    rows = (events.select(*dict.fromkeys([*keep, key, ts, *order_by]), failed.alias("_f"))
-            .withColumn("_b", F.coalesce(floor_div(_epoch_micros(F.col(ts), dtype), bucket_us).cast("bigint"),
+    rows = (events.select(*dict.fromkeys([*keep, key, ts, *order_by]), failed.alias("__f"))
+            .withColumn("__b", F.coalesce(floor_div(_epoch_micros(F.col(ts), dtype), bucket_us).cast("bigint"),
                                          F.lit(-(2 ** 62)).cast("bigint"))))
-    running = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding,
+    running = Window.partitionBy(key, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding,
                                                                          Window.currentRow)
-    is_fail = F.coalesce(F.col("_f"), F.lit(False))
-    is_success = F.coalesce(~F.col("_f"), F.lit(False))
+    is_fail = F.coalesce(F.col("__f"), F.lit(False))
+    is_success = F.coalesce(~F.col("__f"), F.lit(False))
     # failures so far in the bucket; its value at a success row (the count
     # never decreases, so the latest success holds the running maximum)
-    at_success = F.when(is_success, F.col("_lf"))
-    local = (rows.withColumn("_lf", F.sum(is_fail.cast("bigint")).over(running))
-             .withColumn("_ls", F.max(at_success).over(running)))
-    per_bucket = local.groupBy(key, "_b").agg(F.sum(is_fail.cast("bigint")).alias("_nf"),
-                                              F.max(at_success).alias("_bs"))
-    wb = Window.partitionBy(key).orderBy("_b")
+    at_success = F.when(is_success, F.col("__lf"))
+    local = (rows.withColumn("__lf", F.sum(is_fail.cast("bigint")).over(running))
+             .withColumn("__ls", F.max(at_success).over(running)))
+    per_bucket = local.groupBy(key, "__b").agg(F.sum(is_fail.cast("bigint")).alias("__nf"),
+                                              F.max(at_success).alias("__bs"))
+    wb = Window.partitionBy(key).orderBy("__b")
     offsets = (per_bucket
-               .withColumn("_off", F.sum("_nf").over(wb.rowsBetween(Window.unboundedPreceding,
-                                                                    Window.currentRow)) - F.col("_nf"))
-               .withColumn("_prev", F.max(F.col("_off") + F.col("_bs"))
+               .withColumn("__off", F.sum("__nf").over(wb.rowsBetween(Window.unboundedPreceding,
+                                                                    Window.currentRow)) - F.col("__nf"))
+               .withColumn("__prev", F.max(F.col("__off") + F.col("__bs"))
                            .over(wb.rowsBetween(Window.unboundedPreceding, -1)))
-               .select(key, "_b", "_off", "_prev"))
-    fails = local.where(is_fail).join(offsets, [key, "_b"])
-    at_last_success = F.coalesce(F.col("_off") + F.col("_ls"), F.col("_prev"), F.lit(0).cast("bigint"))
-    run = F.col("_off") + F.col("_lf") - at_last_success
+               .select(key, "__b", "__off", "__prev"))
+    fails = local.where(is_fail).join(offsets, [key, "__b"])
+    at_last_success = F.coalesce(F.col("__off") + F.col("__ls"), F.col("__prev"), F.lit(0).cast("bigint"))
+    run = F.col("__off") + F.col("__lf") - at_last_success
     streak = ((run - 1) % cap + 1) if cap else run
     return fails.select(*dict.fromkeys([*keep, key]), streak.cast("bigint").alias("streak"))

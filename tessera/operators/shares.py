@@ -19,11 +19,16 @@ def value_share(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     One row per wanted value ``(col, share)``, in the order given. All
     counts come from a single aggregate (one ``count_if`` per value plus
     ``count(*)``), so the table is scanned once whatever the number of
-    values. The denominator is every row, null values included.
+    values. The denominator is every row, null values included. Wanted
+    values are compared in the column's type (a value the type cannot hold
+    has share 0) and reported as given.
     """
     if not values:
         raise ValueError("value_share needs at least one value")
-    counts = [F.count_if(F.col(col) == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(values)]
+    # a wanted value that the column's type cannot hold matches no row
+    dtype = df.schema[col].dataType
+    counts = [F.count_if(F.col(col) == F.lit(v).try_cast(dtype)).alias(f"_c{i}")
+              for i, v in enumerate(values)]
     one = df.agg(*counts, F.count(F.lit(1)).alias("_total"))
     pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(v).alias("v"), F.col(f"_c{i}").alias("c"))
                       for i, v in enumerate(values)])

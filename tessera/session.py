@@ -41,7 +41,9 @@ def build_session(master: str | None = None, app_name: str = "tessera",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        # re-apply runtime SQL settings to a session that already existed;
+        # static ones (warehouse, extensions, ...) only take effect at start
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -99,8 +99,13 @@ def _as_date(v):
 
 
 def file_date(path_col: Column | None = None) -> Column:
-    """Date parsed from the file path of each row (``_metadata.file_path``)."""
+    """Date of each row's folder (from ``_metadata.file_path``).
+
+    The file name is left out, so the date is the folder's, the same one
+    folder pruning used; within the folder path the last date wins.
+    """
     c = path_col if path_col is not None else F.col("_metadata.file_path")
+    c = F.regexp_replace(c, r"/[^/]*$", "")  # the folder holding the file
     last = r"^.*" + PATH_DATE_REGEX  # greedy prefix: the last date wins
     y, m, d = (F.regexp_extract(c, last, i) for i in (1, 2, 3))
     return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")

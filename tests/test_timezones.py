@@ -51,3 +51,27 @@ def test_failure_streak_zoned(new_york):
     out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, bucket_hours=1.0,
                          keep=["id"])
     assert sorted((r.id, r.streak) for r in out.collect()) == [(1, 1), (2, 2), (4, 1)]
+
+
+def test_lookback_ntz_in_dst_gap_is_wall_clock(new_york):
+    from tessera.functions import lookback_start
+    got = new_york.range(1).select(lookback_start("2024-03-10 03:30:00.5", 1.0).alias("x")).first().x
+    assert got == dt.datetime(2024, 3, 10, 2, 30, 0)
+
+
+def test_default_as_of_in_dst_overlap_keeps_the_instant(new_york):
+    # 01:30 EST on 2024-11-03 is the second 01:30 of that night
+    last = dt.datetime(2024, 11, 3, 6, 30, tzinfo=UTC)
+    rows = [("g", last - dt.timedelta(minutes=50), 2.0), ("g", last, 4.0)]
+    df = new_york.createDataFrame(rows, "k string, ts timestamp, v double")
+    got = trailing_topn_avg(df, "k", "v", "ts", hours=0.5, n=10).first().avg_top
+    assert got == 4.0
+
+
+def test_aware_as_of_on_ntz_column_is_taken_to_utc(spark):
+    rows = [("g", dt.datetime(2024, 1, 1, 0, 0), 1.0), ("g", dt.datetime(2024, 1, 1, 6, 0), 9.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    five = dt.timezone(dt.timedelta(hours=5))
+    as_of = dt.datetime(2024, 1, 1, 5, 0, tzinfo=five)  # = 00:00 UTC
+    got = trailing_topn_avg(df, "k", "v", "ts", hours=1, n=10, as_of=as_of).first().avg_top
+    assert got == 1.0
