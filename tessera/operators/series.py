@@ -66,7 +66,12 @@ def trailing_topn_avg(prices: DataFrame, keys: str | Sequence[str], value: str,
     if not fill_empty:
         return avg_top
     every_key = prices.select(*keys).distinct()
-    return (every_key.join(avg_top, keys, "left")
+    a = avg_top.select(*[F.col(k).alias(f"__{k}") for k in keys], "avg_top")
+    on = None
+    for k in keys:  # null-safe: a null key keeps its own average
+        c = every_key[k].eqNullSafe(a[f"__{k}"])
+        on = c if on is None else on & c
+    return (every_key.join(a, on, "left")
             .select(*keys, F.coalesce("avg_top", F.lit(0.0)).alias("avg_top")))
 
 
@@ -118,7 +123,9 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
     The per-option argmin is a ``min`` over a struct (an aggregate, no
     window), and the final choice is ``orderBy(pos).limit(1)``.
     ``with_severity`` adds the ``severity`` of the choice (see ``severity``)
-    from its position among all rows of ``preferences``.
+    from its 1-based index among all rows of ``preferences`` in ``pos``
+    order. Each preference row is judged on its own, so a group listed
+    twice (with two limits) is tried at both positions.
     """
     given = as_of is not None
     as_of = as_of_instant(prices, ts, as_of)
@@ -140,7 +147,7 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
     cand = (p.join(prefs, grp)
             .where(F.col(max_price).isNull() | (F.col("price") > 0)))
     sort_price = F.when(F.col(max_price).isNull(), F.lit(0.0)).otherwise(F.col("price"))
-    best = (cand.groupBy(grp)
+    best = (cand.groupBy(pos, grp)
             .agg(F.min(F.struct(sort_price.alias("sp"), F.col(opt).alias("o"), F.col("price").alias("p"),
                                 F.col(pos).alias("pos"), F.col(max_price).alias("mx"))).alias("__best")))
     accepted = best.where(F.col("__best.mx").isNull() | (F.col("__best.p") < F.col("__best.mx") * F.lit(margin)))
@@ -148,8 +155,14 @@ def cheapest_under_limit(prices: DataFrame, preferences: DataFrame, grp: str, op
               .select(F.col("__best.pos").alias(pos), grp, F.col("__best.o").alias(opt),
                       _round(F.col("__best.p"), digits).alias("price")))
     if with_severity:
+        # severity is about the index of the chosen preference (1-based), not
+        # the raw pos value; the preference list is a small parameter table
+        idx = preferences.select(F.col(pos).alias("__pos"),
+                                 F.row_number().over(Window.orderBy(F.col(pos))).alias("__idx"))
         n_prefs = preferences.select(F.count(F.lit(1))).scalar()
-        chosen = chosen.withColumn("severity", severity(F.col(pos), n_prefs))
+        chosen = (chosen.join(idx, chosen[pos] == idx["__pos"], "left")
+                  .withColumn("severity", severity(F.col("__idx"), n_prefs))
+                  .drop("__pos", "__idx"))
     return chosen
 
 
@@ -166,7 +179,8 @@ def severity(pos: Column, n: Column) -> Column:
 
 
 def choice_severity(choices: DataFrame, pos: str = "pos", n: str | int | None = None) -> DataFrame:
-    """Add ``severity`` to rows holding a chosen position ``pos``.
+    """Add ``severity`` to rows holding a chosen position ``pos`` (the 1-based
+    index of the choice in the preference list).
 
     ``n`` (number of preferences) is a column name, an int, or, when
     omitted, the number of rows of ``choices`` as a scalar subquery (one

@@ -1,7 +1,10 @@
 """DuckDB SQL for each registered job, run on the same Parquet tables.
 
 Written independently of the Spark code paths (plain SQL statements of each
-job's meaning), and aliased to the Spark output column names.
+job's meaning), and aliased to the Spark output column names. Orderings
+state ``nulls first`` where Spark's ascending default does. DuckDB's
+``lower`` maps code point by code point, while Spark (like the JVM) lowers a
+word-final capital sigma to the final form; the test texts have none.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ ORACLE: dict[str, str] = {
     "topk_share": """
         select p_type, cnt, cnt::double / (select count(*) from part) as share
         from (select p_type, count(*) as cnt from part group by p_type)
-        order by cnt desc, p_type limit 5
+        order by cnt desc, p_type nulls first limit 5
     """,
     "anagram_groups": r"""
         select string_agg(w, ' ' order by w) as words
@@ -78,18 +81,20 @@ ORACLE: dict[str, str] = {
         rp as (select event_type, user_id, avg(value) as rec from r where rn <= 2 group by 1, 2),
         p as (select hp.event_type, hp.user_id,
                      greatest(coalesce(rp.rec, 0), coalesce(hp.hist, 0)) as price
-              from hp left join rp on hp.event_type = rp.event_type and hp.user_id = rp.user_id),
+              from hp left join rp on hp.event_type is not distinct from rp.event_type
+                                  and hp.user_id is not distinct from rp.user_id),
         l as (select * from (values (1, 'view', 20.0), (2, 'click', 60.0), (3, 'error', 500.0))
                      t(pos, event_type, max_price)),
         b as (select p.*, l.pos, l.max_price,
-                     row_number() over (partition by p.event_type order by price, user_id) as k
+                     row_number() over (partition by l.pos, p.event_type
+                                        order by price, user_id nulls first) as k
               from p join l on p.event_type = l.event_type where price > 0)
         select pos, event_type, user_id, round(price, 6) as price
         from b where k = 1 and price < max_price * 0.8
         order by pos limit 1
     """,
     "choice_severity": """
-        with k as (select event_type, row_number() over (order by event_type) as pos,
+        with k as (select event_type, row_number() over (order by event_type nulls first) as pos,
                           count(*) over () as n
                    from (select distinct event_type from events))
         select event_type, pos,
@@ -109,12 +114,12 @@ ORACLE: dict[str, str] = {
     "failure_streak": """
         with s as (select event_id, user_id, ts, event_type,
                           sum(case when event_type <> 'error' then 1 else 0 end)
-                            over (partition by user_id order by ts, event_id
+                            over (partition by user_id order by ts nulls first, event_id nulls first
                                   rows between unbounded preceding and current row) as g
                    from events),
              r as (select event_id, user_id, event_type,
                           sum(case when event_type = 'error' then 1 else 0 end)
-                            over (partition by user_id, g order by ts, event_id
+                            over (partition by user_id, g order by ts nulls first, event_id nulls first
                                   rows between unbounded preceding and current row) as run
                    from s)
         select event_id, user_id, ((run - 1) % 2 + 1)::bigint as streak from r where event_type = 'error'

@@ -48,7 +48,7 @@ def word_count_stream_df(spark: SparkSession, source_dir: str, fmt: str = "text"
 
 def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                             checkpoint_dir: str, output_mode: str = "update",
-                            available_now: bool = True, processing_time: str | None = None,
+                            available_now: bool | None = None, processing_time: str | None = None,
                             **source) -> StreamingQuery:
     """Start the query, writing each micro-batch to ``sink_dir`` through ``foreachBatch``.
 
@@ -58,6 +58,8 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     batch overwrites the folder with the whole count table. Either way a
     replayed batch rewrites the same values, so replays are harmless. State
     holds one row per distinct word (bounded by the vocabulary).
+    ``processing_time`` (e.g. ``"1 minute"``) keeps the query polling;
+    otherwise it processes the files present now and stops.
     ``source`` takes the keyword arguments of ``word_count_stream_df``.
     """
     if output_mode not in ("update", "complete"):
@@ -74,10 +76,12 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     writer = (counts.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint_dir)
               .foreachBatch(write_batch))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
+    if processing_time and available_now:
+        raise ValueError("choose either processing_time or available_now")
+    if processing_time:  # keeps polling the folder
         writer = writer.trigger(processingTime=processing_time)
+    elif available_now is None or available_now:  # the files present now, then stop
+        writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
@@ -113,8 +117,8 @@ def run_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     """
     q = start_word_count_stream(spark, source_dir, sink_dir, checkpoint_dir, output_mode,
                                 True, **source)
-    if timeout_sec:
-        finished = q.awaitTermination(timeout_sec)
+    if timeout_sec is not None:
+        finished = q.awaitTermination(timeout_sec) if timeout_sec > 0 else not q.isActive
         if not finished:
             q.stop()
             raise TimeoutError(f"word count stream still running after {timeout_sec} s")

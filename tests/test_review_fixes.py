@@ -42,3 +42,56 @@ def test_build_session_with_static_sql_setting(spark):
     from tessera.session import build_session
     again = build_session(extra={"spark.sql.warehouse.dir": "/tmp/ignored-warehouse"})
     assert again is spark
+
+
+def test_group_listed_twice_is_tried_at_both_positions(spark):
+    from tessera.operators import cheapest_under_limit
+    t = dt.datetime(2024, 1, 1, 12)
+    prices = spark.createDataFrame([("view", "z1", t, 50.0)], "grp string, opt string, ts timestamp_ntz, value double")
+    prefs = spark.createDataFrame([(1, "view", 10.0), (2, "view", 100.0)], "pos int, grp string, max_price double")
+    got = [tuple(r) for r in cheapest_under_limit(prices, prefs, "grp", "opt", "value", "ts").collect()]
+    assert got == [(2, "view", "z1", 50.0)]
+
+
+def test_severity_uses_the_index_not_the_pos_value(spark):
+    from tessera.operators import cheapest_under_limit
+    t = dt.datetime(2024, 1, 1, 12)
+    prices = spark.createDataFrame([("a", "z", t, 1.0), ("b", "z", t, 1.0), ("c", "z", t, 1.0)],
+                                   "grp string, opt string, ts timestamp_ntz, value double")
+    prefs = spark.createDataFrame([(10, "a", 5.0), (20, "b", 5.0), (30, "c", 5.0)],
+                                  "pos int, grp string, max_price double")
+    got = cheapest_under_limit(prices, prefs, "grp", "opt", "value", "ts", with_severity=True).first()
+    assert (got.pos, got.severity) == (10, None)
+    prefs2 = spark.createDataFrame([(10, "x", 5.0), (20, "y", 5.0), (30, "c", 5.0)],
+                                   "pos int, grp string, max_price double")
+    got = cheapest_under_limit(prices, prefs2, "grp", "opt", "value", "ts", with_severity=True).first()
+    assert (got.pos, got.severity) == (30, "CRITICAL")
+
+
+def test_fill_empty_keeps_a_null_keys_average(spark):
+    from tessera.operators import trailing_topn_avg
+    t = dt.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame([(None, t, 42.0), ("a", t, 1.0), ("old", dt.datetime(2023, 1, 1), 5.0)],
+                               "k string, ts timestamp_ntz, v double")
+    got = sorted(((r.k or ""), r.avg_top) for r in
+                 trailing_topn_avg(df, "k", "v", "ts", hours=1, fill_empty=True).collect())
+    assert got == [("", 42.0), ("a", 1.0), ("old", 0.0)]
+
+
+def test_stream_triggers_and_zero_timeout(spark, scratch):
+    from tessera.sources import lines_frame
+    from tessera.streaming import run_word_count_stream, start_word_count_stream
+    src = f"{scratch}/src"
+    lines_frame(spark, ["a b", "b"]).write.text(src)
+    q = start_word_count_stream(spark, src, f"{scratch}/s1", f"{scratch}/c1", processing_time="1 second")
+    try:
+        assert q.isActive
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    with pytest.raises(ValueError):
+        start_word_count_stream(spark, src, f"{scratch}/s2", f"{scratch}/c2",
+                                processing_time="1 second", available_now=True)
+    with pytest.raises(TimeoutError):
+        run_word_count_stream(spark, src, f"{scratch}/s3", f"{scratch}/c3", timeout_sec=0)
+    assert not spark.streams.active
