@@ -41,10 +41,15 @@ def build_session(master: str | None = None, app_name: str = "tessera",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        # re-apply runtime SQL settings to a session that already existed;
-        # static ones (warehouse, extensions, ...) only take effect at start
-        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
-            spark.conf.set(k, v)
+        # re-apply SQL settings to a session that already existed; static
+        # ones (warehouse, extensions, ...) only take effect at start
+        if k.startswith("spark.sql."):
+            try:
+                spark.conf.set(k, v)
+            except Exception as e:  # noqa: BLE001 - only the static-config refusal is expected
+                msg = str(e)
+                if "CANNOT_MODIFY_STATIC_CONFIG" not in msg and "static config" not in msg.lower():
+                    raise
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark

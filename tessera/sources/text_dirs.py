@@ -98,14 +98,17 @@ def _as_date(v):
     return dt.date.fromisoformat(str(v)[:10])
 
 
-def file_date(path_col: Column | None = None) -> Column:
-    """Date of each row's folder (from ``_metadata.file_path``).
+def file_date(path_col: Column | None = None, strip_file_name: bool | None = None) -> Column:
+    """Date in a path, by default of each row's folder (``_metadata.file_path``).
 
-    The file name is left out, so the date is the folder's, the same one
-    folder pruning used; within the folder path the last date wins.
+    For the default file path the file name is left out, so the date is the
+    folder's, the same one folder pruning used. A given ``path_col`` is read
+    as it is (pass ``strip_file_name=True`` for file paths). The last date
+    in the path wins.
     """
     c = path_col if path_col is not None else F.col("_metadata.file_path")
-    c = F.regexp_replace(c, r"/[^/]*$", "")  # the folder holding the file
+    if strip_file_name if strip_file_name is not None else path_col is None:
+        c = F.regexp_replace(c, r"/[^/]*$", "")  # the folder holding the file
     last = r"^.*" + PATH_DATE_REGEX  # greedy prefix: the last date wins
     y, m, d = (F.regexp_extract(c, last, i) for i in (1, 2, 3))
     return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")

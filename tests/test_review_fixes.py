@@ -34,14 +34,18 @@ def test_value_share_on_numeric_column(spark):
 
 def test_file_date_ignores_the_file_name(spark):
     from tessera.sources import file_date
-    df = spark.createDataFrame([("file:/logs/2024-01-04/log-2024-01-05.txt",)], "p string")
-    assert df.select(file_date(F.col("p"))).first()[0] == dt.date(2024, 1, 4)
+    df = spark.createDataFrame([("file:/logs/2024-01-04/log-2024-01-05.txt", "/r/2024-01-04")],
+                               "p string, d string")
+    assert df.select(file_date(F.col("p"), strip_file_name=True)).first()[0] == dt.date(2024, 1, 4)
+    assert df.select(file_date(F.col("d"))).first()[0] == dt.date(2024, 1, 4)
 
 
 def test_build_session_with_static_sql_setting(spark):
     from tessera.session import build_session
-    again = build_session(extra={"spark.sql.warehouse.dir": "/tmp/ignored-warehouse"})
+    again = build_session(extra={"spark.sql.warehouse.dir": "/tmp/ignored-warehouse",
+                                 "spark.sql.custom.plugin.setting": "on"})
     assert again is spark
+    assert spark.conf.get("spark.sql.custom.plugin.setting") == "on"
 
 
 def test_group_listed_twice_is_tried_at_both_positions(spark):
