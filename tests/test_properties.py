@@ -79,3 +79,38 @@ def test_trailing_topn_avg_matches_definition(spark, vals, n, hours):
     assert got.keys() == want.keys()
     for key in got:
         assert abs(got[key] - want[key]) < 1e-9
+
+
+# text jobs against plain Python on random small texts (Python's ``regex``
+# module understands \p{L} like the JVM)
+alphabet = st.sampled_from(list("abcAB éÉß'-1 \n.,"))
+texts = st.lists(st.text(alphabet=alphabet, max_size=30), max_size=8)
+
+
+@SETTINGS
+@given(lines=texts)
+def test_word_count_matches_python(spark, lines):
+    import regex
+
+    from tessera.operators import word_count
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = dict(word_count(df).collect())
+    want = {}
+    for line in lines:
+        for w in regex.findall(r"[\p{L}'-]+", line):
+            want[w.lower()] = want.get(w.lower(), 0) + 1
+    assert got == want
+
+
+@SETTINGS
+@given(lines=texts)
+def test_anagram_groups_match_python(spark, lines):
+    from tessera.operators import anagram_groups
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = sorted(r.words for r in anagram_groups(df, whole_documents=True).collect())
+    groups = {}
+    for line in lines:
+        for part in line.replace("\n", " ").split(" "):
+            groups.setdefault("".join(sorted(part)), set()).add(part)
+    want = sorted(" ".join(sorted(ws)) for ws in groups.values() if len(ws) > 1)
+    assert got == want
