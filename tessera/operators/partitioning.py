@@ -43,12 +43,15 @@ def is_narrow_input(df: DataFrame) -> bool:
     (one status call per file, and only when there are fewer files than
     cores).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        files = df.inputFiles()
+        if not files or len(files) >= cores:
+            return False
+        max_split = _size_conf(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", None))
+        return _bytes_of(df, files) < cores * max_split
+    except Exception:  # noqa: BLE001 - no driver-side file system access: leave the input alone
         return False
-    max_split = _size_conf(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", None))
-    return _bytes_of(df, files) < cores * max_split
 
 
 def spread_narrow_input(df: DataFrame, target: int | None = None) -> DataFrame:
@@ -63,5 +66,6 @@ def spread_narrow_input(df: DataFrame, target: int | None = None) -> DataFrame:
     smaller slices even out the tasks.
     """
     if is_narrow_input(df):
-        return df.repartition(target or 2 * df.sparkSession.sparkContext.defaultParallelism)
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(target or 2 * cores)
     return df

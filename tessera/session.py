@@ -61,7 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the deployment names a shared folder; it is only set here
     when nothing is configured (local runs and tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
