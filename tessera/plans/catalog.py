@@ -21,7 +21,8 @@ from tessera.operators import (
 )
 from tessera.operators.partitioning import is_narrow_input, spread_narrow_input
 from tessera.session import scratch_root
-from tessera.sources import is_directory, table
+from tessera.functions.time import as_of_instant
+from tessera.sources import is_directory, read_partitioned_text, table
 from tessera.streaming import run_word_count_stream
 
 # Job parameters used by the registered queries.
@@ -33,6 +34,7 @@ PREFERENCES = [(1, "view", 20.0), (2, "click", 60.0), (3, "error", 500.0)]
 ZONE_SUFFIXES = ["a", "b", "c", "e"]
 GUESSED_SEGMENT = "AUTOMOBILE"
 ROUND_DIGITS = 6
+RECENT_DAYS = 14
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -44,6 +46,26 @@ def q_line_count(spark: SparkSession, d: str) -> DataFrame:
     return line_count(table(spark, d, "documents"), "text", whole_documents=True)
 
 
+def q_dated_line_count(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the last ``RECENT_DAYS`` days of a dated, completed text table.
+
+    The events are rendered as text lines and written once by Spark into
+    day folders (``partitionBy``) under the shared scratch folder; the read
+    requires the write's ``_SUCCESS`` marker and prunes the day folders
+    before the latest day minus ``RECENT_DAYS``.
+    """
+    import datetime as dt
+
+    ev = table(spark, d, "events")
+    root = f"{scratch_root(spark)}/events_by_day"
+    line = F.concat_ws(" ", F.col("event_id").cast("string"), F.col("event_type"),
+                       F.col("value").cast("string"))
+    ev.select(F.to_date("ts").alias("day"), line.alias("value")).write.partitionBy("day").text(root)
+    latest = as_of_instant(ev, "ts")
+    start = (dt.date.fromisoformat(latest[:10]) - dt.timedelta(days=RECENT_DAYS)) if latest else None
+    return line_count(read_partitioned_text(spark, root, "day", date_from=start))
+
+
 def q_word_count(spark: SparkSession, d: str) -> DataFrame:
     return word_count(documents(spark, d), "text")
 
@@ -144,6 +166,7 @@ def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_count": q_line_count,
+    "dated_line_count": q_dated_line_count,
     "word_count": q_word_count,
     "word_count_topk": q_word_count_topk,
     "value_share": q_value_share,

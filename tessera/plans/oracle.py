@@ -21,6 +21,10 @@ ORACLE: dict[str, str] = {
         select count(*) as n_lines
         from (select unnest(string_split(text, chr(10))) as l from documents)
     """,
+    "dated_line_count": """
+        select count(*) as n_lines from events
+        where cast(ts as date) >= (select max(cast(ts as date)) from events) - 14
+    """,
     "word_count": _WORD_COUNT,
     "word_count_topk": f"""
         select row_number() over (order by cnt desc, word desc) as rnk, word, cnt

@@ -140,3 +140,24 @@ def read_text_dirs(spark: SparkSession, root: str | list[str], pattern: str = "*
     if with_date:
         df = df.select("value", file_date().alias("date"))
     return df
+
+
+def read_partitioned_text(spark: SparkSession, root: str, date_col: str = "day",
+                          date_from=None, date_to=None,
+                          require_success: bool = True) -> DataFrame:
+    """Lines of a text table written with ``partitionBy(date_col)``.
+
+    The write's ``_SUCCESS`` marker sits at ``root``; with
+    ``require_success`` an unfinished write reads as empty. The date range
+    (both ends inclusive) is a filter on the partition column, so Spark
+    prunes the folders outside it at planning time (``PartitionFilters``)
+    and never lists or opens their files.
+    """
+    if require_success and not has_marker(spark, root):
+        return spark.createDataFrame([], f"value string, {date_col} date")
+    df = spark.read.text(root).withColumn(date_col, F.col(date_col).cast("date"))
+    if date_from is not None:
+        df = df.where(F.col(date_col) >= F.lit(str(_as_date(date_from))).cast("date"))
+    if date_to is not None:
+        df = df.where(F.col(date_col) <= F.lit(str(_as_date(date_to))).cast("date"))
+    return df

@@ -68,3 +68,21 @@ def test_nested_date_layout(spark, scratch):
     got = sorted((str(r.date), r.value) for r in df.collect())
     assert [d for d, _ in got] == ["2014-05-01"] + ["2014-05-02"] * 3
     assert read_text_dirs(spark, scratch, pattern="*/*/*").count() == 6
+
+
+def test_partitioned_text_prunes_days_and_needs_success(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from tessera.sources import read_partitioned_text
+    rows_ = [("2014-05-01", "a"), ("2014-05-02", "b"), ("2014-05-02", "c"), ("2014-05-03", "d")]
+    df = spark.createDataFrame(rows_, "day string, value string").withColumn("day", F.to_date("day"))
+    root = f"{scratch}/t"
+    df.write.partitionBy("day").text(root)
+    got = read_partitioned_text(spark, root, "day", date_from="2014-05-02", date_to="2014-05-02")
+    assert sorted(r.value for r in got.collect()) == ["b", "c"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    assert read_partitioned_text(spark, root, "day").count() == 0

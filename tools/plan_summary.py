@@ -70,6 +70,8 @@ def summarise(plan: str) -> dict:
 
 NOTES = {
     "line_count": "One partial sum per task, one row shuffled per task.",
+    "dated_line_count": "Day folders outside the range are pruned at planning time (PartitionFilters); "
+                        "the count is one partial aggregate per task.",
     "word_count": "Round-robin spread only for a narrow input (here one row group); partial count per "
                   "task, so a word with a third of all occurrences ships one row per task.",
     "word_count_topk": "As word_count, then TakeOrderedAndProject keeps k rows per task; the rank "
