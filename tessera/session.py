@@ -65,7 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a session without a local SparkContext
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not configured:  # a client-local folder would not exist on the cluster
+            raise ValueError("set spark.checkpoint.dir to a folder shared with the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

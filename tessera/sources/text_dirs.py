@@ -155,7 +155,11 @@ def read_partitioned_text(spark: SparkSession, root: str, date_col: str = "day",
     """
     if require_success and not has_marker(spark, root):
         return spark.createDataFrame([], f"value string, {date_col} date")
-    df = spark.read.text(root).withColumn(date_col, F.col(date_col).cast("date"))
+    df = spark.read.text(root)
+    # an empty write leaves no day folder, so no partition column: its rows
+    # (none) have an unknown day
+    day = F.col(date_col).cast("date") if date_col in df.columns else F.lit(None).cast("date")
+    df = df.withColumn(date_col, day)
     if date_from is not None:
         df = df.where(F.col(date_col) >= F.lit(str(_as_date(date_from))).cast("date"))
     if date_to is not None:

@@ -49,3 +49,11 @@ def test_series_jobs_on_empty(spark):
     assert failure_streak(ev, "user_id", "ts", F.col("event_type") == "error").count() == 0
     none = spark.createDataFrame([], "pos int")
     assert choice_severity(none, "pos").count() == 0
+
+
+def test_partitioned_text_of_an_empty_write(spark, scratch):
+    from tessera.sources import read_partitioned_text
+    root = f"{scratch}/empty_days"
+    spark.createDataFrame([], "day date, value string").write.partitionBy("day").text(root)
+    df = read_partitioned_text(spark, root, "day", date_from="2024-01-01")
+    assert line_count(df).first().n_lines == 0
