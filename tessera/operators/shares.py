@@ -13,6 +13,9 @@ def _ratio(num, den):
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+MANY_VALUES = 32
+
+
 def value_share(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     """Share of all rows whose ``col`` equals each wanted value.
 
@@ -21,10 +24,14 @@ def value_share(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     ``count(*)``), so the table is scanned once whatever the number of
     values. The denominator is every row, null values included. Wanted
     values are compared in the column's type (a value the type cannot hold
-    has share 0) and reported as given.
+    has share 0) and reported as given. Beyond ``MANY_VALUES`` wanted
+    values, a pushed ``IN`` filter and one keyed count replace the wide
+    aggregate (see ``_value_share_keyed``).
     """
     if not values:
         raise ValueError("value_share needs at least one value")
+    if len(values) > MANY_VALUES:
+        return _value_share_keyed(df, col, values)
     # a wanted value that the column's type cannot hold matches no row
     dtype = df.schema[col].dataType
     counts = [F.count_if(F.col(col) == F.lit(v).try_cast(dtype)).alias(f"_c{i}")
@@ -36,6 +43,24 @@ def value_share(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
     return rows.orderBy("i").select(F.col("v").alias(col), _ratio(F.col("c"), F.col("_total")).alias("share"))
 
 
+def _value_share_keyed(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
+    """``value_share`` for a long list: ``IN`` filter (pushed into the scan),
+    a partial count per value, a left join from the wanted list (a small
+    parameter table, one row per value) and the total as a scalar subquery."""
+    spark = df.sparkSession
+    dtype = df.schema[col].dataType
+    wanted = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "__i int, __v string")
+    wanted = wanted.withColumn("__key", F.col("__v").try_cast(dtype))
+    keys = [F.lit(v).try_cast(dtype) for v in values]  # folded to literals: a pushed IN filter
+    counts = (df.where(F.col(col).isin(keys)).groupBy(F.col(col).alias("__key"))
+              .agg(F.count(F.lit(1)).alias("__c")))
+    total = df.select(F.count(F.lit(1))).scalar()
+    joined = wanted.join(counts, wanted["__key"] == counts["__key"], "left")
+    return (joined.orderBy("__i")
+            .select(F.col("__v").alias(col),
+                    _ratio(F.coalesce(F.col("__c"), F.lit(0)), total).alias("share")))
+
+
 def key_counts(df: DataFrame, col: str) -> DataFrame:
     """``(col, cnt)``: rows per key (partial + final hash aggregate)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("cnt"))

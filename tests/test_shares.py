@@ -112,3 +112,19 @@ def test_share_lines(spark):
     log = parse(spark, PAGE_LOG, ["id", "page", "status"])
     first = format_share_lines(topk_share(log, "page", 1), "page").first().line
     assert first == "/comprar 3 0.25"
+
+
+def test_value_share_long_list_matches_short_path(spark):
+    from tessera.operators import shares
+    df = spark.createDataFrame([(i % 7,) for i in range(100)] + [(None,)], "s int")
+    wanted = [str(i) for i in range(40)] + ["x", "3"]
+    long_path = [tuple(r) for r in value_share(df, "s", wanted).collect()]
+    old, shares.MANY_VALUES = shares.MANY_VALUES, 10_000
+    try:
+        short_path = [tuple(r) for r in value_share(df, "s", wanted).collect()]
+    finally:
+        shares.MANY_VALUES = old
+    assert long_path == short_path
+    assert long_path[3] == ("3", 14 / 101) and long_path[-2] == ("x", 0.0)
+    plan = value_share(df.where("s is not null"), "s", wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert " IN (" in plan.upper() or "INSET" in plan.upper()
