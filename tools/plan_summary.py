@@ -54,12 +54,15 @@ def summarise(plan: str) -> dict:
         elif re.match(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", body):
             m = re.match(r"(\w+) (\[.*?\]), (\[.*?\]), (\w+)", body)
             out["joins"].append(clean(" ".join(m.groups())) if m else clean(body[:80]))
-        elif body.startswith("FileScan parquet"):
-            loc = re.search(r"\[file:[^\]]*/([^/\]]+)\]", body)
+        elif body.startswith("FileScan parquet") or body.startswith("FileScan text"):
+            loc = re.search(r"\[file:[^\],]*?/([^/\],]+)(?:\]|,)", body)
             pf = re.search(r"PushedFilters: (\[.*?\])", body)
+            part = re.search(r"PartitionFilters: (\[.*?\])", body)
             rs = re.search(r"ReadSchema: (struct<.*?>)", body)
-            out["scans"].append(f"{loc.group(1) if loc else '?'}: pushed {pf.group(1) if pf else '[]'}, "
-                                f"reads {rs.group(1) if rs else '?'}")
+            kind = "text " if body.startswith("FileScan text") else ""
+            pruned = f", partition filters {clean(part.group(1))}" if part and part.group(1) != "[]" else ""
+            out["scans"].append(f"{kind}{loc.group(1) if loc else '?'}: pushed {pf.group(1) if pf else '[]'}"
+                                f"{pruned}, reads {rs.group(1) if rs else '?'}")
         else:
             for op in ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "WindowGroupLimit",
                        "TakeOrderedAndProject", "Generate", "Union", "Expand"):
