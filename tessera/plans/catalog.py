@@ -22,8 +22,8 @@ from tessera.operators import (
 )
 from tessera.operators.partitioning import is_narrow_input, spread_narrow_input
 from tessera.session import scratch_root
-from tessera.functions.time import as_of_instant
-from tessera.sources import is_directory, read_partitioned_text, table
+from tessera.sources import is_directory, path_date, read_partitioned_text, table
+from tessera.sources.text_dirs import all_dirs
 from tessera.streaming import run_word_count_stream
 
 # Job parameters used by the registered queries.
@@ -53,15 +53,17 @@ def q_dated_line_count(spark: SparkSession, d: str) -> DataFrame:
     The events are rendered as text lines and written once by Spark into
     day folders (``partitionBy``) under the shared scratch folder; the read
     requires the write's ``_SUCCESS`` marker and prunes the day folders
-    before the latest day minus ``RECENT_DAYS``.
+    before the latest day (read off the folder names) minus ``RECENT_DAYS``.
     """
     ev = table(spark, d, "events")
     root = f"{scratch_root(spark)}/events_by_day"
     line = F.concat_ws(" ", F.col("event_id").cast("string"), F.col("event_type"),
                        F.col("value").cast("string"))
     ev.select(F.to_date("ts").alias("day"), line.alias("value")).write.partitionBy("day").text(root)
-    latest = as_of_instant(ev, "ts")
-    start = (dt.date.fromisoformat(latest[:10]) - dt.timedelta(days=RECENT_DAYS)) if latest else None
+    # the latest day from the day folders' names: a listing, not a scan
+    days = [path_date(p) for p in all_dirs(spark, root, "day=*")]
+    days = [x for x in days if x is not None]
+    start = (max(days) - dt.timedelta(days=RECENT_DAYS)) if days else None
     return line_count(read_partitioned_text(spark, root, "day", date_from=start))
 
 
