@@ -107,3 +107,61 @@ def powers(base: int, n: int) -> np.ndarray:
     if n:
         out[0] = 1
     return np.multiply.accumulate(out)
+
+
+def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow string column without nulls, and each row's offsets in them."""
+    import pyarrow as pa
+    arr = column.cast(pa.large_binary())
+    offsets = np.frombuffer(arr.buffers()[1], dtype=np.int64)[arr.offset: arr.offset + len(arr) + 1]
+    data = arr.buffers()[2]
+    return np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8), offsets
+
+
+def row_ranges(offsets: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Row ranges [a, b) of at most ``limit`` bytes each, or one longer row."""
+    out, a, n = [], 0, len(offsets) - 1
+    while a < n:
+        b = int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1
+        b = min(max(b, a + 1), n)
+        out.append((a, b))
+        a = b
+    return out
+
+
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+# a fixed pseudo-random number for each byte
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * MIX)
+_BASE = 0x9E3779B97F4A7C55  # odd
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = False
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words (runs of bytes other than space and \\t..\\r) of the rows between offsets.
+
+    Returns each word's 64-bit hash, its start and end in ``data`` and, per
+    row, the number of words before it (one more entry than rows). Equal
+    words have equal hashes.
+    """
+    lo, hi = int(offsets[0]), int(offsets[-1])
+    part = data[lo:hi]
+    if lower:
+        part = _LOWER[part]
+    inside = ~_SPACE[part]
+    cut = np.zeros(len(part) + 1, dtype=bool)  # a word also ends where its row ends
+    cut[offsets - lo] = True
+    before = np.zeros(len(part), dtype=bool)
+    before[1:] = inside[:-1]
+    starts = np.flatnonzero(inside & (~before | cut[:-1]))
+    after = np.zeros(len(part), dtype=bool)
+    after[:-1] = inside[1:]
+    ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    sums = np.zeros(len(part) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[part] * powers(_BASE, len(part)), out=sums[1:])
+    hashes = mix64((sums[ends] - sums[starts]) * powers(_INVERSE, len(part) + 1)[starts])
+    counts = np.searchsorted(starts, offsets - lo)
+    return hashes, starts + lo, ends + lo, counts
