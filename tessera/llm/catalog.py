@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, sharding, simhash
+from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
     "op2_mixing": mixing.op2_mixing,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_language": language.op4_language,
+    "op5_ngram_lm": ngram_lm.op5_ngram_lm,
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,12 +102,59 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: dict[int, np.ndarray] = {}  # of this process; as long as the longest chunk of text so far
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2**64."""
-    out = np.full(n, np.uint64(base), dtype=np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 1), np.uint64(base), dtype=np.uint64)
+        have[0] = 1
+        have = _POWERS[base] = np.multiply.accumulate(have)
+    return have[:n]
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending uint64 values as their gaps, in as few whole bytes each as the largest gap needs."""
+    if not len(values):
+        return b""
+    gaps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(gaps[1:].max() if len(gaps) > 1 else 0).bit_length() + 7) // 8)
+    rest = gaps[1:].view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + gaps[:1].tobytes() + np.ascontiguousarray(rest.T).tobytes()
+
+
+def unpack_sorted(code: bytes) -> np.ndarray:
+    """The values of :func:`pack_sorted`."""
+    if not code:
+        return np.empty(0, dtype=np.uint64)
+    width, first = code[0], np.frombuffer(code, "<u8", 1, 1)
+    planes = np.frombuffer(code, np.uint8, offset=9).reshape(width, -1)
+    gaps = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    gaps[:, :width] = planes.T
+    return np.cumsum(np.concatenate([first, gaps.reshape(-1).view("<u8")]), dtype=np.uint64)
+
+
+def pack_counts(values: np.ndarray) -> bytes:
+    """Small whole numbers, compressed."""
+    return zlib.compress(np.ascontiguousarray(values, dtype="<u4").tobytes(), 1)
+
+
+def unpack_counts(code: bytes) -> np.ndarray:
+    """The numbers of :func:`pack_counts`."""
+    return np.frombuffer(zlib.decompress(code), dtype="<u4")
+
+
+def merge_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several counted lists, and the sums of their counts."""
+    if not keys:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, count = key[order], count[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(count, first) if len(first) else np.empty(0, np.int64)
 
 
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
