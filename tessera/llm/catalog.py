@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash
+from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash, suffix_dedup
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -16,6 +16,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_lm": ngram_lm.op5_ngram_lm,
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {

@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import golomb
-from tessera.llm.common import load, text_or_empty, written
-
-FINGERPRINT_BITS = 48
-PER_OWNER = 1_000_000  # fingerprints that one owner decodes at once, about
-PER_MESSAGE = 1_000_000  # fingerprints that a sender holds before it sends
-FILTER_BITS = 1 << 23  # of the filter of suspects: at most 131,072 rows of 64 bits are broadcast
-
-_MESSAGE = "owner int, sender string, n long, k int, code binary, twice binary"
+from tessera.llm.common import load, text_or_empty
+from tessera.llm.exchange import FINGERPRINT_BITS, mark_suspects, repeated_fingerprints
 
 
 def fingerprint(text_col: str, bits: int = FINGERPRINT_BITS):
@@ -87,42 +74,10 @@ def _suspects(owners: int, bits: int):
     return run
 
 
-def suspect_fingerprints(docs: DataFrame, text_col: str = "text", bits: int = FINGERPRINT_BITS,
-                         per_owner: int = PER_OWNER) -> DataFrame:
-    """Fingerprints (column fp, each once) that more than one row of ``docs`` has.
-
-    Every partition codes its sorted distinct fingerprints for the owners of
-    their ranges; a fingerprint that it has twice is marked, so a text that a
-    third of all rows share is one number per partition. Owners answer with
-    one bit per number. The number of owners grows with the rows. Messages
-    and bitmaps are matched by (owner, sender); the messages are written to
-    the shared folder first, so that both sides mean the same ones.
-    """
-    spark = docs.sparkSession
+def suspect_fingerprints(docs: DataFrame, text_col: str = "text", bits: int = FINGERPRINT_BITS) -> DataFrame:
+    """Fingerprints (column fp, each once) that more than one row of ``docs`` has."""
     total = docs.select(F.count(F.lit(1))).first()[0]
-    owners = max(1, math.ceil(total / per_owner), min(spark.sparkContext.defaultParallelism * 2, total))
-    fps = docs.select(fingerprint(text_col, bits).alias("fp"))
-    sent = written(spark, fps.mapInPandas(_messages(owners, bits), _MESSAGE))
-    bitmaps = sent.groupBy("owner").applyInPandas(_bitmaps(owners, bits), "owner int, sender string, bitmap binary")
-    return sent.join(bitmaps, ["owner", "sender"]).mapInPandas(_suspects(owners, bits), "fp long").distinct()
-
-
-def mark_suspects(rows: DataFrame, suspects: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``rows`` (with column fp) and a boolean ``suspect``, false only if fp is none of ``suspects``.
-
-    The suspects set bits of a filter of fixed size, which is broadcast: at
-    most ``filter_bits`` / 64 rows of two numbers. Rows that it lets through
-    by chance cost a shuffle, not a wrong result, so it needs no other form
-    for larger data; give it more bits there.
-    """
-    slot = F.pmod(F.xxhash64("fp"), F.lit(filter_bits))
-    words = (suspects.select(slot.alias("s"))
-             .groupBy((F.shiftright("s", 6)).alias("f_word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("f_bits")))
-    hit = F.coalesce(F.expr("shiftrightunsigned(f_bits, cast(f_slot & 63 as int)) & 1"), F.lit(0)) == 1
-    return (rows.withColumn("f_slot", slot).withColumn("f_word", F.shiftright("f_slot", 6))
-            .join(F.broadcast(words), "f_word", "left").withColumn("suspect", hit)
-            .drop("f_slot", "f_word", "f_bits"))
+    return repeated_fingerprints(docs.select(fingerprint(text_col, bits).alias("fp")), total, bits)
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
