@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash, suffix_dedup
+from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -14,6 +14,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_language": language.op4_language,
     "op5_ngram_lm": ngram_lm.op5_ngram_lm,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
@@ -22,4 +23,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
+    "op6_substring_dedup": substring_dedup.ORACLE,
 }
