@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup
+from tessera.llm import bpe, exact_dedup, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -17,6 +17,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_simhash": simhash.op7_simhash,
     "op8_bpe": bpe.op8_bpe,
+    "op9_nearest": neighbours.op9_nearest,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
