@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +79,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()  # applications whose workers have got the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever it was started from.
+
+    The package goes to the executors as a zip, once per application, as
+    ``spark-submit --py-files`` would send it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tessera-code-")  # read by the driver alone, which serves it
+    archive = os.path.join(folder, "tessera.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint folder for job outputs."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
