@@ -35,8 +35,24 @@ def word_tokens(text: str | Column, pattern: str = WORD_PATTERN) -> Column:
 
 
 def lines_of(text: str | Column, sep: str = LINE_SEPARATOR) -> Column:
-    """Array of the lines of a whole-document string (every part is kept)."""
-    return F.split(_col(text), sep)
+    """Array of the lines of a whole-document string, as a text read gives them.
+
+    A final line break ends the last line and starts no other; an empty text
+    has no line.
+    """
+    parts = F.split(_col(text), sep)
+    return F.slice(parts, F.lit(1), F.size(parts) - _open_end(text, sep))
+
+
+def n_lines(text: str | Column, sep: str = LINE_SEPARATOR) -> Column:
+    """Number of :func:`lines_of`, without cutting out the lines."""
+    return F.size(F.split(_col(text), sep)) - _open_end(text, sep)
+
+
+def _open_end(text: str | Column, sep: str) -> Column:
+    """1 if the split ends in an empty part that is no line."""
+    c = _col(text)
+    return F.when(F.endswith(c, F.lit(sep)) | (c == F.lit("")), F.lit(1)).otherwise(F.lit(0))
 
 
 def split_fields(line: str | Column, sep: str = FIELD_SEPARATOR,

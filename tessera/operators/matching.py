@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import PAIR_SEPARATOR, pair_digest
+from tessera.operators.sequence import in_chunks
 
 
 def pair_digest_match(pairs: DataFrame, digests: DataFrame, a: str, b: str,
@@ -46,12 +47,6 @@ def _epoch_micros(ts: Column, dtype: str) -> Column:
     return (since.cast("interval second").cast("decimal(24,6)") * F.lit(1_000_000)).cast("bigint")
 
 
-def floor_div(a: Column, b: int) -> Column:
-    """Integer floor division, also for negative ``a``: ``a - pmod(a, b)`` is a
-    multiple of ``b``, divided with integral ``div`` (no floating point)."""
-    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b))
-
-
 def check_free(df: DataFrame, names: Sequence[str]) -> None:
     """Fail loudly instead of overwriting an input column with a helper column."""
     clash = sorted(set(df.columns) & set(names))
@@ -61,59 +56,54 @@ def check_free(df: DataFrame, names: Sequence[str]) -> None:
 
 def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
                 ttl_hours: float = 3.0, excl_key: str | None = None,
-                excl_ts: str | None = None, bucket_hours: float | None = None) -> DataFrame:
+                excl_ts: str | None = None) -> DataFrame:
     """Candidate rows not covered by an exclusion of the same key.
 
     A candidate at time t is dropped when an exclusion of its key exists at
     time e with ``e <= t < e + ttl`` (an exclusion lives ``ttl`` hours).
     Output: the candidate rows unchanged (all their columns).
 
-    No candidate is ever paired with every exclusion of its key. Time is cut
-    into buckets (``ttl`` wide by default); only the latest exclusion at or before t
-    matters, and it lies in t's bucket or one of the ``ceil(ttl / bucket)``
-    buckets before. Candidates and exclusions are unioned and sorted per
-    (key, bucket), a running maximum gives the latest exclusion so far in
-    the bucket, and one row per (key, bucket) carries the latest exclusion
-    of the earlier buckets in reach. A key holding a third of all rows is
-    thus spread over its time buckets (``bucket_hours`` below ``ttl_hours``
-    splits it further), and the work is a sort, not a product. Null keys or
-    times never exclude.
+    Only the latest exclusion at or before t matters, so no candidate is
+    ever paired with all exclusions of its key. Candidates and exclusions
+    (each instant once per key) are put in one sequence by (key, time) and
+    cut into chunks by row counts (see ``in_chunks``; a hash of the
+    candidate cuts rows of one instant). A running maximum gives the latest
+    exclusion so far in the chunk; one row per key and chunk carries it into
+    the next ones. Null keys or times never exclude and are not excluded;
+    such candidates take no part in the sequence.
     """
     excl_key = excl_key or key
     excl_ts = excl_ts or ts
     dtype = candidates.schema[ts].dataType.simpleString()
     ttl_us = int(round(ttl_hours * 3600 * 1_000_000))
-    width_us = int(round((bucket_hours or ttl_hours) * 3600 * 1_000_000))
-    if not 0 < width_us <= ttl_us:
-        raise ValueError("bucket_hours must be positive and at most ttl_hours")
-    reach = -(-ttl_us // width_us)  # earlier buckets an exclusion can reach from
+    if ttl_us <= 0:
+        raise ValueError("ttl_hours must be positive")
     cand_cols = candidates.columns
-    check_free(candidates, ["__k", "__us", "__e", "__b", "__last", "__prev", "__d"])
+    check_free(candidates, ["__k", "__us", "__c", "__tie", "__b", "__last", "__prev", "__pk", "__pb"])
 
-    cand = (candidates
-            .withColumn("__k", F.col(key))
-            .withColumn("__us", _epoch_micros(F.col(ts), dtype))
-            .withColumn("__e", F.lit(0)))
+    placed = candidates.withColumns({"__k": F.col(key), "__us": _epoch_micros(F.col(ts), dtype)})
+    hashed = [c for c, kind in candidates.dtypes if "map<" not in kind and "variant" not in kind]
+    alone = F.col("__k").isNull() | F.col("__us").isNull()
+    cand = placed.where(~alone).withColumns({"__c": F.lit(1), "__tie": F.xxhash64(*hashed)})
     exc = (exclusions
            .select(F.col(excl_key).alias("__k"), _epoch_micros(F.col(excl_ts).cast(dtype), dtype).alias("__us"))
-           .where(F.col("__k").isNotNull() & F.col("__us").isNotNull())
-           .withColumn("__e", F.lit(1)))
-    bucket = floor_div(F.col("__us"), width_us).cast("bigint")
-
-    both = cand.unionByName(exc, allowMissingColumns=True).withColumn("__b", bucket)
-    w = (Window.partitionBy("__k", "__b").orderBy(F.col("__us").asc_nulls_first(), F.col("__e").desc())
+           .where(F.col("__k").isNotNull() & F.col("__us").isNotNull()).distinct()
+           .withColumns({"__c": F.lit(0), "__tie": F.lit(0).cast("bigint")}))
+    order = ["__us", "__c", "__tie"]  # at one instant exclusions come first
+    both = in_chunks(cand.unionByName(exc, allowMissingColumns=True), ["__k", *order])
+    w = (Window.partitionBy("__k", "__b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last_in_bucket = F.max(F.when(F.col("__e") == 1, F.col("__us"))).over(w)
-    swept = both.withColumn("__last", last_in_bucket).where(F.col("__e") == 0)
-
-    # latest exclusion of the buckets in reach, keyed by the bucket it reaches
-    # into: one partial + final aggregate (map-side max before the shuffle)
-    shifted = exc.select("__k", "__us", F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("__d"))
-    prev = shifted.groupBy("__k", (bucket + F.col("__d")).alias("__b")).agg(F.max("__us").alias("__prev"))
-    joined = swept.join(prev, ["__k", "__b"], "left")
-    covered = (((F.col("__last").isNotNull()) & (F.col("__us") < F.col("__last") + ttl_us))
-               | ((F.col("__prev").isNotNull()) & (F.col("__us") < F.col("__prev") + ttl_us)))
-    return joined.where(~F.coalesce(covered, F.lit(False))).select(*cand_cols)
+    excluded_at = F.when(F.col("__c") == 0, F.col("__us"))
+    swept = both.withColumn("__last", F.max(excluded_at).over(w)).where(F.col("__c") == 1)
+    # the latest exclusion of all earlier chunks of the key: one row per key and chunk
+    per_chunk = both.groupBy("__k", "__b").agg(F.max(excluded_at).alias("__m"))
+    earlier = Window.partitionBy("__k").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    prev = per_chunk.select(F.col("__k").alias("__pk"), F.col("__b").alias("__pb"),
+                            F.max("__m").over(earlier).alias("__prev")).where(F.col("__prev").isNotNull())
+    joined = swept.join(prev, (F.col("__k") == F.col("__pk")) & (F.col("__b") == F.col("__pb")), "left")
+    latest = F.coalesce("__last", "__prev")
+    covered = F.coalesce(F.col("__us") < latest + ttl_us, F.lit(False))
+    return joined.where(~covered).select(*cand_cols).unionByName(placed.where(alone).select(*cand_cols))
 
 
 def active_at(exclusions: DataFrame, ts: str, as_of: Column, ttl_hours: float = 3.0) -> DataFrame:

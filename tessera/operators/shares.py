@@ -13,52 +13,28 @@ def _ratio(num, den):
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-MANY_VALUES = 32
-
-
-def value_share(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
+def value_share(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Share of all rows whose ``col`` equals each wanted value.
 
-    One row per wanted value ``(col, share)``, in the order given. All
-    counts come from a single aggregate (one ``count_if`` per value plus
-    ``count(*)``), so the table is scanned once whatever the number of
-    values. The denominator is every row, null values included. Wanted
-    values are compared in the column's type (a value the type cannot hold
-    has share 0) and reported as given. Beyond ``MANY_VALUES`` wanted
-    values, a pushed ``IN`` filter and one keyed count replace the wide
-    aggregate (see ``_value_share_keyed``).
+    One row per wanted value ``(col, share)``, in the order given, ``col`` in
+    the column's own type; a value that this type cannot hold is null there
+    and has share 0. One scan and one path for any number of values: rows
+    are counted per wanted value, all others together, in partial aggregates
+    (at most one row more than there are wanted values), and the denominator
+    is the sum of these counts, null values included.
     """
     if not values:
         raise ValueError("value_share needs at least one value")
-    if len(values) > MANY_VALUES:
-        return _value_share_keyed(df, col, values)
-    # a wanted value that the column's type cannot hold matches no row
     dtype = df.schema[col].dataType
-    counts = [F.count_if(F.col(col) == F.lit(v).try_cast(dtype)).alias(f"_c{i}")
-              for i, v in enumerate(values)]
-    one = df.agg(*counts, F.count(F.lit(1)).alias("_total"))
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(v).alias("v"), F.col(f"_c{i}").alias("c"))
-                      for i, v in enumerate(values)])
-    rows = one.select(F.inline(pairs), "_total")
-    return rows.orderBy("i").select(F.col("v").alias(col), _ratio(F.col("c"), F.col("_total")).alias("share"))
-
-
-def _value_share_keyed(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
-    """``value_share`` for a long list: ``IN`` filter (pushed into the scan),
-    a partial count per value, a left join from the wanted list (a small
-    parameter table, one row per value) and the total as a scalar subquery."""
-    spark = df.sparkSession
-    dtype = df.schema[col].dataType
-    wanted = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "__i int, __v string")
-    wanted = wanted.withColumn("__key", F.col("__v").try_cast(dtype))
-    keys = [F.lit(v).try_cast(dtype) for v in values]  # folded to literals: a pushed IN filter
-    counts = (df.where(F.col(col).isin(keys)).groupBy(F.col(col).alias("__key"))
-              .agg(F.count(F.lit(1)).alias("__c")))
-    total = df.select(F.count(F.lit(1))).scalar()
-    joined = wanted.join(counts, wanted["__key"] == counts["__key"], "left")
-    return (joined.orderBy("__i")
-            .select(F.col("__v").alias(col),
-                    _ratio(F.coalesce(F.col("__c"), F.lit(0)), total).alias("share")))
+    wanted = [F.lit(v).try_cast(dtype) for v in values]
+    counts = (df.groupBy(F.when(F.col(col).isin(wanted), F.col(col)).alias("k"))
+              .agg(F.count(F.lit(1)).alias("c")))
+    pairs = F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "c")))
+    one = counts.agg(F.map_from_entries(pairs).alias("m"), F.sum("c").alias("total"))
+    rows = one.select("m", "total", F.posexplode(F.array(*wanted)).alias("i", "v"))
+    found = F.when(F.col("v").isNotNull(), F.try_element_at("m", F.col("v")))
+    return (rows.orderBy("i").select(F.col("v").alias(col),
+                                     _ratio(F.coalesce(found, F.lit(0)), F.col("total")).alias("share")))
 
 
 def key_counts(df: DataFrame, col: str) -> DataFrame:

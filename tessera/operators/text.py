@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import (
     FIELD_SEPARATOR, LINE_SEPARATOR, WORD_PATTERN, anagram_key, joined_sorted,
-    lines_of, split_fields,
+    n_lines, split_fields,
 )
 
 
@@ -16,11 +16,11 @@ def line_count(df: DataFrame, text_col: str = "value", whole_documents: bool = F
 
     On a line table (``spark.read.text``) every row is a line. With
     ``whole_documents`` each row holds a whole text and its lines are
-    counted with ``size(split(text, '\\n'))``, which never materialises
-    the lines. A null text counts no line.
+    counted as a text read would: a final line break starts no further
+    line, an empty or null text has none.
     """
     if whole_documents:
-        per_row = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines_of(text_col)))
+        per_row = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(n_lines(text_col))
         n = F.sum(per_row.cast("bigint"))
         return df.agg(F.coalesce(n, F.lit(0).cast("bigint")).alias("n_lines"))
     return df.agg(F.count(F.lit(1)).alias("n_lines"))
@@ -82,15 +82,14 @@ def anagram_groups(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPA
     Tokens are made distinct first (partial aggregate per task, then one
     shuffle on the token), so the anagram key is computed once per distinct
     token, and a key's list only ever holds distinct tokens: bounded by the
-    vocabulary, not by occurrences. An empty token is alone under its key
-    and never forms a group. Each group is one output row, so a group is
-    gathered in one task; ``anagram_members`` gives the same groups without
-    gathering them.
+    vocabulary, not by occurrences. Tokens that are alone under their key
+    (the empty one always is) are dropped by a partial count before anything
+    is gathered. Each group is one output row, so a group is gathered in one
+    task; ``anagram_members`` gives the same groups without gathering them.
     """
-    tokens = _distinct_tokens(df, text_col, sep, whole_documents)
-    grouped = (tokens.groupBy(anagram_key("w").alias("k"))
-               .agg(F.collect_list("w").alias("ws")))
-    return grouped.where(F.size("ws") > 1).select(joined_sorted("ws").alias("words"))
+    members = anagram_members(df, text_col, sep, whole_documents)
+    grouped = members.groupBy("anagram_key").agg(F.collect_list("word").alias("ws"))
+    return grouped.select(joined_sorted("ws").alias("words"))
 
 
 def anagram_members(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEPARATOR,

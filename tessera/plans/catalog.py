@@ -11,18 +11,20 @@ import datetime as dt
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import pair_digest
 from tessera.operators import (
-    affected_share, anagram_groups, cheapest_under_limit, choice_severity,
+    affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity,
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
     trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk,
 )
-from tessera.operators.partitioning import is_narrow_input, spread_narrow_input
-from tessera.session import scratch_root
-from tessera.sources import is_directory, path_date, read_partitioned_text, table
+from tessera.operators.shares import format_share_lines
+from tessera.operators.text import format_ranked
+from tessera.plans import jobs
+from tessera.session import scratch
+from tessera.sources import is_directory, path_date, read_partitioned_text, read_text_dirs, table
 from tessera.sources.text_dirs import all_dirs
 from tessera.streaming import run_word_count_stream
 
@@ -36,11 +38,29 @@ ZONE_SUFFIXES = ["a", "b", "c", "e"]
 GUESSED_SEGMENT = "AUTOMOBILE"
 ROUND_DIGITS = 6
 RECENT_DAYS = 14
+FILES_PER_DAY = 8
+# event types in the order in which they are preferred
+PREFERRED_TYPES = ["click", "error", "purchase", "signup", "view"]
+# (pos, group, max_price): a limit nobody meets, then a group without a limit
+STRICT_PREFERENCES = [(1, "view", 0.001), (2, "purchase", 0.001), (3, "HOUSEHOLD", None), (4, "click", 500.0)]
+CAP = 2
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    """The document texts, spread over all cores when the file has few splits."""
-    return spread_narrow_input(table(spark, d, "documents").select("text"))
+    return table(spark, d, "documents").select("text")
+
+
+def _one_line(*cols) -> Column:
+    """Fields as one text line; a line break within a field becomes a space, as it would end the line."""
+    return F.regexp_replace(F.concat_ws(" ", *[F.col(c).cast("string") if isinstance(c, str) else c for c in cols]),
+                            "[\\r\\n]", " ")
+
+
+def _lines(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Text lines (``value``) that Spark writes to the shared folder and reads back as text files."""
+    root = scratch(spark)
+    rows.write.text(root)
+    return read_text_dirs(spark, root)
 
 
 def q_line_count(spark: SparkSession, d: str) -> DataFrame:
@@ -56,10 +76,12 @@ def q_dated_line_count(spark: SparkSession, d: str) -> DataFrame:
     before the latest day (read off the folder names) minus ``RECENT_DAYS``.
     """
     ev = table(spark, d, "events")
-    root = f"{scratch_root(spark)}/events_by_day"
-    line = F.concat_ws(" ", F.col("event_id").cast("string"), F.col("event_type"),
-                       F.col("value").cast("string"))
-    ev.select(F.to_date("ts").alias("day"), line.alias("value")).write.partitionBy("day").text(root)
+    root = scratch(spark)
+    day = F.to_date("ts")
+    (ev.select(day.alias("day"), _one_line("event_id", "event_type", "value").alias("value"),
+               F.pmod(F.xxhash64("event_id"), F.lit(FILES_PER_DAY)).alias("part"))
+     .repartition("day", "part").drop("part")  # so many files a day at most, however many tasks read
+     .write.partitionBy("day").text(root))
     # the latest day from the day folders' names: a listing, not a scan
     days = [path_date(p) for p in all_dirs(spark, root, "day=*")]
     days = [x for x in days if x is not None]
@@ -119,16 +141,28 @@ def q_cheapest_under_limit(spark: SparkSession, d: str) -> DataFrame:
                                 digits=ROUND_DIGITS)
 
 
+def q_cheapest_without_limit(spark: SparkSession, d: str) -> DataFrame:
+    """The choice with exclusions, severity and a group without a limit.
+
+    That group, a market segment, has no prices: its options are its
+    customers, in order of their keys. Customers (and users) with an error within three hours are
+    excluded.
+    """
+    ev = table(spark, d, "events")
+    errors = ev.where(F.col("event_type") == "error").select("user_id", "ts")
+    listed = table(spark, d, "customer").select(F.col("c_mktsegment").alias("event_type"),
+                                                F.col("c_custkey").alias("user_id"))
+    prefs = spark.createDataFrame(STRICT_PREFERENCES, "pos int, event_type string, max_price double")
+    return cheapest_under_limit(ev, prefs, grp="event_type", opt="user_id", value="value", ts="ts",
+                                exclusions=errors, digits=ROUND_DIGITS, with_severity=True, options=listed)
+
+
 def q_choice_severity(spark: SparkSession, d: str) -> DataFrame:
-    # Preferences: the event types present, in name order. The position and
-    # the number of preferences come from one window over the distinct
-    # types (one row per type, never per event).
+    """Severity of each event type present, by its place in the preference list."""
+    prefs = spark.createDataFrame(list(enumerate(PREFERRED_TYPES, 1)), "pos bigint, event_type string")
     kinds = table(spark, d, "events").select("event_type").distinct()
-    ordered = Window.orderBy("event_type")
-    ranked = kinds.select("event_type",
-                          F.row_number().over(ordered).cast("bigint").alias("pos"),
-                          F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    return choice_severity(ranked, "pos", "n").select("event_type", "pos", "severity")
+    chosen = kinds.join(prefs, "event_type")
+    return choice_severity(chosen, "pos", len(PREFERRED_TYPES)).select("event_type", "pos", "severity")
 
 
 def q_ttl_exclude(spark: SparkSession, d: str) -> DataFrame:
@@ -138,21 +172,76 @@ def q_ttl_exclude(spark: SparkSession, d: str) -> DataFrame:
     return ttl_exclude(cand, excl, "user_id", "ts", ttl_hours=3).select("event_id", "user_id")
 
 
+def _events_with_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Events; every seventh has no user, so that null keys occur."""
+    user = F.when(F.pmod(F.col("event_id"), F.lit(7)) == 0, F.lit(None)).otherwise(F.col("user_id"))
+    return table(spark, d, "events").select("event_id", user.cast("bigint").alias("user_id"), "ts", "event_type")
+
+
 def q_failure_streak(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events")
-    return failure_streak(ev, "user_id", "ts", F.col("event_type") == "error",
-                          order_by=["event_id"], cap=2, keep=["event_id"])
+    return failure_streak(_events_with_gaps(spark, d), "user_id", "ts", F.col("event_type") == "error",
+                          order_by=["event_id"], cap=CAP, keep=["event_id"])
 
 
-def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The documents table read as a file stream and counted by the stream.
+def q_failure_streak_health(spark: SparkSession, d: str) -> DataFrame:
+    """The counter that restarts at its cap only on a healthy row (here: two of three events)."""
+    return failure_streak(_events_with_gaps(spark, d), "user_id", "ts",
+                          F.col("event_type").isin("error", "click"), order_by=["event_id"], cap=CAP,
+                          keep=["event_id"], healthy=F.pmod(F.col("event_id"), F.lit(3)) != 0)
 
-    Batches are spread over the cores only when the files present at start
-    form a narrow input (as for the batch jobs).
-    """
-    root = scratch_root(spark)
+
+def q_anagram_members(spark: SparkSession, d: str) -> DataFrame:
+    return anagram_members(documents(spark, d), "text", whole_documents=True)
+
+
+# ---- jobs over raw text lines, which Spark renders from the tables -----------------------
+
+def _status_lines(spark: SparkSession, d: str) -> DataFrame:
+    """``<customer> <page> <status>`` lines, one per order."""
+    page = F.concat(F.lit("/page"), F.pmod(F.col("o_orderkey"), F.lit(97)).cast("string"))
+    return _lines(spark, table(spark, d, "orders").select(_one_line("o_custkey", page, "o_orderstatus")))
+
+
+def q_status_share(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.status_share(_status_lines(spark, d), ["F", "O", "P", "X"])
+
+
+def q_affected_ip_share(spark: SparkSession, d: str) -> DataFrame:
+    addresses = _lines(spark, table(spark, d, "customer").select(_one_line("c_custkey", "c_name")))
+    return jobs.affected_ip_share(_status_lines(spark, d), addresses, "P")
+
+
+def q_top_pages_share(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.top_pages_share(_status_lines(spark, d), TOP_KEYS)
+
+
+def q_top_pages_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The printed form of the most requested pages, the share in hundredths."""
+    top = jobs.top_pages_share(_status_lines(spark, d), TOP_KEYS)
+    return format_share_lines(top.withColumn("share", F.floor(F.col("share") * 100)), "page")
+
+
+def q_printed_top_words(spark: SparkSession, d: str) -> DataFrame:
+    """The printed ranking of the words of all documents, read as text lines."""
+    lines = _lines(spark, documents(spark, d).where("text is not null"))
+    return format_ranked(jobs.line_top_words(lines, TOP_WORDS))
+
+
+def q_completed_line_count(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of the finished ones of several folders: orders by status, the write of one left unfinished."""
+    root, orders = scratch(spark), table(spark, d, "orders")
+    line = _one_line("o_orderkey", "o_orderpriority")
+    for status in ("F", "O"):
+        orders.where(F.col("o_orderstatus") == status).select(line).write.text(f"{root}/{status}")
+    (orders.where(F.col("o_orderstatus") == "P").select(line)
+     .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(f"{root}/P"))
+    return jobs.completed_line_count(spark, root)
+
+
+def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The documents table read as a file stream and counted by the stream."""
+    root = scratch(spark)
     docs = table(spark, d, "documents")
-    spread = 2 * spark.sparkContext.defaultParallelism if is_narrow_input(docs) else None
     # a table written by Spark is a folder of part files: stream that folder;
     # a single file is picked out of the data folder by name
     path = os.path.join(d, "documents.parquet")
@@ -162,7 +251,7 @@ def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
         source, options = d, {"pathGlobFilter": "documents.parquet"}
     return run_word_count_stream(
         spark, source, f"{root}/sink", f"{root}/checkpoint", fmt="parquet", text_col="text",
-        schema=docs.schema, options=options, spread=spread)
+        schema=docs.schema, options=options)
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -182,4 +271,13 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ttl_exclude": q_ttl_exclude,
     "failure_streak": q_failure_streak,
     "word_count_stream": q_word_count_stream,
+    "anagram_members": q_anagram_members,
+    "cheapest_without_limit": q_cheapest_without_limit,
+    "failure_streak_health": q_failure_streak_health,
+    "status_share": q_status_share,
+    "affected_ip_share": q_affected_ip_share,
+    "top_pages_share": q_top_pages_share,
+    "top_pages_lines": q_top_pages_lines,
+    "printed_top_words": q_printed_top_words,
+    "completed_line_count": q_completed_line_count,
 }

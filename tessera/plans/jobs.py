@@ -21,7 +21,7 @@ STATUS_FIELDS = ["id", "page", "status"]
 ADDRESS_FIELDS = ["id", "ip"]
 
 
-def completed_line_count(spark: SparkSession, root: str | list[str], pattern: str = "*",
+def completed_line_count(spark: SparkSession, root: str | list[str], pattern: str | None = None,
                          date_from=None, date_to=None) -> DataFrame:
     """Lines of the finished (``_SUCCESS``) folders under ``root``, optionally by date."""
     lines = read_text_dirs(spark, root, pattern, require_success=True,

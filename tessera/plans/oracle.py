@@ -18,8 +18,9 @@ _WORD_COUNT = f"select word, count(*) as cnt from ({_WORDS}) group by word"
 
 ORACLE: dict[str, str] = {
     "line_count": """
-        select count(*) as n_lines
-        from (select unnest(string_split(text, chr(10))) as l from documents)
+        select sum(len(string_split(text, chr(10)))
+                   - case when text = '' or suffix(text, chr(10)) then 1 else 0 end)::bigint as n_lines
+        from documents
     """,
     "dated_line_count": """
         select count(*) as n_lines from events
@@ -98,9 +99,10 @@ ORACLE: dict[str, str] = {
         order by pos limit 1
     """,
     "choice_severity": """
-        with k as (select event_type, row_number() over (order by event_type nulls first) as pos,
-                          count(*) over () as n
-                   from (select distinct event_type from events))
+        with k as (select event_type, pos, 5 as n
+                   from (values (1::bigint, 'click'), (2, 'error'), (3, 'purchase'), (4, 'signup'), (5, 'view'))
+                        t(pos, event_type)
+                   where event_type in (select event_type from events))
         select event_type, pos,
                case when pos = 1 then null
                     when pos = n then 'CRITICAL'
@@ -116,11 +118,13 @@ ORACLE: dict[str, str] = {
               and e.ts <= v.ts and e.ts > v.ts - interval 3 hour)
     """,
     "failure_streak": """
-        with s as (select event_id, user_id, ts, event_type,
+        with e as (select event_id, case when event_id % 7 <> 0 then user_id end as user_id, ts, event_type
+                   from events),
+             s as (select event_id, user_id, ts, event_type,
                           sum(case when event_type <> 'error' then 1 else 0 end)
                             over (partition by user_id order by ts nulls first, event_id nulls first
                                   rows between unbounded preceding and current row) as g
-                   from events),
+                   from e),
              r as (select event_id, user_id, event_type,
                           sum(case when event_type = 'error' then 1 else 0 end)
                             over (partition by user_id, g order by ts nulls first, event_id nulls first
@@ -129,4 +133,61 @@ ORACLE: dict[str, str] = {
         select event_id, user_id, ((run - 1) % 2 + 1)::bigint as streak from r where event_type = 'error'
     """,
     "word_count_stream": _WORD_COUNT,
+    "anagram_members": r"""
+        with t as (select distinct unnest(string_split_regex(text, '[ \n]')) as word from documents),
+             k as (select array_to_string(list_sort(string_split(word, '')), '') as anagram_key, word from t)
+        select anagram_key, word from k
+        where anagram_key in (select anagram_key from k group by 1 having count(*) > 1)
+    """,
+    "cheapest_without_limit": """
+        with m as (select max(ts) as now from events),
+        gone as (select distinct user_id from events, m
+                 where event_type = 'error' and ts <= now and now < ts + interval 3 hour),
+        first_free as (select min(c_custkey) as user_id from customer
+                       where c_mktsegment = 'HOUSEHOLD' and c_custkey not in (select user_id from gone where user_id is not null))
+        select 3 as pos, 'HOUSEHOLD' as event_type, user_id, cast(null as double) as price, 'CRITICAL' as severity
+        from first_free where user_id is not null
+    """,
+    "failure_streak_health": """
+        with recursive e as (
+          select event_id, case when event_id % 7 <> 0 then user_id end as user_id, ts,
+                 event_type in ('error', 'click') as failed, event_id % 3 <> 0 as ok from events),
+        o as (select *, row_number() over (partition by user_id order by ts nulls first, event_id) as n from e),
+        w as (select event_id, user_id, n, failed, case when failed then 1 else 0 end as streak,
+                     case when failed then 1 else 0 end as state
+              from o where n = 1
+              union all
+              select o.event_id, o.user_id, o.n, o.failed, case when o.failed then w.state + 1 else 0 end,
+                     case when not o.failed or (o.ok and w.state + 1 >= 2) then 0 else w.state + 1 end
+              from w join o on o.user_id is not distinct from w.user_id and o.n = w.n + 1)
+        select event_id, user_id, streak::bigint as streak from w where failed
+    """,
+    "status_share": """
+        select s as status, (select count(*) from orders where o_orderstatus = s)::double
+                            / (select count(*) from orders) as share
+        from (values ('F'), ('O'), ('P'), ('X')) t(s)
+    """,
+    "affected_ip_share": """
+        with a as (select count(distinct c_name) as n from customer
+                   where c_custkey in (select o_custkey from orders where o_orderstatus = 'P')),
+             t as (select count(distinct c_name) as n from customer)
+        select a.n as n_affected, t.n as n_total, a.n::double / t.n as share from a, t
+    """,
+    "top_pages_share": """
+        select '/page' || (o_orderkey % 97) as page, count(*) as cnt,
+               count(*)::double / (select count(*) from orders) as share
+        from orders group by 1 order by cnt desc, page limit 5
+    """,
+    "top_pages_lines": """
+        select page || ' ' || cnt || ' ' || cast(floor(cnt::double / total * 100) as bigint) as line
+        from (select '/page' || (o_orderkey % 97) as page, count(*) as cnt,
+                     (select count(*) from orders) as total
+              from orders group by 1 order by cnt desc, page limit 5)
+    """,
+    "printed_top_words": f"""
+        select row_number() over (order by cnt desc, word desc) || ') ' || cnt || ' - ' || chr(39) || word || chr(39)
+               as line
+        from ({_WORD_COUNT}) order by cnt desc, word desc limit 1000
+    """,
+    "completed_line_count": "select count(*) as n_lines from orders where o_orderstatus in ('F', 'O')",
 }

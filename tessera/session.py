@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):  # another machine would not see this one's folder
+            raise ValueError("set spark.checkpoint.dir to a folder shared with the cluster")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -105,10 +108,39 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder for job outputs."""
+    """A fresh folder name under the shared checkpoint folder, for the caller to keep or delete."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera-{uuid.uuid4().hex}"
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, deleted when the driver ends at the latest."""
+    path = scratch_root(spark)
+    if not _SCRATCH:
+        atexit.register(drop_scratch)
+    _SCRATCH[path] = spark
+    return path
+
+
+def drop_scratch() -> None:
+    """Delete the folders that :func:`scratch` handed out and that still exist."""
+    for path, spark in list(_SCRATCH.items()):
+        drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete one scratch folder (nothing else) once no frame reads it any more."""
+    if _SCRATCH.pop(path, None) is None:
+        raise ValueError(f"not a scratch folder: {path}")
+    try:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    except Exception:  # noqa: BLE001 - the session has ended; the folder stays
+        return
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -6,32 +6,13 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tessera.functions.text import FIELD_SEPARATOR, field, lines_of, split_fields
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of a data folder; Catalyst prunes unused columns.
-
-    The schema read from the Parquet footers is kept per path for the life
-    of the process (the role a metastore plays on a cluster), so later reads
-    skip footer discovery. ``forget_schemas`` drops it after a table changes.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def forget_schemas() -> None:
-    _SCHEMAS.clear()
+    """One Parquet table of a data folder, with the schema that it has now; unused columns are pruned."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def document_lines(docs: DataFrame, text_col: str = "text",

@@ -114,32 +114,77 @@ def file_date(path_col: Column | None = None, strip_file_name: bool | None = Non
     return F.try_to_date(F.concat_ws("-", y, m, d), "yyyy-MM-dd")
 
 
-def read_text_dirs(spark: SparkSession, root: str | list[str], pattern: str = "*",
+def text_folders(spark: SparkSession, root: str, require_success: bool = True,
+                 date_from=None, date_to=None) -> tuple[list[str], bool]:
+    """Folders at or below ``root`` that hold data files, and whether there is anything at all.
+
+    A folder counts as finished if it, or one above it up to ``root``, has a
+    ``_SUCCESS`` marker. A folder whose path names a day outside the range
+    is not listed. Listing is one call per folder that is entered.
+    """
+    top, fs = _fs_for(spark, root.rstrip("/"))
+    if not fs.exists(top):
+        raise FileNotFoundError(f"no such folder: {root}")
+    found, anything = [], False
+    bounded = date_from is not None or date_to is not None
+    queue = [(top, False)]
+    while queue:
+        folder, finished = queue.pop()
+        entries = list(fs.listStatus(folder))
+        names = [e.getPath().getName() for e in entries]
+        finished = finished or SUCCESS_MARKER in names
+        data = any(e.isFile() and not n.startswith(("_", ".")) for e, n in zip(entries, names))
+        anything = anything or data
+        if data and (finished or not require_success):
+            found.append(str(folder.toString()))
+        for e, n in zip(entries, names):
+            if e.isDirectory() and not n.startswith(("_", ".")):
+                below = str(e.getPath().toString())
+                day = path_date(below[len(str(top.toString())):])
+                if bounded and day is not None and not in_date_range([str(day)], date_from, date_to):
+                    anything = True
+                    continue
+                queue.append((e.getPath(), finished))
+    return sorted(in_date_range(found, date_from, date_to)), anything
+
+
+def read_text_dirs(spark: SparkSession, root: str | list[str], pattern: str | None = None,
                    require_success: bool = True, date_from=None, date_to=None,
                    with_date: bool = False) -> DataFrame:
     """Lines (``value``) of the text files under the chosen folders.
 
-    ``require_success`` keeps only folders holding ``_SUCCESS`` (finished
-    writes); ``date_from``/``date_to`` prune folders by the date in their
-    path before anything is read. ``with_date`` adds a ``date`` column from
-    each file's path. ``root`` may also be an explicit list of folders.
-    With no folder left, the result is empty with the same schema.
+    ``root`` is a folder of text files, a folder of such folders at any
+    depth (``2014-05-01``, ``2014/05/01``, ``day=2014-05-01``), or a list of
+    folders. ``require_success`` keeps only finished writes: a ``_SUCCESS``
+    marker in the folder or above it. ``date_from``/``date_to`` choose
+    folders by the day in their path before anything is read or, under one
+    root, listed. ``pattern`` looks for folders by a glob below ``root``
+    instead. ``with_date`` adds a ``date`` column from each file's path.
+
+    An empty root reads as empty; a root that holds something of which
+    nothing is chosen raises ``FileNotFoundError``.
     """
     if isinstance(root, (list, tuple)):
         dirs = [d.rstrip("/") for d in root]
+        anything = bool(dirs)
         if require_success:
             dirs = [d for d in dirs if has_marker(spark, d)]
+        dirs = in_date_range(dirs, date_from, date_to)
+    elif pattern is None:
+        dirs, anything = text_folders(spark, root, require_success, date_from, date_to)
     else:
-        dirs = (completed_dirs(spark, root, pattern) if require_success
-                else all_dirs(spark, root, pattern))
-    dirs = in_date_range(dirs, date_from, date_to)
+        every = all_dirs(spark, root, pattern)
+        anything = bool(every)
+        dirs = in_date_range(completed_dirs(spark, root, pattern) if require_success else every, date_from, date_to)
     if not dirs:
+        if anything:
+            raise FileNotFoundError(f"{root} holds data, but no finished folder in the wanted range")
         empty = spark.createDataFrame([], "value string")
         return empty.withColumn("date", F.lit(None).cast("date")) if with_date else empty
     df = spark.read.text(dirs)
     if with_date:
         df = df.select("value", file_date().alias("date"))
-    return df
+    return df.select("value", *(["date"] if with_date else []))
 
 
 def read_partitioned_text(spark: SparkSession, root: str, date_col: str = "day",
@@ -148,20 +193,15 @@ def read_partitioned_text(spark: SparkSession, root: str, date_col: str = "day",
     """Lines of a text table written with ``partitionBy(date_col)``.
 
     The write's ``_SUCCESS`` marker sits at ``root``; with
-    ``require_success`` an unfinished write reads as empty. The date range
-    (both ends inclusive) is a filter on the partition column, so Spark
-    prunes the folders outside it at planning time (``PartitionFilters``)
-    and never lists or opens their files.
+    ``require_success`` an unfinished write reads as empty. The day folders
+    of the range (both ends inclusive) are chosen by their names in one
+    listing of ``root``; only these are listed and read.
     """
+    empty = spark.createDataFrame([], f"value string, {date_col} date")
     if require_success and not has_marker(spark, root):
-        return spark.createDataFrame([], f"value string, {date_col} date")
-    df = spark.read.text(root)
-    # an empty write leaves no day folder, so no partition column: its rows
-    # (none) have an unknown day
-    day = F.col(date_col).cast("date") if date_col in df.columns else F.lit(None).cast("date")
-    df = df.withColumn(date_col, day)
-    if date_from is not None:
-        df = df.where(F.col(date_col) >= F.lit(str(_as_date(date_from))).cast("date"))
-    if date_to is not None:
-        df = df.where(F.col(date_col) <= F.lit(str(_as_date(date_to))).cast("date"))
-    return df
+        return empty
+    days = in_date_range(all_dirs(spark, root, f"{date_col}=*"), date_from, date_to)
+    if not days:  # an empty write leaves no day folder
+        return empty
+    df = spark.read.option("basePath", root).text(days)
+    return df.withColumn(date_col, F.col(date_col).cast("date"))

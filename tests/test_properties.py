@@ -21,15 +21,12 @@ keys = st.sampled_from(["hot", "hot", "hot", "a", "b", None])
 @SETTINGS
 @given(cands=st.lists(st.tuples(keys, st.one_of(times, st.none())), max_size=40),
        excl=st.lists(st.tuples(keys, times), max_size=15),
-       ttl=st.sampled_from([0.25, 1.0, 3.0]),
-       width=st.sampled_from([None, 0.25, 0.5]))
-def test_ttl_exclude_matches_definition(spark, cands, excl, ttl, width):
-    if width is not None and width > ttl:
-        width = None
+       ttl=st.sampled_from([0.25, 1.0, 3.0]))
+def test_ttl_exclude_matches_definition(spark, cands, excl, ttl):
     rows_c = [(i, k, t) for i, (k, t) in enumerate(cands)]
     c = spark.createDataFrame(rows_c, "id int, k string, ts timestamp_ntz")
     e = spark.createDataFrame(excl, "k string, ts timestamp_ntz")
-    got = sorted(r.id for r in ttl_exclude(c, e, "k", "ts", ttl, bucket_hours=width).collect())
+    got = sorted(r.id for r in ttl_exclude(c, e, "k", "ts", ttl).collect())
     life = dt.timedelta(hours=ttl)
     want = sorted(i for i, k, t in rows_c
                   if not any(k is not None and t is not None and ek == k and et <= t < et + life
@@ -40,13 +37,11 @@ def test_ttl_exclude_matches_definition(spark, cands, excl, ttl, width):
 @SETTINGS
 @given(events=st.lists(st.tuples(st.sampled_from(["hot", "hot", "a", "b"]), times,
                                  st.one_of(st.booleans(), st.none())), max_size=50),
-       cap=st.sampled_from([None, 1, 2, 3]),
-       width=st.sampled_from([0.25, 1.0, 24.0]))
-def test_failure_streak_matches_counter(spark, events, cap, width):
+       cap=st.sampled_from([None, 1, 2, 3]))
+def test_failure_streak_matches_counter(spark, events, cap):
     rows_e = [(i, k, t, f) for i, (k, t, f) in enumerate(events)]
     df = spark.createDataFrame(rows_e, "id int, k string, ts timestamp_ntz, failed boolean")
-    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap,
-                         bucket_hours=width, keep=["id"])
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap, keep=["id"])
     got = {r.id: r.streak for r in out.collect()}
     want = {}
     for key in {r[1] for r in rows_e}:

@@ -4,11 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_MID, SF_SMALL
+from tessera.plans import ORACLE, REGISTRY
 from tools.check_oracle import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def cons():
@@ -16,13 +14,14 @@ def cons():
 
 
 def test_every_job_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(REGISTRY) == set(ORACLE)
+    assert set(REGISTRY) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_job_matches_oracle(spark, cons, name, sf):
-    r = compare(spark, name, QUERIES[name], ORACLE[name], sf, cons[sf])
+    r = compare(spark, name, REGISTRY[name], ORACLE[name], sf, cons[sf])
     assert r["cols"], (r["s_cols"], r["d_cols"])
     assert r["types"], (r["s_types"], r["d_types"])
     assert r["spark_rows"] == r["oracle_rows"]

@@ -171,14 +171,13 @@ def brute_streak(events, cap):
     return out
 
 
-@pytest.mark.parametrize("cap,bucket_hours", [(2, 24.0), (3, 1.0), (None, 0.25)])
-def test_failure_streak_random_against_brute_force(spark, cap, bucket_hours):
+@pytest.mark.parametrize("cap", [2, 3, None])
+def test_failure_streak_random_against_brute_force(spark, cap):
     rnd = random.Random(11)
     events = [(i, rnd.choice(["hot"] * 5 + ["a", "b"]), ago(rnd.uniform(0, 30)), rnd.random() < 0.6)
               for i in range(500)]
     df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
-    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap,
-                         bucket_hours=bucket_hours, keep=["id"])
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap, keep=["id"])
     got = {r.id: r.streak for r in out.collect()}
     assert got == brute_streak(events, cap)
 
@@ -197,3 +196,70 @@ def test_failure_streak_unknown_outcome_changes_nothing(spark):
     df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
     got = rows(failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"]))
     assert got == [(1, "u", 1), (3, "u", 2), (5, "u", 1)]
+
+
+def brute_health(events, cap):
+    """Streaks where the counter restarts at its cap only on a healthy row."""
+    out = {}
+    for key in {e[1] for e in events}:
+        c = 0
+        for i, _, t, f, ok in sorted((e for e in events if e[1] == key),
+                                     key=lambda e: (e[2] is not None, e[2] or NOW, e[0])):
+            if f is True:
+                c += 1
+                out[i] = c
+                if ok and c >= cap:
+                    c = 0
+            elif f is False:
+                c = 0
+    return out
+
+
+@pytest.mark.parametrize("cap", [1, 2, 4])
+def test_failure_streak_with_health_against_brute_force(spark, cap):
+    rnd = random.Random(cap)
+    events = [(i, rnd.choice(["hot"] * 6 + ["a", None]), rnd.choice([None, ago(rnd.uniform(0, 30))]),
+               rnd.choice([True, True, False, None]), rnd.random() < 0.4) for i in range(600)]
+    df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean, ok boolean")
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap, keep=["id"], healthy=F.col("ok"))
+    assert {r.id: r.streak for r in out.collect()} == brute_health(events, cap)
+    always = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap, keep=["id"], healthy=F.lit(True))
+    plain = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=cap, keep=["id"])
+    assert rows(always, "id", "streak") == rows(plain, "id", "streak")
+
+
+def test_failure_streak_keeps_null_keys(spark):
+    events = [(1, None, ago(3), True), (2, None, ago(2), True), (3, None, ago(1), False), (4, "a", ago(1), True)]
+    df = spark.createDataFrame(events, "id int, k string, ts timestamp_ntz, failed boolean")
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"])
+    assert sorted((r.id, r.streak) for r in out.collect()) == [(1, 1), (2, 2), (4, 1)]
+
+
+def test_group_without_limit_needs_no_price(spark):
+    df = spark.createDataFrame(price_rows([("big", "z1", 10.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "big", 5.0), (2, "free", None)])
+    options = spark.createDataFrame([("free", "z2"), ("free", "z1"), ("big", "z1")], "grp string, opt string")
+    got = [tuple(r) for r in cheapest_under_limit(df, p, "grp", "opt", "value", "ts", options=options).collect()]
+    assert got == [(2, "free", "z1", None)]
+    gone = spark.createDataFrame([("z1", ago(1))], "opt string, ts timestamp_ntz")
+    got = [tuple(r) for r in cheapest_under_limit(df, p, "grp", "opt", "value", "ts", options=options,
+                                                  exclusions=gone).collect()]
+    assert got == [(2, "free", "z2", None)]
+    none = cheapest_under_limit(df.limit(0), p, "grp", "opt", "value", "ts", options=options)
+    assert [tuple(r) for r in none.collect()] == [(2, "free", "z1", None)]
+
+
+def test_ties_in_pos_and_exclusions_without_keys(spark):
+    df = spark.createDataFrame(price_rows([("a", "z", 1.0), ("b", "z", 1.0)]), PRICE_SCHEMA)
+    p = prefs(spark, [(1, "b", 10.0), (1, "a", 10.0)])
+    assert cheapest_under_limit(df, p, "grp", "opt", "value", "ts").first().grp == "a"
+    with pytest.raises(ValueError, match="exclusions need"):
+        cheapest_under_limit(df, p, "grp", "opt", "value", "ts",
+                             exclusions=spark.createDataFrame([(ago(1),)], "ts timestamp_ntz"))
+
+
+def test_prices_are_read_in_one_scan(spark, scratch):
+    path = f"{scratch}/prices"
+    spark.createDataFrame(price_rows([("a", "z", 1.0)]), PRICE_SCHEMA).write.parquet(path)
+    df = option_prices(spark.read.parquet(path), "grp", "opt", "value", "ts", NOW.isoformat(sep=" "))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from tessera.operators import line_count
 from tessera.sources import completed_dirs, in_date_range, path_date, read_text_dirs
 
@@ -47,12 +49,53 @@ def test_date_pruning_and_date_column(spark, scratch):
     assert files == {"2014-05-02", "2014-05-03"}
 
 
-def test_nothing_left_gives_empty_table(spark, scratch):
+def test_data_of_which_nothing_is_chosen_raises(spark, scratch):
     write_day(spark, scratch, "2014-05-01", ["a"], complete=False)
+    for options in ({}, {"pattern": "*"}, {"require_success": False, "date_from": "2015-01-01"}):
+        with pytest.raises(FileNotFoundError):
+            read_text_dirs(spark, scratch, **options)
+    with pytest.raises(FileNotFoundError):
+        read_text_dirs(spark, f"{scratch}/nowhere")
+
+
+def make_folder(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def test_an_empty_root_reads_as_empty(spark, scratch):
+    make_folder(spark, scratch)
     df = read_text_dirs(spark, scratch, with_date=True)
     assert df.count() == 0 and df.columns == ["value", "date"]
 
 
+@pytest.mark.parametrize("day", ["", "2014-05-01", "2014/05/01", "day=2014-05-01", "a/b/c"])
+def test_every_layout_reads_under_the_default_call(spark, scratch, day):
+    write_day(spark, scratch, day, ["a", "b"])
+    df = read_text_dirs(spark, scratch)
+    assert df.columns == ["value"] and sorted(r.value for r in df.collect()) == ["a", "b"]
+
+
+def test_a_marker_on_the_root_covers_what_is_below(spark, scratch):
+    write_day(spark, scratch, "2014/05/01", ["a"], complete=False)
+    write_day(spark, scratch, "2014/05/02", ["b"], complete=False)
+    make_folder(spark, f"{scratch}/_SUCCESS")
+    assert read_text_dirs(spark, scratch).count() == 2
+    assert read_text_dirs(spark, scratch, date_from="2014-05-02").count() == 1
+
+
+def test_days_outside_the_range_are_not_listed(spark, scratch):
+    root = f"{scratch}/days"
+    df = spark.range(60).selectExpr("date_add(date'2024-01-01', cast(id as int)) as day", "cast(id as string) as value")
+    df.write.partitionBy("day").text(root)
+    from tessera.sources import read_partitioned_text
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    one = read_partitioned_text(spark, root, "day", date_from="2024-02-10", date_to="2024-02-10")
+    assert len(tracker.getJobIdsForGroup(None)) == before  # no listing job
+    assert [(str(r.day), r.value) for r in one.collect()] == [("2024-02-10", "40")]
+
+
 def test_explicit_folder_list(spark, scratch):
     a = write_day(spark, scratch, "2014-05-01", ["a"])
     b = write_day(spark, scratch, "2014-05-02", ["b", "c"], complete=False)
@@ -80,8 +123,7 @@ def test_partitioned_text_prunes_days_and_needs_success(spark, scratch):
     df.write.partitionBy("day").text(root)
     got = read_partitioned_text(spark, root, "day", date_from="2014-05-02", date_to="2014-05-02")
     assert sorted(r.value for r in got.collect()) == ["b", "c"]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert all("day=2014-05-02" in f for f in got.inputFiles())
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)

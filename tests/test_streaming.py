@@ -71,3 +71,34 @@ def test_stream_timeout_stops_the_query(spark, scratch):
     # the checkpoint lets a later run finish the work
     out = run_word_count_stream(spark, src, f"{scratch}/sink", f"{scratch}/ckpt", max_files_per_trigger=1)
     assert dict(out.collect()) == VERSE_COUNTS
+
+
+def test_many_batches_leave_few_folders(spark, scratch):
+    from tessera.streaming.word_count import _parts, read_word_counts
+    src, sink = f"{scratch}/src", f"{scratch}/sink"
+    lines = [f"w{i} common" for i in range(23)]
+    lines_frame(spark, lines).repartition(23).write.text(src)
+    n_files = spark.read.text(src).select("_metadata.file_path").distinct().count()
+    out = run_word_count_stream(spark, src, sink, f"{scratch}/ckpt", max_files_per_trigger=1, compact_every=4)
+    assert rows(out) == rows(word_count(lines_frame(spark, lines), "value"))
+    parts = _parts(spark, sink)
+    assert n_files > 8 and len(parts["snapshot"]) <= 2 and len(parts["batch"]) <= 8
+    assert len(read_word_counts(spark, sink).inputFiles()) < n_files
+
+
+def test_a_replayed_batch_changes_nothing(spark, scratch):
+    from tessera.streaming.word_count import read_word_counts
+    sink = f"{scratch}/sink"
+    for n, pairs in ((0, [("a", 1)]), (1, [("a", 2), ("b", 1)]), (1, [("a", 2), ("b", 1)])):
+        spark.createDataFrame(pairs, "word string, cnt long").write.mode("overwrite").parquet(f"{sink}/batch-{n}")
+    assert rows(read_word_counts(spark, sink)) == [("a", 2), ("b", 1)]
+
+
+def test_state_is_kept_in_rocksdb(spark, scratch):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    lines_frame(spark, ["a b"]).write.text(f"{scratch}/src")
+    run_word_count_stream(spark, f"{scratch}/src", f"{scratch}/sink", f"{scratch}/ckpt")
+    assert spark.conf.get(key) == before
+    names = spark.sparkContext.wholeTextFiles(f"{scratch}/ckpt/offsets").values().collect()
+    assert any("RocksDBStateStoreProvider" in x for x in names)

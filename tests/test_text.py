@@ -82,7 +82,7 @@ def test_anagram_key(spark):
 def test_line_count_lines_and_documents(spark):
     assert line_count(lines_frame(spark, VERSE)).first()["n_lines"] == 6
     docs = spark.createDataFrame([("a\nb\n",), ("c",), (None,)], "text string")
-    assert line_count(docs, "text", whole_documents=True).first()["n_lines"] == 4
+    assert line_count(docs, "text", whole_documents=True).first()["n_lines"] == 3
     assert document_lines(docs, "text").count() == 4
 
 
@@ -101,16 +101,12 @@ def test_topk_is_prefix_of_full_sort(spark, k):
     assert [(r.word, r.cnt) for r in top] == [(r.word, r.cnt) for r in full[:k]]
 
 
-def test_narrow_input_detection(spark, scratch):
-    from tessera.operators.partitioning import _size_conf, is_narrow_input, spread_narrow_input
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert is_narrow_input(docs)
-    assert spread_narrow_input(docs, 5).rdd.getNumPartitions() == 5
-    many = f"{scratch}/many"
-    spark.range(64).repartition(32).write.parquet(many)
-    assert not is_narrow_input(spark.read.parquet(many))
-    assert _size_conf("134217728b") == _size_conf("128m") == 128 * 1024 * 1024
-    assert _size_conf("1g") == 1 << 30
+@pytest.mark.parametrize("text,n", [("a", 1), ("a\n", 1), ("a\n\n", 2), ("\n", 1), ("", 0), ("a\nb", 2), (None, 0)])
+def test_lines_are_those_of_a_text_read(spark, text, n):
+    from tessera.sources import document_lines
+    df = spark.createDataFrame([(text,)], "text string")
+    assert line_count(df, "text", whole_documents=True).first().n_lines == n
+    assert document_lines(df).count() == n
 
 
 def test_anagram_members_same_groups_as_joined_form(spark):

@@ -48,8 +48,7 @@ def test_trailing_window_zoned(new_york):
 def test_failure_streak_zoned(new_york):
     rows = [(1, "u", at(-1), True), (2, "u", at(0.2), True), (3, "u", at(0.4), False), (4, "u", at(1), True)]
     df = new_york.createDataFrame(rows, "id int, k string, ts timestamp, failed boolean")
-    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, bucket_hours=1.0,
-                         keep=["id"])
+    out = failure_streak(df, "k", "ts", F.col("failed"), order_by=["id"], cap=None, keep=["id"])
     assert sorted((r.id, r.streak) for r in out.collect()) == [(1, 1), (2, 2), (4, 1)]
 
 

@@ -73,29 +73,32 @@ def summarise(plan: str) -> dict:
 
 NOTES = {
     "line_count": "One partial sum per task, one row shuffled per task.",
-    "dated_line_count": "Day folders outside the range are pruned at planning time (PartitionFilters); "
-                        "the count is one partial aggregate per task.",
-    "word_count": "Round-robin spread only for a narrow input (here one row group); partial count per "
-                  "task, so a word with a third of all occurrences ships one row per task.",
+    "dated_line_count": "Day folders are chosen by name before anything is listed below them; the count "
+                        "is one partial aggregate per task.",
+    "word_count": "Tokenised in the scan's tasks; partial count per task, so a word with a third of all "
+                  "occurrences ships one row per task.",
     "word_count_topk": "As word_count, then TakeOrderedAndProject keeps k rows per task; the rank "
                        "window sees k rows.",
-    "value_share": "All wanted values counted in one aggregate; one row per task shuffled.",
+    "value_share": "One scan for any number of wanted values; at most one row per value and task shuffled.",
     "affected_share": "Status filter pushed into the scan; status ids deduplicated map-side before the "
                       "join, so a hot id cannot multiply rows; per-address flag aggregate, then totals.",
     "topk_share": "Partial count per key; the total is a scalar subquery (count(*) with no column read).",
-    "anagram_groups": "Tokens deduplicated (partial) before the anagram key is computed; a key's list "
-                      "holds distinct tokens only.",
+    "anagram_groups": "Tokens deduplicated (partial) before the anagram key is computed; tokens alone under "
+                      "their key are dropped by a partial count before lists are gathered.",
+    "anagram_members": "As anagram_groups, but nothing is gathered.",
     "pair_digest_match": "One digest per candidate, semi join on distinct digests; no pair product.",
     "option_expand": "explode in place: no shuffle.",
     "trailing_topn_avg": "Time bound pushed to Parquet; WindowGroupLimit keeps n rows per key and task "
                          "before the shuffle.",
-    "cheapest_under_limit": "Two pushed time windows, each bounded per key and task before its "
-                            "shuffle; per-group argmin is an aggregate.",
-    "choice_severity": "Distinct event types first; the window sees one row per type.",
-    "ttl_exclude": "Sorted per (key, time bucket): a hot key is split over buckets; exclusions of the "
-                   "buckets in reach come from one small aggregate; no pairs are formed.",
-    "failure_streak": "Running counts per (key, day bucket), a per-bucket table windowed per key, and a "
-                      "join back; the row shuffle is reused by both branches.",
+    "cheapest_under_limit": "One scan of the longer window, bounded per key and task before the shuffle; "
+                            "per-group argmin is an aggregate.",
+    "choice_severity": "Distinct event types joined with the preference list; no window.",
+    "ttl_exclude": "One sequence of candidates and exclusions, range-partitioned and written once (not "
+                   "shown: the plan below reads it); chunks follow row counts, so a hot key is split "
+                   "wherever its rows fall; one row per key and chunk is carried on.",
+    "failure_streak": "As ttl_exclude: chunks by row counts, running counts per (key, chunk), a table of "
+                      "one row per key and chunk windowed per key, and a join back.",
+    "failure_streak_health": "As failure_streak; chunks are walked row by row in Python, twice.",
 }
 
 
@@ -103,14 +106,14 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     dest = sys.argv[2] if len(sys.argv) > 2 else os.path.join(os.path.dirname(__file__), "..", "PLANS.md")
     from tessera.session import build_session
-    import __spark_entry__ as entry
+    from tessera.plans import REGISTRY
 
     spark = build_session("local[8]", shuffle_partitions=8)
     lines = ["# Physical plans of the registered jobs", "",
              f"Generated by `tools/plan_summary.py` from the final (AQE) plans at `{sf_dir}`, `local[8]`.",
              "Static broadcast choices here reflect the small test tables; at scale the same",
              "joins plan as sort-merge joins unless measured sizes stay under the broadcast threshold.", ""]
-    for name, fn in entry.queries().items():
+    for name, fn in REGISTRY.items():
         if name == "word_count_stream":
             continue
         df = fn(spark, sf_dir)
@@ -130,10 +133,10 @@ def main():
             lines.append(f"- at scale: {NOTES[name]}")
         lines.append("")
     lines += ["## word_count_stream", "",
-              "- file stream source over the documents Parquet file → round-robin spread → "
-              "partial count per task → shuffle on `word` into the state store (one row per word) → "
-              "`foreachBatch` appends changed counts; the read takes the latest row per word "
-              "(one aggregate).", ""]
+              "- file stream source over the documents Parquet file → partial count per task → shuffle on "
+              "`word` into the RocksDB state store (one row per word) → `foreachBatch` writes changed "
+              "counts into a folder per batch, merged every ten batches; the read takes the latest "
+              "snapshot and the latest row per word of the batches after it.", ""]
     with open(dest, "w") as fh:
         fh.write("\n".join(lines))
     spark.stop()

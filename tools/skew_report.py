@@ -39,6 +39,17 @@ def skewed_events(spark, sf_dir: str, copies: int):
         "event_type")
 
 
+def bursty_events(spark, sf_dir: str, copies: int):
+    """Like ``skewed_events``, but the hot user's rows fall within two hours, a third of them
+    at one instant and a few without a time."""
+    ev = skewed_events(spark, sf_dir, copies)
+    hot, i = F.col("user_id") == -1, F.pmod(F.xxhash64("event_id"), F.lit(9))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    spread = start + F.make_dt_interval(secs=F.pmod(F.xxhash64(F.lit(1), "event_id"), F.lit(7200)))
+    ts = F.when(hot & (i == 0), F.lit(None)).when(hot & (i < 4), start).when(hot, spread).otherwise(F.col("ts"))
+    return ev.withColumn("ts", ts.cast("timestamp_ntz"))
+
+
 def task_records(log_dir: str, after_job: int) -> list[int]:
     """Shuffle records read per task for jobs started after ``after_job``."""
     files = sorted(f for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)
@@ -74,12 +85,20 @@ def main():
     total = ev.count()
     hot = ev.where(F.col("user_id") == -1).count()
     err = F.col("event_type") == "error"
+    burst = bursty_events(spark, sf_dir, copies)
+
+    def streak(df):
+        return failure_streak(df, "user_id", "ts", err, order_by=["event_id"], cap=2, keep=["event_id"])
+
+    def exclude(df):
+        return ttl_exclude(df.where(F.col("event_type") != "error"), df.where(err).select("user_id", "ts"),
+                           "user_id", "ts", 3.0)
+
     runs = {
-        "failure_streak (key, day bucket)": lambda: failure_streak(
-            ev, "user_id", "ts", err, order_by=["event_id"], cap=2, keep=["event_id"]),
-        "ttl_exclude (key, 3h bucket)": lambda: ttl_exclude(
-            ev.where(F.col("event_type") == "view"),
-            ev.where(err).select("user_id", "ts"), "user_id", "ts", 3.0),
+        "failure_streak (chunks)": lambda: streak(ev),
+        "ttl_exclude (chunks)": lambda: exclude(ev),
+        "failure_streak_burst (hot key within two hours)": lambda: streak(burst),
+        "ttl_exclude_burst (hot key within two hours)": lambda: exclude(burst),
         "trailing_topn_avg (top 10 per user, whole history)": lambda: trailing_topn_avg(
             ev.withColumn("v", F.col("event_id") % 997), "user_id", "v", "ts",
             hours=24 * 31 * copies, n=10),
@@ -87,8 +106,8 @@ def main():
             "rn", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))),
     }
     tracker = spark.sparkContext.statusTracker()
-    ev = ev.persist()  # the derived input is the same for every run
-    ev.count()
+    ev, burst = ev.persist(), burst.persist()  # the derived inputs are the same for every run
+    ev.count(), burst.count()
     for name, build in runs.items():
         build().write.format("noop").mode("overwrite").save()  # warm-up (codegen, JIT)
         time.sleep(1.0)
