@@ -8,11 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import load, word_count
+from tessera.llm.common import load, word_count, written
 
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 EPOCHS = 3  # a source, and so a document, is read at most so often
-ROWS_PER_BUCKET = 50_000
 SEED = "mix"
 
 
@@ -47,7 +46,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: i
 
 def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, *,
              size: Column | None = None, id_col: str = "doc_id", source_col: str = "source",
-             text_col: str = "text", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+             text_col: str = "text") -> DataFrame:
     """How often each document is taken: doc_id, source, size, source_size, target, times, n.
 
     A document in epoch ``e`` of its source (0, 1, ...) ends at the virtual
@@ -69,15 +68,15 @@ def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EP
     """
     size = word_count(text_col) if size is None else size
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
-    units = (rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n"))
-             .select("*", F.col("source").isNull().alias("s_null"), F.coalesce("source", F.lit("")).alias("s_val"),
+    units = written(docs.sparkSession, rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")))
+    units = (units.select("*", F.col("source").isNull().alias("s_null"), F.coalesce("source", F.lit("")).alias("s_val"),
                      (F.col("size") * F.col("n")).alias("words"),
                      F.md5(F.concat_ws("|", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
                                        F.col("size").cast("string"))).alias("key")))
     sizes = units.groupBy("s_null", "s_val").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, weights, epochs)
-    total = docs.select(F.count(F.lit(1))).first()[0]
-    digits = max(1, math.ceil(math.log(max(total / rows_per_bucket, 1), 16)))
+    total = units.select(F.count(F.lit(1))).first()[0]
+    digits = max(1, math.ceil(math.log(math.sqrt(max(total, 1)), 16)))  # of the hash: about sqrt(rows) buckets
     units = units.withColumn("bucket", F.substring("key", 1, digits))
     before = Window.partitionBy("s_null", "s_val").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (units.groupBy("s_null", "s_val", "bucket").agg(F.sum("words").alias("b"))
