@@ -19,8 +19,8 @@ from tessera.llm.window_runs import (
 
 LENGTH = 400  # bytes of a string that counts as repeated
 SEED = 64  # bytes whose least hash tells where a window goes
-SHARD_BYTES = 2_000_000  # of segments in one suffix array, about
-SPLIT_AT = 2048  # different segments of one minimizer that one shard holds, about
+SHARD_BYTES = 600_000  # of segments in one suffix array, about
+SPLIT_AT = 512  # different segments of one minimizer that are dealt to one shard, about
 
 
 # ---- one shard ------------------------------------------------------------------------
@@ -44,15 +44,13 @@ class _Shard:
         self.group = np.empty(len(self.text), dtype=np.int64)  # by position
         self.group[sa] = np.cumsum(first) - 1
         self.times = np.add.reduceat(weight, heads)  # occurrences of each group's string in all texts
-        some = np.full(len(heads), -1, dtype=np.int64)
-        some[self.group[valid]] = np.flatnonzero(valid)
-        self.some = some  # a window of each group, -1 if it has none
         self.valid = valid
 
     def fingerprints(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Groups in the order of their windows' 128-bit fingerprints, and these in two halves."""
-        group = np.flatnonzero(self.some >= 0)
-        at = self.some[group]
+        """Groups of windows of split segments, in the order of their 128-bit fingerprints, and these in two halves."""
+        at = np.flatnonzero(self.valid & self.rows["split"].to_numpy()[self.owner])
+        group, first = np.unique(self.group[at], return_index=True)
+        at = at[first]
         one = windows.range_hash(windows.prefix_sums(_BYTE[self.text]), at, at + self.length)
         other = windows.range_hash(windows.prefix_sums(mix64(_BYTE[self.text] + np.uint64(1))), at, at + self.length)
         order = np.lexsort((other, one))
@@ -77,7 +75,7 @@ def _owner_bits(one: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sorted_runs(length: int, bits: int):
-    """Split shard: its different windows as sorted fingerprints, cut at the owners' bounds."""
+    """Shard: its different windows of split segments as sorted fingerprints, cut at the owners' bounds."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         _, one, other = _Shard(pdf, length).fingerprints()
@@ -138,8 +136,8 @@ def repeated_runs(segments: DataFrame, length: int = LENGTH, *, total_bytes: int
 
     ``segments`` has value, content, n_windows, n (how often the segment
     occurs), different (segments of its value) and segment (bytes). A value's
-    segments share a shard, or several if there are very many of them; these
-    are merged by their sorted windows.
+    segments share a shard. If there are very many, they are dealt in parts
+    to several shards, whose sorted windows of such values are merged.
     """
     shards = max(1, -(-total_bytes // shard_bytes))
     bits = max(1, int(shards - 1).bit_length())
@@ -147,9 +145,10 @@ def repeated_runs(segments: DataFrame, length: int = LENGTH, *, total_bytes: int
     part = F.pmod(F.xxhash64("content"), F.ceil(F.col("different") / F.lit(split_at)).cast("long"))
     dealt = segments.select(
         "value", "content", "n_windows", "n", "segment", split.alias("split"),
-        F.when(split, F.xxhash64("value", part)).otherwise(F.pmod(F.xxhash64("value"), F.lit(shards)))
+        F.pmod(F.when(split, F.xxhash64("value", part)).otherwise(F.xxhash64("value")), F.lit(shards))
         .alias("shard"))
-    shard_runs = dealt.where("split").groupBy("shard").applyInPandas(
+    with_split = dealt.where("split").select("shard").distinct()
+    shard_runs = dealt.join(with_split, "shard", "left_semi").groupBy("shard").applyInPandas(
         _sorted_runs(length, bits), "shard long, owner int, n long, one binary, other binary")
     bitmaps = shard_runs.groupBy("owner").applyInPandas(_merge, "shard long, owner int, n long, bitmap binary")
     return dealt.groupBy("shard").cogroup(bitmaps.groupBy("shard")).applyInPandas(

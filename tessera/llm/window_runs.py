@@ -13,7 +13,7 @@ from tessera.llm import windows
 from tessera.llm.common import _BYTE, row_ranges, text_buffer, text_or_empty, word_hashes, written
 from tessera.llm.exchange import mark_suspects, repeated_fingerprints
 
-CHUNK = 1 << 21  # bytes that are looked at together
+CHUNK = 1 << 19  # bytes that are looked at together (some 130 bytes of arrays for each)
 FILTER_BITS = 1 << 24  # of the filters that are broadcast: at most 262,144 rows of 64 bits
 
 # (data, offsets, window length) -> (first row, place of the first symbol in that row, symbols, row bounds)
