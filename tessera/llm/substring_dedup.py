@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import windows
-from tessera.llm.common import load, text_buffer, word_hashes, written
+from tessera.llm.common import load, row_ranges, text_buffer, word_hashes, written
 from tessera.llm.window_runs import (
-    keyed_rows, place, shared_runs, split_by_spans, window_runs, with_text, word_symbols,
+    CHUNK, keyed_rows, place, shared_runs, split_by_spans, window_runs, with_text, word_symbols,
 )
 
 LENGTH = 20  # words
@@ -88,18 +88,19 @@ def _edges(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch["text"])
-            hashes, _, _, bounds = word_hashes(data, offsets)
-            sums = windows.prefix_sums(hashes)
-            rows, places, edges = [], [], []
-            for i, runs in enumerate(batch["runs"].to_pylist()):
-                at = np.concatenate([np.arange(r["start"], r["start"] + r["n_windows"]) for r in runs])
-                rows.append(np.full(len(at), i))
-                places.append(at)
-                edges.append(windows.range_hash(sums, at + bounds[i], at + bounds[i] + length))
-            take = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].take(take), batch["text_hash"].take(take), pa.array(np.concatenate(places)),
-                 pa.array(np.concatenate(edges).view(np.int64))], names=["doc_id", "text_hash", "start", "edge"])
+            for a, b in row_ranges(offsets, CHUNK):
+                hashes, _, _, bounds = word_hashes(data, offsets[a:b + 1])
+                sums = windows.prefix_sums(hashes)
+                rows, places, edges = [], [], []
+                for i, runs in enumerate(batch["runs"].slice(a, b - a)):
+                    at = np.concatenate([np.arange(r["start"], r["start"] + r["n_windows"]) for r in runs.as_py()])
+                    rows.append(np.full(len(at), a + i))
+                    places.append(at)
+                    edges.append(windows.range_hash(sums, at + bounds[i], at + bounds[i] + length))
+                take = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(take), batch["text_hash"].take(take), pa.array(np.concatenate(places)),
+                     pa.array(np.concatenate(edges).view(np.int64))], names=["doc_id", "text_hash", "start", "edge"])
 
     return run
 
