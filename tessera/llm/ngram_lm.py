@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, row_ranges, scratch,
-    text_buffer, text_or_empty, unpack_counts, unpack_sorted, word_hashes, written,
+    MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, row_ranges, text_buffer,
+    text_or_empty, unpack_counts, unpack_sorted, word_hashes, written,
 )
+from tessera.session import scratch
 
 CHUNK = 1 << 21  # bytes of text that are looked at together
 HELD = 3_000_000  # tokens that a task counts before it sends

@@ -1,0 +1,66 @@
+"""Nearest neighbours: recall against brute force, copies, ties, odd vectors."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessera.llm.neighbours import nearest, op9_nearest
+
+SCHEMA = "vec_id long, embedding array<float>, score string, `rank` int"
+
+
+def brute(rows, queries, count=20):
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    out = {}
+    for q in queries:
+        s = x @ x[np.flatnonzero(ids == q)[0]]
+        order = [k for k in np.lexsort((ids, -np.round(s, 9))) if ids[k] != q][:count]
+        out[q] = [(int(ids[k]), float(s[k])) for k in order]
+    return out
+
+
+def lists(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_recall(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    got = lists(op9_nearest(spark, sf))
+    want = brute(rows, [i for i, _ in rows if i % 20 == 0])
+    assert set(got) == set(want)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * sum(len(w) for w in want.values())
+    for q, found in got.items():
+        exact = dict(brute([r for r in rows if r[0] in {q, *[i for i, _ in found]}], [q])[q])
+        assert all(abs(s - exact[i]) < 1e-12 for i, s in found)
+
+
+def test_copies_ties_and_odd_vectors(spark):
+    rng = np.random.default_rng(1)
+    base = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(60)]
+    copies = [(i, base[20][1]) for i in range(100, 160)] + [(i, base[3][1]) for i in range(200, 203)]
+    odd = [(900, None), (920, [0.0] * 8), (940, [float("nan")] * 8), (960, [1.0] * 7 + [None]), (None, base[1][1]),
+           (980, [1.0] * 7 + [float("inf")])]
+    rows = base + copies
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows + odd], SCHEMA).repartition(5)
+    got = lists(nearest(df, F.pmod(F.col("vec_id"), F.lit(20)) == 0))
+    want = brute(rows, [i for i, _ in rows if i % 20 == 0])
+    assert set(got) == set(want)
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]], q
+
+
+def test_few_rows(spark):
+    def run(rows):
+        return lists(nearest(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA),
+                             F.pmod(F.col("vec_id"), F.lit(20)) == 0))
+
+    assert run([]) == {} and run([(0, [1.0, 2.0])]) == {}
+    assert run([(0, [1.0, 2.0]), (1, [3.0, 0.5])]) == {0: [(1, 4.0)]}
+    assert run([(0, [1.0, 2.0]), (20, [1.0, 2.0]), (7, [-1.0, 0.0])]) == {0: [(20, 5.0), (7, -1.0)],
+                                                                       20: [(0, 5.0), (7, -1.0)]}
