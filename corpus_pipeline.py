@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe, exact_dedup, language, mixing, simhash
-from tessera.llm.common import drop_folder, load, scratch
+from tessera.llm.common import load
+from tessera.session import drop_folder, scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
