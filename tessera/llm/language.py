@@ -25,8 +25,8 @@ FAMILIES = {
     "semitic": ["ar", "he", "am", "mt"],
 }
 UNKNOWN = "und"
-SAMPLE_PER_LANGUAGE = 500  # labelled documents that the classifiers are fitted on, about, of each language
-MAX_LANGUAGES = 200  # distinct labels that can be learned
+SAMPLE_PER_LANGUAGE = 300  # labelled documents that the classifiers are fitted on, about, of each language
+MAX_LANGUAGES = 200  # the most frequent labels; others are not learned
 FEATURE_BITS = 13
 ORDERS = (3, 4)  # bytes in a feature
 CHUNK = 1 << 21  # bytes of text that are looked at together
@@ -43,7 +43,7 @@ def features(part: np.ndarray, order: int) -> np.ndarray:
     """Hashed feature number of the ``order`` bytes from each position (fewer at the end)."""
     folded = _FOLD[part].astype(np.uint32)
     code = np.zeros(len(folded), dtype=np.uint32)
-    for j in range(order):
+    for j in range(min(order, len(folded))):
         code[: len(folded) - j] = code[: len(folded) - j] * np.uint32(0x01000193) + folded[j:] + np.uint32(1)
     code ^= code >> np.uint32(15)
     code *= np.uint32(0x2C1B3C6D)
@@ -63,7 +63,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60) ->
 
     ``y`` is +1 or -1. The order of steps is fixed, so reruns agree.
     """
-    gram = x @ x.T + 1.0  # the bias is a feature that is always 1
+    gram = (x @ x.T).astype(np.float64) + 1.0  # the bias is a feature that is always 1
     alpha, margin = np.zeros(len(y)), np.zeros(len(y))
     diag = np.diag(gram) + 0.5 / c
     order = np.random.default_rng(0)
@@ -79,7 +79,7 @@ def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, rounds: int = 60) ->
         if moved < 1e-4 * max(alpha.max(), 1e-9):
             break
     coef = alpha * y
-    return (coef @ x).astype(np.float32), float(coef.sum())
+    return coef.astype(np.float32) @ x, float(coef.sum())
 
 
 class LanguageModel:
@@ -152,7 +152,8 @@ def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col
     and text is lowest, have their texts profiled where they are read; the
     profiles (a few kB each) reach the driver, at most ``MAX_LANGUAGES`` times
     1.5 times ``per_language`` of them. Languages of no listed family are
-    families of their own. Null labels are left out.
+    families of their own. Null labels are left out, and so are labels
+    beyond the ``MAX_LANGUAGES`` most frequent.
     """
     label = F.col(lang_col).cast("string")
     rows = docs.where(label.isNotNull()).select(
@@ -160,9 +161,7 @@ def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col
         F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.length(text_col), F.lit(4)), 11).alias("h"))
     rows = rows.where(F.length("text") > 0)
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} different languages")
+              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
     if not counts:
         return LanguageModel([], [], {}, {})
     bound = F.create_map(*[F.lit(v) for k, n in counts.items()
@@ -196,7 +195,7 @@ def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col
 
     def svm(plus: list[str], minus: list[str]) -> tuple[np.ndarray, float]:
         a, b = np.isin(langs, plus), np.isin(langs, minus)
-        w, bias = fit_svm(x[a | b].astype(np.float64), np.where(a[a | b], 1.0, -1.0))
+        w, bias = fit_svm(x[a | b], np.where(a[a | b], 1.0, -1.0))
         return w / np.float32(norm), bias
 
     between = {(i, j): svm(groups[i], groups[j]) for i, j in itertools.combinations(range(len(groups)), 2)}
