@@ -83,7 +83,7 @@ def test_line_count_lines_and_documents(spark):
     assert line_count(lines_frame(spark, VERSE)).first()["n_lines"] == 6
     docs = spark.createDataFrame([("a\nb\n",), ("c",), (None,)], "text string")
     assert line_count(docs, "text", whole_documents=True).first()["n_lines"] == 3
-    assert document_lines(docs, "text").count() == 4
+    assert document_lines(docs, "text").count() == 3
 
 
 def test_word_count_on_documents_matches_lines(spark):
