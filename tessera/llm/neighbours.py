@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import load, written
 
-NEIGHBOURS = 48  # of each node in the graph
+NEIGHBOURS = 64  # of each node in the graph
 NEAREST = 20  # that a query returns
 ROUNDS = 4  # of NN-descent
 ORDERS = 6  # random orders whose blocks start the graph
@@ -20,7 +20,8 @@ BLOCK = 1024  # nodes that are compared with each other in the start
 FROM_BLOCK = 24  # neighbours that a node takes from each block
 BUCKET = 2000  # nodes whose lists are merged together, about
 CENTRE = 512  # members of a node's surroundings that are compared in one piece, about
-BEAM = 100  # nodes that a search keeps and visits
+BEAM = 24  # best nodes whose neighbours a search visits
+KEPT = 40  # best nodes that a search returns, to be scored exactly
 HOPS = 3  # rounds of visits, at most
 QUERY_STEP = 20
 
@@ -259,13 +260,13 @@ def _scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def search(spark: SparkSession, nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEAM,
-           hops: int = HOPS) -> DataFrame:
-    """(query, id) of the ``beam`` nodes that a greedy walk from each query's own node finds best.
+           hops: int = HOPS, kept: int = KEPT) -> DataFrame:
+    """(query, id) of the ``kept`` nodes that a greedy walk from each query's own node finds best.
 
     ``queries`` has query, the id of a node. Each round every query visits
-    the unvisited ones among its best nodes: their neighbours, if not seen
-    yet, are scored and the best of all are kept. It ends when no query has
-    anything to visit, or after ``hops`` rounds.
+    the unvisited ones among its ``beam`` best nodes: their neighbours, if
+    not seen yet, are scored. It ends when no query has anything to visit,
+    or after ``hops`` rounds.
     """
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     own = queries.join(graph.withColumnRenamed("id", "query"), "query")
@@ -275,20 +276,19 @@ def search(spark: SparkSession, nodes: DataFrame, graph: DataFrame, queries: Dat
                .withColumnsRenamed({"code": "q_code", "scale": "q_scale"}))
     steps = graph.select("id", "other")
     for _ in range(hops):
-        best = state.withColumn("k", F.row_number().over(order)).where(F.col("k") <= beam)
-        visit = best.where(~F.col("visited")).select("query", "id")
+        ranked = written(spark, state.withColumn("best", F.row_number().over(order) <= beam))
+        visit = ranked.where(F.col("best") & ~F.col("visited")).select("query", "id")
         if visit.limit(1).isEmpty():
             break
-        seen = state.select("query", "id")
+        seen = ranked.select("query", "id")
         new = (visit.join(steps, "id").select("query", F.col("other").alias("id")).distinct()
                .where("id <> query").join(seen, ["query", "id"], "left_anti"))
         scored = (new.join(codes, "id").join(q_codes, "query")
                   .mapInPandas(_scored, "query long, id long, score float, visited boolean"))
         # what was seen and is not among the best stays known, so that it is not scored again
-        now = state.join(visit.withColumn("now", F.lit(True)), ["query", "id"], "left").select(
-            "query", "id", "score", (F.col("visited") | F.coalesce("now", F.lit(False))).alias("visited"))
+        now = ranked.select("query", "id", "score", (F.col("visited") | F.col("best")).alias("visited"))
         state = written(spark, now.unionByName(scored))
-    return state.withColumn("k", F.row_number().over(order)).where(F.col("k") <= beam).select("query", "id")
+    return state.withColumn("k", F.row_number().over(order)).where(F.col("k") <= kept).select("query", "id")
 
 
 def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,7 +320,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec
     asked = members.where("is_query")
     queries = asked.select(F.col("id").alias("query")).distinct()
     graph = build_graph(spark, nodes, total, keep, rounds)
-    found = search(spark, nodes, graph, queries, beam=max(BEAM, 2 * count))
+    found = search(spark, nodes, graph, queries, kept=max(KEPT, 2 * count))
     found = found.unionByName(queries.select("query", F.col("query").alias("id")))  # copies of the query's own vector
     vector = nodes.select("id", "vector")
     exact = written(spark, found.join(vector, "id")
