@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch
+from tessera.session import drop_folder, scratch
 
 # Fixed value: a word is a run of characters other than space and \t \n \v \f \r.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -41,7 +41,14 @@ def written(spark: SparkSession, df: DataFrame, path: str | None = None) -> Data
     """
     path = path or scratch(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the folder of a frame from :func:`written` that nothing will read any more."""
+    drop_folder(df.sparkSession, df.scratch_path)
 
 
 def posix_folder(path: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import golomb
-from tessera.llm.common import written
+from tessera.llm.common import release, written
 
 FINGERPRINT_BITS = 48
 PER_OWNER = 1_000_000  # fingerprints that one owner decodes at once, about
@@ -98,7 +98,10 @@ def repeated_fingerprints(fps: DataFrame, total: int, bits: int = FINGERPRINT_BI
     owners = max(1, math.ceil(total / per_owner), min(spark.sparkContext.defaultParallelism * 2, total))
     sent = written(spark, fps.select("fp").mapInPandas(_messages(owners, bits), _MESSAGE))
     bitmaps = sent.groupBy("owner").applyInPandas(_bitmaps(owners, bits), "owner int, sender string, bitmap binary")
-    return sent.join(bitmaps, ["owner", "sender"]).mapInPandas(_suspects(owners, bits), "fp long").distinct()
+    found = written(spark, sent.join(bitmaps, ["owner", "sender"]).mapInPandas(_suspects(owners, bits), "fp long")
+                    .distinct())
+    release(sent)
+    return found
 
 
 def mark_suspects(rows: DataFrame, suspects: DataFrame, filter_bits: int = FILTER_BITS) -> DataFrame:

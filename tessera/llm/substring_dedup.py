@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import windows
-from tessera.llm.common import load, row_ranges, text_buffer, word_hashes, written
+from tessera.llm.common import load, release, row_ranges, text_buffer, word_hashes, written
+from tessera.llm.exchange import mark_suspects, repeated_fingerprints
 from tessera.llm.window_runs import (
-    CHUNK, keyed_rows, place, shared_runs, split_by_spans, window_runs, with_text, word_symbols,
+    CHUNK, FILTER_BITS, keyed_rows, place, shared_runs, split_by_spans, window_runs, with_text, word_symbols,
 )
 
 LENGTH = 20  # words
@@ -36,10 +37,12 @@ def _heads(spark: SparkSession, links: DataFrame) -> DataFrame:
     nonbranching: a row's last window of the cycle would have no successor.
     """
     while True:
+        last = links
         up = links.select(F.col("v").alias("p"), F.col("p").alias("pp"), F.col("d").alias("dd"))
         moved = written(spark, links.join(up, "p").select("v", F.col("pp").alias("p"), (F.col("d") + F.col("dd"))
                                                           .alias("d"), (F.col("dd") > 0).alias("moved")))
-        links = moved.select("v", "p", "d")
+        release(last)
+        links = moved
         if moved.where("moved").limit(1).isEmpty():
             return links.select("v", F.col("p").alias("head"), F.col("d").alias("offset"))
 
@@ -58,15 +61,14 @@ def repeated_paths(found: DataFrame, content: DataFrame) -> DataFrame:
     nodes = content.where("n > 1").select("value", "content", "n_windows", "n", "at", node.alias("node"))
     occurrences = written(spark, found.join(nodes, ["value", "content", "n_windows"])
                           .select("doc_id", "text_hash", "start", "n_windows", "node", "n", "at"))
-    ends = F.col("start") + F.col("n_windows")
-    left = occurrences.select("doc_id", "text_hash", ends.alias("start"), F.col("node").alias("p"),
-                              F.col("n_windows").alias("d"), F.col("n").alias("p_n"))
-    right = occurrences.select(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"),
-                               F.col("start").alias("r_start"), F.col("node").alias("v"), F.col("n").alias("v_n"))
-    follows = left.join(right, (F.col("doc_id").eqNullSafe(F.col("r_id"))) & (F.col("text_hash") == F.col("r_hash"))
-                        & (F.col("start") == F.col("r_start")))
-    pairs = (follows.groupBy("p", "v").agg(F.count(F.lit(1)).alias("n"), F.first("d").cast("long").alias("d"),
-                                           F.first("p_n").alias("p_n"), F.first("v_n").alias("v_n")))
+    # the run that comes next in the same text
+    line = Window.partitionBy("doc_id", "text_hash").orderBy("start")
+    follows = (occurrences.select("start", "n_windows", "node", "n",
+                                  F.lead(F.struct("start", "node", "n")).over(line).alias("next"))
+               .where(F.col("next.start") == F.col("start") + F.col("n_windows")))
+    pairs = (follows.groupBy(F.col("node").alias("p"), F.col("next.node").alias("v"))
+             .agg(F.count(F.lit(1)).alias("n"), F.first("n_windows").cast("long").alias("d"),
+                  F.first("n").alias("p_n"), F.first("next.n").alias("v_n")))
     # a node that is always followed by the other, which always follows it
     joined = pairs.where("n = p_n and n = v_n and p <> v").select("v", "p", "d")
     every = nodes.select(F.col("node").alias("v"), "n_windows")
@@ -118,6 +120,13 @@ def repeated_edges(rows: DataFrame, content: DataFrame, length: int) -> DataFram
               .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "n_windows")).alias("runs")))
     edges = written(spark, with_text(rows, wanted).select("doc_id", "text_hash", "text", "runs").mapInArrow(
         _edges(length), f"doc_id {kind}, text_hash long, start long, edge long"))
+    fp = F.shiftrightunsigned("edge", 16)
+    total = edges.select(F.count(F.lit(1))).first()[0]
+    repeated = repeated_fingerprints(edges.select(fp.alias("fp")), total)
+    every = edges
+    edges = written(spark, mark_suspects(edges.withColumn("fp", fp), repeated, FILTER_BITS).where("suspect")
+                    .drop("fp", "suspect"))
+    release(every)
     first = edges.groupBy("edge").agg(F.min(place("start")).alias("w"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = (edges.join(first, "edge").where(~F.col("w").eqNullSafe(place("start")))
              .select("doc_id", "text_hash", "start", "w", (F.col("start") - F.col("w.start")).alias("shift")))

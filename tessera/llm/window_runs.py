@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import windows
-from tessera.llm.common import _BYTE, row_ranges, text_buffer, text_or_empty, word_hashes, written
+from tessera.llm.common import _BYTE, release, row_ranges, text_buffer, text_or_empty, word_hashes, written
 from tessera.llm.exchange import mark_suspects, repeated_fingerprints
 
 CHUNK = 1 << 19  # bytes that are looked at together (some 130 bytes of arrays for each)
@@ -76,6 +76,7 @@ def shared_runs(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     suspects = repeated_fingerprints(runs.select(fp.alias("fp")), total)
     found = written(spark, mark_suspects(runs.withColumn("fp", fp), suspects, FILTER_BITS).where("suspect")
                     .drop("fp", "suspect"))
+    release(runs)
     content = (found.groupBy("value", "content", "n_windows")
                .agg(F.count(F.lit(1)).alias("n"), F.min(place("start")).alias("at")))
     by_value = content.groupBy("value").agg(F.count(F.lit(1)).alias("different"))
