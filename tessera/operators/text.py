@@ -9,6 +9,7 @@ from tessera.functions.text import (
     FIELD_SEPARATOR, LINE_SEPARATOR, WORD_PATTERN, anagram_key, joined_sorted,
     n_lines, split_fields,
 )
+from tessera.session import scratch
 
 
 def line_count(df: DataFrame, text_col: str = "value", whole_documents: bool = False) -> DataFrame:
@@ -100,9 +101,13 @@ def anagram_members(df: DataFrame, text_col: str = "value", sep: str = FIELD_SEP
     ever gathered into one row: group sizes come from a partial count per
     key, and members are kept by a join on the key (AQE splits a hot key's
     side). Use this form when one key may hold a large share of all tokens.
+    The distinct tokens, which both sides need, are written to the shared
+    folder, so that the texts are read once.
     """
-    tokens = _distinct_tokens(df, text_col, sep, whole_documents).select(
-        anagram_key("w").alias("anagram_key"), F.col("w").alias("word"))
+    path = scratch(df.sparkSession)
+    (_distinct_tokens(df, text_col, sep, whole_documents)
+     .select(anagram_key("w").alias("anagram_key"), F.col("w").alias("word")).write.parquet(path))
+    tokens = df.sparkSession.read.schema("anagram_key string, word string").parquet(path)
     sizes = tokens.groupBy("anagram_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     return tokens.join(sizes.select("anagram_key"), "anagram_key", "left_semi")
 
