@@ -10,15 +10,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import load, written
+from tessera.llm.common import load, release, written
 
-NEIGHBOURS = 64  # of each node in the graph
+NEIGHBOURS = 64  # of each node in the graph, up to LISTED rows
+LISTED = 16_384
+MORE_NEIGHBOURS = 16  # for each doubling of the rows beyond that
 NEAREST = 20  # that a query returns
-ROUNDS = 4  # of NN-descent
+SETTLED = 0.001  # share of edges that are new, up to which NN-descent counts as converged
 ORDERS = 6  # random orders whose blocks start the graph
 BLOCK = 1024  # nodes that are compared with each other in the start
 FROM_BLOCK = 24  # neighbours that a node takes from each block
-BUCKET = 2000  # nodes whose lists are merged together, about
+BUCKET = 2000  # nodes whose lists of NEIGHBOURS are merged together, about
 CENTRE = 512  # members of a node's surroundings that are compared in one piece, about
 BEAM = 24  # best nodes whose neighbours a search visits
 KEPT = 40  # best nodes that a search returns, to be scored exactly
@@ -238,15 +240,26 @@ def descend(spark: SparkSession, nodes: DataFrame, graph: DataFrame, buckets: in
     return written(spark, _merged(known.unionByName(found), buckets, keep))
 
 
+def list_length(total: int) -> int:
+    """Neighbours of each node: with lists of one length, recall falls as the rows grow, also once nothing is new."""
+    return NEIGHBOURS + math.ceil(MORE_NEIGHBOURS * max(0.0, math.log2(max(total, 1) / LISTED)))
+
+
 def build_graph(spark: SparkSession, nodes: DataFrame, total: int, keep: int = NEIGHBOURS,
-                rounds: int = ROUNDS) -> DataFrame:
-    """Edges (id, other, score) of a graph in which every node lists near others."""
-    buckets = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total / BUCKET))
+                settled: float = SETTLED) -> DataFrame:
+    """Edges (id, other, score) of a graph in which every node lists near others.
+
+    Rounds go on until at most ``settled`` of the edges are new. They do end:
+    an edge only ever gives way to one of higher score.
+    """
+    buckets = max(2 * spark.sparkContext.defaultParallelism, math.ceil(total * keep / (BUCKET * NEIGHBOURS)))
     graph = written(spark, start_graph(nodes, buckets, total, keep))
-    for _ in range(rounds):
-        if graph.where("fresh").limit(1).isEmpty():
+    while True:
+        edges, fresh = graph.agg(F.count(F.lit(1)), F.count_if("fresh")).first()
+        if fresh <= settled * edges:
             break
-        graph = descend(spark, nodes, graph, buckets, keep)
+        before, graph = graph, descend(spark, nodes, graph, buckets, keep)
+        release(before)
     return graph.select("id", "other", "score")
 
 
@@ -300,7 +313,7 @@ def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding",
-            count: int = NEAREST, keep: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
+            count: int = NEAREST, keep: int | None = None, settled: float = SETTLED) -> DataFrame:
     """query_id, rank, vec_id and score: the ``count`` rows of largest inner product found for each query row.
 
     Equal vectors are one node of the graph and are spread out again at the
@@ -308,7 +321,8 @@ def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec
     smaller id. Scores are inner products of the original vectors in double
     precision. Rows with a null id, and vectors that are null, zero or not
     finite throughout, take no part; with fewer candidates all are returned;
-    one usable row has none. All vectors must have one length.
+    one usable row has none. All vectors must have one length. Without
+    ``keep``, :func:`list_length` gives the neighbours of each node.
     """
     spark = vectors.sparkSession
     nodes = written(spark, classes(vectors, id_col, vector_col))
@@ -319,7 +333,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec
     members = written(spark, rows.join(nodes.select("id", "vector"), "vector").select("row", "is_query", "id"))
     asked = members.where("is_query")
     queries = asked.select(F.col("id").alias("query")).distinct()
-    graph = build_graph(spark, nodes, total, keep, rounds)
+    graph = build_graph(spark, nodes, total, keep or list_length(total), settled)
     found = search(spark, nodes, graph, queries, kept=max(KEPT, 2 * count))
     found = found.unionByName(queries.select("query", F.col("query").alias("id")))  # copies of the query's own vector
     vector = nodes.select("id", "vector")

@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tessera.llm.neighbours import nearest, op9_nearest
+from tessera.llm import neighbours
+from tessera.llm.neighbours import list_length, nearest, op9_nearest
 
 SCHEMA = "vec_id long, embedding array<float>, score string, `rank` int"
 
@@ -64,3 +65,36 @@ def test_few_rows(spark):
     assert run([(0, [1.0, 2.0]), (1, [3.0, 0.5])]) == {0: [(1, 4.0)]}
     assert run([(0, [1.0, 2.0]), (20, [1.0, 2.0]), (7, [-1.0, 0.0])]) == {0: [(20, 5.0), (7, -1.0)],
                                                                        20: [(0, 5.0), (7, -1.0)]}
+
+
+def test_recall_from_a_sparse_start(spark, monkeypatch):
+    # blocks of 16 in two orders compare about two per cent of the pairs: the descent has to find the rest
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "ORDERS", 2)
+    x = np.random.default_rng(3).standard_normal((1500, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = lists(nearest(df, F.pmod(F.col("vec_id"), F.lit(20)) == 0, keep=24))
+    want = brute(rows, [i for i, _ in rows if i % 20 == 0])
+    assert set(got) == set(want)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.95 * sum(len(w) for w in want.values()), hits
+
+
+def test_rounds_go_on_until_settled(spark, monkeypatch):
+    shares, taken = [500, 200, 90, 40, 20, 10, 3, 1, 0], []
+
+    def graph(fresh):
+        return neighbours.written(spark, spark.range(1000).selectExpr(
+            "id", "id + 1 as other", "cast(0 as float) as score", f"id < {fresh} as fresh"))
+
+    monkeypatch.setattr(neighbours, "start_graph", lambda *a, **k: graph(1000))
+    monkeypatch.setattr(neighbours, "descend", lambda *a, **k: (taken.append(1), graph(shares[len(taken) - 1]))[1])
+    assert neighbours.build_graph(spark, None, 1000).count() == 1000
+    assert len(taken) == 8  # the first round that leaves a thousandth or less
+
+
+def test_lists_grow_with_the_rows():
+    assert list_length(0) == list_length(16_384) == 64
+    assert list_length(32_768) == 80 and list_length(1 << 24) == 224
