@@ -26,7 +26,9 @@ FAMILIES = {
 }
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 300  # labelled documents that the classifiers are fitted on, about, of each language
-MAX_LANGUAGES = 200  # the most frequent labels; others are not learned
+SAMPLE = 60_000  # of all languages together; with more labels each has fewer
+LEAST_PER_LANGUAGE = 20  # documents of a language, however many labels there are
+OWN_FAMILIES = 64  # labels of no listed family that are families of their own; more are grouped
 FEATURE_BITS = 13
 ORDERS = (3, 4)  # bytes in a feature
 CHUNK = 1 << 21  # bytes of text that are looked at together
@@ -144,16 +146,27 @@ class LanguageModel:
         return names, scores
 
 
+def unlisted_families(names: list[str]) -> dict[str, str]:
+    """Families of sorted labels that no family lists: each its own, or, if very many, the cube root of them together.
+
+    That size keeps the pairs between and within families few.
+    """
+    size = 1 if len(names) <= OWN_FAMILIES else round(len(names) ** (1 / 3))
+    return {v: f"~{names[i - i % size]}" for i, v in enumerate(names)}
+
+
 def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Fit on a bounded sample of labelled rows of ``docs``.
 
     About ``per_language`` documents of each language, those whose hashed id
     and text is lowest, have their texts profiled where they are read; the
-    profiles (a few kB each) reach the driver, at most ``MAX_LANGUAGES`` times
-    1.5 times ``per_language`` of them. Languages of no listed family are
-    families of their own. Null labels are left out, and so are labels
-    beyond the ``MAX_LANGUAGES`` most frequent.
+    profiles (a few kB each) reach the driver. All labels but null are
+    learned; with more than ``SAMPLE / per_language`` of them each has fewer
+    documents (``LEAST_PER_LANGUAGE`` at least), so that the sample stays
+    bounded. Languages of no listed family are families of their own, or, if
+    more than ``OWN_FAMILIES``, share families of neighbouring names (see
+    :func:`unlisted_families`).
     """
     label = F.col(lang_col).cast("string")
     rows = docs.where(label.isNotNull()).select(
@@ -161,9 +174,10 @@ def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col
         F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.length(text_col), F.lit(4)), 11).alias("h"))
     rows = rows.where(F.length("text") > 0)
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+              .orderBy("lang").collect()}
     if not counts:
         return LanguageModel([], [], {}, {})
+    per_language = min(per_language, max(LEAST_PER_LANGUAGE, SAMPLE // len(counts)))
     bound = F.create_map(*[F.lit(v) for k, n in counts.items()
                            for v in (k, int(min(1.0, per_language / n) * 2 ** 53))])
 
@@ -190,8 +204,9 @@ def fit(docs: DataFrame, families: Mapping[str, list[str]] = FAMILIES, *, id_col
     langs = sample["lang"].to_numpy()
     learned = sorted(set(langs))
     home = {m: f for f, members in families.items() for m in members}
-    groups = [list(g) for _, g in itertools.groupby(sorted(learned, key=lambda v: (home.get(v, f"~{v}"), v)),
-                                                    key=lambda v: home.get(v, f"~{v}"))]
+    home |= unlisted_families([v for v in learned if v not in home])
+    groups = [list(g) for _, g in itertools.groupby(sorted(learned, key=lambda v: (home[v], v)),
+                                                    key=lambda v: home[v])]
 
     def svm(plus: list[str], minus: list[str]) -> tuple[np.ndarray, float]:
         a, b = np.isin(langs, plus), np.isin(langs, minus)

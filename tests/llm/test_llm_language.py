@@ -1,5 +1,6 @@
 """Language identification: accuracy on held-out documents, and odd rows."""
 
+import random
 import zlib
 
 from tessera.llm.language import UNKNOWN, drop_unidentified, fit, identify, op4_language
@@ -48,3 +49,18 @@ def test_languages_outside_the_table_are_families_of_their_own(spark):
     assert model.groups == [["en"], ["qaa"], ["qab"]] and len(model.keys) == 3
     got = identify(spark.createDataFrame([(1, "bab aba"), (2, "uzu zuz uz")], "doc_id long, text string"), model)
     assert [r.lang_pred for r in got.collect()] == ["qaa", "qab"]
+
+
+def test_more_than_200_labels(spark):
+    rng = random.Random(5)
+    words = {f"l{k:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for k in range(220)}
+    # the last labels are the rarest
+    docs = [(1000 * k + i, " ".join(rng.choices(ws, k=30)), lang)
+            for k, (lang, ws) in enumerate(words.items()) for i in range(4 if k < 200 else 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    model = fit(df)
+    assert set(model.languages) == set(words) and len(model.keys) < 2000
+    got = {r.doc_id: r.lang_pred for r in identify(df.where("doc_id >= 196000"), model).collect()}
+    truth = {i: lang for i, _, lang in docs if i >= 196000}
+    assert set(got) == set(truth)
+    assert sum(got[i] == truth[i] for i in truth) > 0.95 * len(truth)
