@@ -255,7 +255,8 @@ def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                       lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rows that have no language; all columns, unchanged and unshuffled.
 
-    Fits on the labelled rows of ``docs`` that are not held out. The texts
+    Fits on the labelled rows of ``docs`` that are not held out. If those
+    teach no language, only texts that are null or have no letter go. The texts
     stay in their rows: the prediction is joined to each batch in place.
     """
     model = fit(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
@@ -271,7 +272,7 @@ def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 names, _ = own.predict(*text_buffer(kept.column(at).fill_null("")))
                 keep = pa.array((names != UNKNOWN) & np.asarray(letters.to_numpy(zero_copy_only=False), bool))
             else:
-                keep = pa.array(np.zeros(len(letters), bool))
+                keep = letters
             yield kept.filter(keep)
 
     flagged = docs.select("*", text_or_empty(text_col).rlike(r"\p{L}").alias("__letter"))

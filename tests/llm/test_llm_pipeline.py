@@ -52,3 +52,10 @@ def test_stages_keep_columns_and_stand_odd_rows(spark, odd, nothing, name, stage
     assert out.collect() and stage(spark, nothing, SF).collect() == []
     if name != corpus_pipeline.STAGES[-1][0]:
         assert out.columns == docs.columns
+
+
+def test_table_without_labels(spark, odd):
+    docs = odd.withColumn("lang", F.lit(None).cast("string"))
+    want = Counter(r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+    out = corpus_pipeline.language_id(spark, docs, SF)
+    assert want and out.columns == docs.columns and Counter(r.doc_id for r in out.collect()) == want
