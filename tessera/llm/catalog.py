@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup
+from tessera.llm import bpe, exact_dedup, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -19,10 +19,12 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_nearest": neighbours.op9_nearest,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op13_warc": warc.op13_warc,
 }
 
 ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op13_warc": warc.ORACLE,
 }

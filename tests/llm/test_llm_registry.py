@@ -24,11 +24,15 @@ COLUMNS = {
     8: "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
     9: "query_id bigint, rank int, vec_id bigint, score double",
     10: "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    11: "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
+        "saved_tokens bigint, ends_sha256 string",
+    12: "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    13: "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
 }
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert set(ORACLE) <= set(REGISTRY) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
