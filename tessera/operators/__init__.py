@@ -1,6 +1,7 @@
 from tessera.operators.matching import (
     active_at, option_expand, pair_digest_match, ttl_exclude,
 )
+from tessera.operators.ranks import global_rank, key_rank, word_rank
 from tessera.operators.series import (
     cheapest_under_limit, choice_severity, failure_streak, option_prices,
     severity, top_n_rows, trailing_topn_avg,
@@ -18,5 +19,5 @@ __all__ = [
     "cheapest_under_limit", "choice_severity", "failure_streak", "option_prices",
     "severity", "top_n_rows", "trailing_topn_avg", "affected_share", "key_counts",
     "topk_share", "value_share", "format_share_lines", "anagram_groups", "anagram_members", "format_ranked", "line_count",
-    "top_words", "word_count", "word_count_topk", "words",
+    "global_rank", "key_rank", "word_rank", "top_words", "word_count", "word_count_topk", "words",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -10,21 +11,28 @@ from pyspark.sql import functions as F
 from tessera.session import scratch
 
 
-def in_chunks(df: DataFrame, order: Sequence[str], chunk: str = "__b") -> DataFrame:
+CHUNK_ROWS = 500_000  # of a chunk, about
+LEAST_ROWS = 2_000  # fewer are not worth a chunk of their own
+
+
+def in_chunks(df: DataFrame, order: Sequence[str], chunk: str = "__b", rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
     """``df`` with a chunk number: rows in ascending ``order`` (nulls first), cut by row counts.
 
     Spark's range partitioning samples the rows and deals them out evenly, so
     a key with a third of all rows gets as many chunks as its rows need,
     also when they all fall within an hour, or at one instant or without a
-    time (the further columns of ``order`` cut those). There are
-    ``spark.sql.shuffle.partitions`` chunks, or fewer where AQE joins small
-    ones. Only rows that agree in all of ``order`` must share a chunk. The
-    numbered rows are written to the shared folder once, so that every
+    time (the further columns of ``order`` cut those). The number of chunks
+    follows the rows, counted first: about ``rows_per_chunk`` in each, and
+    for small inputs as many chunks as there are shuffle partitions to work
+    on them. Only rows that agree in all of ``order`` must share a chunk.
+    The numbered rows are written to the shared folder once, so that every
     reader sees the same chunks.
     """
     spark = df.sparkSession
-    path = scratch(spark)
-    numbered = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order]).withColumn(
+    path, n = scratch(spark), df.count()
+    busy = min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / LEAST_ROWS))
+    chunks = max(math.ceil(n / rows_per_chunk), busy, 1)
+    numbered = df.repartitionByRange(chunks, *[F.col(c).asc_nulls_first() for c in order]).withColumn(
         chunk, F.spark_partition_id().cast("bigint"))
     numbered.write.parquet(path)
     return spark.read.schema(numbered.schema).parquet(path)

@@ -18,7 +18,7 @@ from tessera.functions.text import pair_digest
 from tessera.operators import (
     affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity,
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
-    trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk,
+    trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk, word_rank,
 )
 from tessera.operators.shares import format_share_lines
 from tessera.operators.text import format_ranked
@@ -97,6 +97,15 @@ def q_word_count_topk(spark: SparkSession, d: str) -> DataFrame:
     return word_count_topk(documents(spark, d), TOP_WORDS, "text")
 
 
+def q_word_rank(spark: SparkSession, d: str) -> DataFrame:
+    return word_rank(documents(spark, d), "text")
+
+
+def q_key_rank(spark: SparkSession, d: str) -> DataFrame:
+    """Every page of the order log with its share and rank."""
+    return jobs.ranked_pages(_status_lines(spark, d))
+
+
 def q_value_share(spark: SparkSession, d: str) -> DataFrame:
     return value_share(table(spark, d, "events"), "event_type", WANTED_EVENT_TYPES)
 
@@ -280,4 +289,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_pages_lines": q_top_pages_lines,
     "printed_top_words": q_printed_top_words,
     "completed_line_count": q_completed_line_count,
+    "word_rank": q_word_rank,
+    "key_rank": q_key_rank,
 }

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import (
-    affected_share, anagram_groups, line_count, pair_digest_match, topk_share,
+    affected_share, anagram_groups, key_rank, line_count, pair_digest_match, topk_share,
     value_share, word_count, word_count_topk,
 )
 from tessera.sources import fields_table, read_text_dirs
@@ -55,6 +55,11 @@ def top_pages_share(lines: DataFrame, k: int = 5) -> DataFrame:
     return topk_share(fields_table(lines, [None, "page"]), "page", k)
 
 
+def ranked_pages(lines: DataFrame) -> DataFrame:
+    """Every requested page with its share of all lines and its rank."""
+    return key_rank(fields_table(lines, [None, "page"]), "page")
+
+
 def line_anagram_groups(lines: DataFrame) -> DataFrame:
     return anagram_groups(lines, "value")
 

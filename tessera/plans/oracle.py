@@ -190,4 +190,12 @@ ORACLE: dict[str, str] = {
         from ({_WORD_COUNT}) order by cnt desc, word desc limit 1000
     """,
     "completed_line_count": "select count(*) as n_lines from orders where o_orderstatus in ('F', 'O')",
+    "word_rank": f"""
+        select row_number() over (order by cnt desc, word desc) as rnk, word, cnt from ({_WORD_COUNT})
+    """,
+    "key_rank": """
+        select row_number() over (order by cnt desc, page) as rnk, page, cnt,
+               cnt::double / (select count(*) from orders) as share
+        from (select '/page' || (o_orderkey % 97) as page, count(*) as cnt from orders group by 1)
+    """,
 }
