@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup, suffix_dedup, warc
+from tessera.llm import (
+    bpe, exact_dedup, importance, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup,
+    suffix_dedup, warc,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": sharding.op1_sharding,
@@ -19,6 +22,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_nearest": neighbours.op9_nearest,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op12_importance": importance.op12_importance,
     "op13_warc": warc.op13_warc,
 }
 
