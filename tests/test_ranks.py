@@ -31,8 +31,12 @@ def test_few_rows(spark, n):
 
 
 def test_ties_get_different_ranks_and_can_be_spread(spark):
-    df = spark.range(4000).select(F.lit(1).alias("x"), F.col("id"))
-    got = global_rank(df, [F.asc("x")], spread=[F.xxhash64("id")])
+    df, coalesce = spark.range(4000).select(F.lit(1).alias("x"), F.col("id")), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = global_rank(df, [F.asc("x")], spread=[F.xxhash64("id")])
+    finally:
+        spark.conf.set(coalesce, "true")
     assert sorted(r.rnk for r in got.collect()) == list(range(1, 4001))
     sizes = [spark.read.parquet(f).count() for f in got.inputFiles()]
     assert max(sizes) < 2000
