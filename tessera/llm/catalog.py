@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import (
-    bpe, exact_dedup, importance, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup,
+    bpe, conversations, exact_dedup, importance, language, mixing, neighbours, ngram_lm, sharding, simhash, substring_dedup,
     suffix_dedup, warc,
 )
 
@@ -22,6 +22,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_nearest": neighbours.op9_nearest,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_trie": conversations.op11_trie,
     "op12_importance": importance.op12_importance,
     "op13_warc": warc.op13_warc,
 }
@@ -30,5 +31,6 @@ ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op11_trie": conversations.ORACLE,
     "op13_warc": warc.ORACLE,
 }
