@@ -9,6 +9,7 @@ from tessera.operators.series import (
 from tessera.operators.shares import (
     affected_share, format_share_lines, key_counts, topk_share, value_share,
 )
+from tessera.operators.sliding import trailing_topn_series
 from tessera.operators.text import (
     anagram_groups, anagram_members, format_ranked, line_count, top_words, word_count,
     word_count_topk, words,
@@ -19,5 +20,5 @@ __all__ = [
     "cheapest_under_limit", "choice_severity", "failure_streak", "option_prices",
     "severity", "top_n_rows", "trailing_topn_avg", "affected_share", "key_counts",
     "topk_share", "value_share", "format_share_lines", "anagram_groups", "anagram_members", "format_ranked", "line_count",
-    "global_rank", "key_rank", "word_rank", "top_words", "word_count", "word_count_topk", "words",
+    "global_rank", "key_rank", "word_rank", "trailing_topn_series", "top_words", "word_count", "word_count_topk", "words",
 ]

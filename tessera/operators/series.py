@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tessera.functions.time import as_of_instant, instant_literal, lookback_start, ts_type
 from tessera.operators.matching import active_at, check_free
 from tessera.operators.sequence import in_chunks
+from tessera.session import ship_package
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -291,6 +292,7 @@ def _streak_by_health(rows: DataFrame, key: str, order: list[str], cap: int, out
     1 on go back to 0 at the same rows, and else grow alike. One row per
     such key and chunk is chained, and a second pass counts.
     """
+    ship_package(rows.sparkSession)
     schema = rows.schema
     key_type = schema[key].dataType.simpleString()
 

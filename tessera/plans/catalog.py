@@ -18,7 +18,7 @@ from tessera.functions.text import pair_digest
 from tessera.operators import (
     affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity,
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
-    trailing_topn_avg, ttl_exclude, value_share, word_count, word_count_topk, word_rank,
+    trailing_topn_avg, trailing_topn_series, ttl_exclude, value_share, word_count, word_count_topk, word_rank,
 )
 from tessera.operators.shares import format_share_lines
 from tessera.operators.text import format_ranked
@@ -26,7 +26,9 @@ from tessera.plans import jobs
 from tessera.session import scratch
 from tessera.sources import is_directory, path_date, read_partitioned_text, read_text_dirs, table
 from tessera.sources.text_dirs import all_dirs
-from tessera.streaming import run_word_count_stream
+from tessera.streaming import (
+    failure_streak_stream_df, read_stream, run_append_stream, run_word_count_stream, ttl_exclude_stream_df,
+)
 
 # Job parameters used by the registered queries.
 WANTED_EVENT_TYPES = ["error", "click", "none"]
@@ -44,6 +46,7 @@ PREFERRED_TYPES = ["click", "error", "purchase", "signup", "view"]
 # (pos, group, max_price): a limit nobody meets, then a group without a limit
 STRICT_PREFERENCES = [(1, "view", 0.001), (2, "purchase", 0.001), (3, "HOUSEHOLD", None), (4, "click", 500.0)]
 CAP = 2
+ARRIVALS = 4  # parts in which events come to a stream
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -247,6 +250,58 @@ def q_completed_line_count(spark: SparkSession, d: str) -> DataFrame:
     return jobs.completed_line_count(spark, root)
 
 
+# ---- the supervisor's state as streams -------------------------------------------------
+
+def _as_it_arrives(spark: SparkSession, events: DataFrame, closing: list[tuple], stream) -> DataFrame:
+    """What a stream has appended once all ``events`` have come, a quarter of their time span after the other.
+
+    Spark writes each quarter into the folder that the stream reads; the
+    stream is started again after each and goes on from its checkpoint.
+    ``closing`` rows (key, outcome) two days later move the watermark on.
+    """
+    root, ts = scratch(spark), F.col("ts")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    if last is None:
+        return run_append_stream(stream(events.limit(0)), f"{root}/sink", f"{root}/checkpoint")
+    cuts = [first + (last - first) * i / ARRIVALS for i in range(1, ARRIVALS)]
+    slot = F.lit(0)
+    for cut in cuts:
+        slot = slot + F.when(ts >= F.lit(cut).cast("timestamp_ntz"), 1).otherwise(0)
+    end = spark.createDataFrame([(None, key, last + dt.timedelta(days=2), kind) for key, kind in closing], events.schema)
+    parts = [events.where(slot == i) for i in range(ARRIVALS)] + [end.coalesce(1)]
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/source")
+        source = read_stream(spark, f"{root}/source", events.schema)
+        out = run_append_stream(stream(source), f"{root}/sink", f"{root}/checkpoint")
+    return out
+
+
+def q_ttl_exclude_stream(spark: SparkSession, d: str) -> DataFrame:
+    """``ttl_exclude`` live: a stream of views, let through where no error of their user covers them."""
+    def stream(events: DataFrame) -> DataFrame:
+        views = events.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+        errors = events.where(F.col("event_type") == "error").select("user_id", "ts")
+        return ttl_exclude_stream_df(views, errors, "user_id", "ts", ttl_hours=3).select("event_id", "user_id")
+    events = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
+    # the closing view is covered by the closing error
+    return _as_it_arrives(spark, events, [(-1, "view"), (-1, "error")], stream)
+
+
+def q_failure_streak_stream(spark: SparkSession, d: str) -> DataFrame:
+    """``failure_streak_health`` live."""
+    def stream(events: DataFrame) -> DataFrame:
+        return failure_streak_stream_df(events, "user_id", "ts", F.col("event_type").isin("error", "click"),
+                                        order_by=["event_id"], cap=CAP, keep=["event_id"],
+                                        healthy=F.pmod(F.col("event_id"), F.lit(3)) != 0)
+    return _as_it_arrives(spark, _events_with_gaps(spark, d), [(None, None)], stream)
+
+
+def q_trailing_topn_series(spark: SparkSession, d: str) -> DataFrame:
+    """The average of the ten largest values of the last twelve hours, as of every event."""
+    return trailing_topn_series(table(spark, d, "events"), "event_type", "value", "ts", hours=12, n=10,
+                                order_by=["event_id"], keep=["event_id"], digits=ROUND_DIGITS)
+
+
 def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
     """The documents table read as a file stream and counted by the stream."""
     root = scratch(spark)
@@ -291,4 +346,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completed_line_count": q_completed_line_count,
     "word_rank": q_word_rank,
     "key_rank": q_key_rank,
+    "ttl_exclude_stream": q_ttl_exclude_stream,
+    "failure_streak_stream": q_failure_streak_stream,
+    "trailing_topn_series": q_trailing_topn_series,
 }

@@ -198,4 +198,15 @@ ORACLE: dict[str, str] = {
                cnt::double / (select count(*) from orders) as share
         from (select '/page' || (o_orderkey % 97) as page, count(*) as cnt from orders group by 1)
     """,
+    "trailing_topn_series": """
+        with w as (select a.event_id, a.event_type, b.value,
+                          row_number() over (partition by a.event_id order by b.value desc) as rn
+                   from events a join events b on b.event_type = a.event_type
+                    and b.ts >= date_trunc('second', a.ts - interval 12 hour)
+                    and (b.ts < a.ts or (b.ts = a.ts and b.event_id <= a.event_id)))
+        select event_id, event_type, round(avg(value), 6) as avg_top from w where rn <= 10 group by 1, 2
+    """,
 }
+# the streams give what the batch jobs give
+ORACLE["ttl_exclude_stream"] = ORACLE["ttl_exclude"]
+ORACLE["failure_streak_stream"] = ORACLE["failure_streak_health"]

@@ -7,7 +7,7 @@ from tessera.plans import REGISTRY
 
 QUERIES = REGISTRY
 BATCH = sorted(n for n in REGISTRY if n != "word_count_stream")
-BY_HAND = {"failure_streak_health"}  # walks its rows in Python, chunk by chunk
+BY_HAND = {"failure_streak_health", "trailing_topn_series", "choices_over_time"}  # sweep chunks of rows in Python
 
 
 def plan_text(df):
