@@ -1,3 +1,4 @@
+from tessera.operators.choices import choices_over_time, price_steps
 from tessera.operators.matching import (
     active_at, option_expand, pair_digest_match, ttl_exclude,
 )
@@ -20,5 +21,6 @@ __all__ = [
     "cheapest_under_limit", "choice_severity", "failure_streak", "option_prices",
     "severity", "top_n_rows", "trailing_topn_avg", "affected_share", "key_counts",
     "topk_share", "value_share", "format_share_lines", "anagram_groups", "anagram_members", "format_ranked", "line_count",
-    "global_rank", "key_rank", "word_rank", "trailing_topn_series", "top_words", "word_count", "word_count_topk", "words",
+    "global_rank", "key_rank", "word_rank", "trailing_topn_series",
+    "choices_over_time", "price_steps", "top_words", "word_count", "word_count_topk", "words",
 ]

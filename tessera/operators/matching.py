@@ -39,8 +39,11 @@ def _epoch_micros(ts: Column, dtype: str) -> Column:
     durations are real elapsed time, also across a daylight-saving change.
     A ``timestamp_ntz`` is a wall-clock reading: its difference from the
     wall-clock epoch is a day-time interval that never passes through a
-    time zone, read back as exact seconds with microseconds.
+    time zone, read back as exact seconds with microseconds. A ``bigint`` is
+    taken to be such microseconds already.
     """
+    if dtype == "bigint":
+        return ts
     if dtype != "timestamp_ntz":
         return F.unix_micros(ts.cast("timestamp"))
     since = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")

@@ -114,7 +114,8 @@ def trailing_topn_series(events: DataFrame, key: str, value: str, ts: str, hours
     rows instead, all events at its instant included. Output: ``keep``
     columns, ``key`` and ``avg_top`` (null without a value in the window).
     Values that are null, NaN or infinite count as none; null keys are one
-    key; rows without a time have a null average and are in no window.
+    key; rows without a time have a null average and are in no window. ``ts``
+    may also be BIGINT microseconds.
 
     One ordered sweep, no range join: events and the distinct starts of
     their windows (whole seconds) are put in one sequence by key and time

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import pair_digest
 from tessera.operators import (
-    affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity,
+    affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity, choices_over_time,
     failure_streak, line_count, option_expand, pair_digest_match, topk_share,
     trailing_topn_avg, trailing_topn_series, ttl_exclude, value_share, word_count, word_count_topk, word_rank,
 )
@@ -302,6 +302,14 @@ def q_trailing_topn_series(spark: SparkSession, d: str) -> DataFrame:
                                 order_by=["event_id"], keep=["event_id"], digits=ROUND_DIGITS)
 
 
+def q_choices_over_time(spark: SparkSession, d: str) -> DataFrame:
+    """The choice of ``cheapest_under_limit`` as of every signup; users with an error within three hours are out."""
+    ev = table(spark, d, "events")
+    errors = ev.where(F.col("event_type") == "error").select("user_id", "ts")
+    return choices_over_time(ev, ev.where(F.col("event_type") == "signup"), PREFERENCES, "event_type", "user_id",
+                             "value", "ts", ["event_id"], exclusions=errors, digits=ROUND_DIGITS)
+
+
 def q_word_count_stream(spark: SparkSession, d: str) -> DataFrame:
     """The documents table read as a file stream and counted by the stream."""
     root = scratch(spark)
@@ -349,4 +357,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ttl_exclude_stream": q_ttl_exclude_stream,
     "failure_streak_stream": q_failure_streak_stream,
     "trailing_topn_series": q_trailing_topn_series,
+    "choices_over_time": q_choices_over_time,
 }

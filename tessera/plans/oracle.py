@@ -206,6 +206,28 @@ ORACLE: dict[str, str] = {
                     and (b.ts < a.ts or (b.ts = a.ts and b.event_id <= a.event_id)))
         select event_id, event_type, round(avg(value), 6) as avg_top from w where rn <= 10 group by 1, 2
     """,
+    "choices_over_time": """
+        with l as (select * from (values (1, 'view', 20.0), (2, 'click', 60.0), (3, 'error', 500.0))
+                   t(pos, event_type, max_price)),
+        q as (select event_id as id, ts as t from events where event_type = 'signup'),
+        w as (select id, t, e.event_type, user_id, value, ts >= date_trunc('second', t - interval 6 hour) as recent,
+                     row_number() over (partition by id, e.event_type, user_id order by value desc) as hr,
+                     row_number() over (partition by id, e.event_type, user_id,
+                                        ts >= date_trunc('second', t - interval 6 hour) order by value desc) as rr
+              from q join events e on e.ts <= q.t and e.ts >= date_trunc('second', q.t - interval 12 hour)
+              join l on l.event_type = e.event_type
+              where not exists (select 1 from events x where x.event_type = 'error' and x.user_id = e.user_id
+                                and x.ts <= q.t and q.t < x.ts + interval 3 hour)),
+        p as (select id, event_type, user_id,
+                     greatest(coalesce(avg(value) filter (hr <= 10), 0), coalesce(avg(value) filter (recent and rr <= 2), 0))
+                       as price from w group by 1, 2, 3),
+        b as (select id, pos, p.event_type, user_id, price, max_price,
+                     row_number() over (partition by id, pos order by price, user_id nulls first) as k
+              from p join l on l.event_type = p.event_type where price > 0),
+        c as (select *, row_number() over (partition by id order by pos) as k2 from b where k = 1 and price < max_price * 0.8)
+        select q.id as event_id, c.pos, c.event_type, c.user_id, round(c.price, 6) as price
+        from q left join c on c.id = q.id and c.k2 = 1
+    """,
 }
 # the streams give what the batch jobs give
 ORACLE["ttl_exclude_stream"] = ORACLE["ttl_exclude"]
