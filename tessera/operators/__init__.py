@@ -1,4 +1,5 @@
 from tessera.operators.choices import choices_over_time, price_steps
+from tessera.operators.daily_sets import affected_over_ranges, daily_sets, dense_ids, distinct_over_ranges
 from tessera.operators.matching import (
     active_at, option_expand, pair_digest_match, ttl_exclude,
 )
@@ -22,5 +23,5 @@ __all__ = [
     "severity", "top_n_rows", "trailing_topn_avg", "affected_share", "key_counts",
     "topk_share", "value_share", "format_share_lines", "anagram_groups", "anagram_members", "format_ranked", "line_count",
     "global_rank", "key_rank", "word_rank", "trailing_topn_series",
-    "choices_over_time", "price_steps", "top_words", "word_count", "word_count_topk", "words",
+    "choices_over_time", "price_steps", "affected_over_ranges", "daily_sets", "dense_ids", "distinct_over_ranges", "top_words", "word_count", "word_count_topk", "words",
 ]

@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import pair_digest
 from tessera.operators import (
-    affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity, choices_over_time,
-    failure_streak, line_count, option_expand, pair_digest_match, topk_share,
+    affected_over_ranges, affected_share, anagram_groups, anagram_members, cheapest_under_limit, choice_severity, choices_over_time,
+    daily_sets, dense_ids, failure_streak, line_count, option_expand, pair_digest_match, topk_share,
     trailing_topn_avg, trailing_topn_series, ttl_exclude, value_share, word_count, word_count_topk, word_rank,
 )
 from tessera.operators.shares import format_share_lines
 from tessera.operators.text import format_ranked
 from tessera.plans import jobs
 from tessera.session import scratch
-from tessera.sources import is_directory, path_date, read_partitioned_text, read_text_dirs, table
+from tessera.sources import is_directory, read_incremental, run_incremental, path_date, read_partitioned_text, read_text_dirs, table
 from tessera.sources.text_dirs import all_dirs
 from tessera.streaming import (
-    failure_streak_stream_df, read_stream, run_append_stream, run_word_count_stream, ttl_exclude_stream_df,
+    failure_streak_stream_df, read_stream, run_append_stream, run_word_count_stream, run_word_topk_stream,
+    ttl_exclude_stream_df,
 )
 
 # Job parameters used by the registered queries.
@@ -302,6 +303,61 @@ def q_trailing_topn_series(spark: SparkSession, d: str) -> DataFrame:
                                 order_by=["event_id"], keep=["event_id"], digits=ROUND_DIGITS)
 
 
+def q_word_topk_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The ranked words, maintained while the documents come file by file."""
+    root, docs = scratch(spark), documents(spark, d)
+    docs.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(ARRIVALS))).write.partitionBy("part").parquet(f"{root}/source")
+    files = spark.read.parquet(f"{root}/source").inputFiles()
+    return run_word_topk_stream(spark, f"{root}/source", root, TOP_WORDS, fmt="parquet", text_col="text",
+                                schema=docs.schema, max_files_per_trigger=max(1, len(files) // ARRIVALS))
+
+
+def q_incremental_line_count(spark: SparkSession, d: str) -> DataFrame:
+    """Lines per day of a tree of day folders that grows, counted run by run; one write is not finished until later."""
+    root, ev = scratch(spark), table(spark, d, "events")
+    line = _one_line("event_id", "event_type", "value").alias("value")
+    slot = F.pmod(F.col("event_id"), F.lit(ARRIVALS))
+
+    def count(lines: DataFrame) -> DataFrame:
+        return lines.groupBy("date").agg(F.count(F.lit(1)).alias("n_lines"))
+
+    def arrive(n: int, finished: bool) -> None:
+        part = ev.where(slot == n).select(F.to_date("ts").alias("day"), line)
+        writer = part.write.mode("overwrite").partitionBy("day")
+        if not finished:
+            writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        writer.text(f"{root}/tree/arrival-{n}")
+
+    for n in range(ARRIVALS):
+        arrive(n, n != 1)
+        if n == ARRIVALS - 1:
+            arrive(1, True)  # written again, and finished now
+        run_incremental(spark, f"{root}/tree", f"{root}/out", count, with_date=True)
+    out = read_incremental(spark, f"{root}/out", "date date, n_lines bigint")
+    return out.groupBy("date").agg(F.sum("n_lines").alias("n_lines")).select(F.col("date").alias("day"), "n_lines")
+
+
+def q_affected_by_range(spark: SparkSession, d: str) -> DataFrame:
+    """Share of addresses with a pending order among those with any, over each quarter of a year and all of them so far.
+
+    Sets per day are written once; every range is counted from them.
+    """
+    orders = table(spark, d, "orders").select("o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
+    customers = table(spark, d, "customer").select("c_custkey", "c_name")
+    ids = dense_ids(customers, "c_name")
+    rows = orders.join(customers.join(ids, "c_name").select(F.col("c_custkey").alias("o_custkey"), "id"), "o_custkey")
+    root = scratch(spark)
+    (daily_sets(rows, "day", "id", {"affected": F.col("o_orderstatus") == "P", "total": F.lit(True)})
+     .repartitionByRange("day").sortWithinPartitions("day").write.parquet(root))  # a range reads its days' row groups
+    sets = spark.read.schema("day date, name string, bucket bigint, bits binary").parquet(root)
+    first, last = orders.agg(F.min("day"), F.max("day")).first()
+    if first is None:
+        return affected_over_ranges(sets, "day", [])
+    starts = [dt.date(y, m, 1) for y in range(first.year, last.year + 1) for m in (1, 4, 7, 10)]
+    ends = [dt.date(s.year + (s.month + 2) // 12, (s.month + 2) % 12 + 1, 1) - dt.timedelta(days=1) for s in starts]
+    return affected_over_ranges(sets, "day", [*zip(starts, ends), *[(starts[0], e) for e in ends[1:]]])
+
+
 def q_choices_over_time(spark: SparkSession, d: str) -> DataFrame:
     """The choice of ``cheapest_under_limit`` as of every signup; users with an error within three hours are out."""
     ev = table(spark, d, "events")
@@ -358,4 +414,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failure_streak_stream": q_failure_streak_stream,
     "trailing_topn_series": q_trailing_topn_series,
     "choices_over_time": q_choices_over_time,
+    "word_topk_stream": q_word_topk_stream,
+    "incremental_line_count": q_incremental_line_count,
+    "affected_by_range": q_affected_by_range,
 }

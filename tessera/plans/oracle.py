@@ -228,7 +228,24 @@ ORACLE: dict[str, str] = {
         select q.id as event_id, c.pos, c.event_type, c.user_id, round(c.price, 6) as price
         from q left join c on c.id = q.id and c.k2 = 1
     """,
+    "incremental_line_count": "select cast(ts as date) as day, count(*) as n_lines from events group by 1",
+    "affected_by_range": """
+        with b as (select year(min(o_orderdate)) as y0, year(max(o_orderdate)) as y1 from orders),
+        q as (select make_date(y, 3 * k + 1, 1) as date_from,
+                     cast(make_date(y, 3 * k + 1, 1) + interval 3 month - interval 1 day as date) as date_to
+              from b, range(y0, y1 + 1) t(y), range(4) u(k)),
+        r as (select * from q union all
+              select (select min(date_from) from q), date_to from q where date_to > (select min(date_to) from q))
+        select date_from, date_to, count(distinct c_name) filter (o_orderstatus = 'P') as n_affected,
+               count(distinct c_name) as n_total,
+               case when count(distinct c_name) > 0 then count(distinct c_name) filter (o_orderstatus = 'P')::double
+                    / count(distinct c_name) end as share
+        from r left join (orders join customer on c_custkey = o_custkey)
+          on cast(o_orderdate as date) between date_from and date_to
+        group by 1, 2
+    """,
 }
 # the streams give what the batch jobs give
 ORACLE["ttl_exclude_stream"] = ORACLE["ttl_exclude"]
 ORACLE["failure_streak_stream"] = ORACLE["failure_streak_health"]
+ORACLE["word_topk_stream"] = ORACLE["word_count_topk"]

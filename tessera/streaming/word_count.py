@@ -12,6 +12,7 @@ into a Parquet folder of its own.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,8 @@ def word_count_stream_df(spark: SparkSession, source_dir: str, fmt: str = "text"
 def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
                             checkpoint_dir: str, output_mode: str = "update",
                             available_now: bool | None = None, processing_time: str | None = None,
-                            compact_every: int = COMPACT_EVERY, **source) -> StreamingQuery:
+                            compact_every: int = COMPACT_EVERY,
+                            after_batch: Callable[[DataFrame, int], None] | None = None, **source) -> StreamingQuery:
     """Start the query, writing each micro-batch to ``sink_dir`` through ``foreachBatch``.
 
     ``update`` (default): batch n writes the words whose count changed into
@@ -68,8 +70,9 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
     own folder with the same values. State (one row per distinct word) is
     kept in RocksDB, off the heap. ``processing_time`` (e.g. ``"1 minute"``)
     keeps the query polling; otherwise it processes the files present now
-    and stops. ``source`` takes the keyword arguments of
-    ``word_count_stream_df``.
+    and stops. ``after_batch`` is called with the changed counts that an
+    update-mode batch has written and its number, again if it is replayed.
+    ``source`` takes the keyword arguments of ``word_count_stream_df``.
     """
     if output_mode not in ("update", "complete"):
         raise ValueError("output_mode must be 'update' or 'complete'")
@@ -83,7 +86,10 @@ def start_word_count_stream(spark: SparkSession, source_dir: str, sink_dir: str,
             batch.write.mode("overwrite").parquet(f"{sink_dir}/snapshot-{batch_id}")
             _drop_covered(session, sink_dir)
             return
-        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch-{batch_id}")
+        path = f"{sink_dir}/batch-{batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        if after_batch:
+            after_batch(session.read.schema(batch.schema).parquet(path), batch_id)
         if (batch_id + 1) % compact_every == 0:
             merged = read_word_counts(session, sink_dir, upto=batch_id)
             merged.write.mode("overwrite").parquet(f"{sink_dir}/snapshot-{batch_id}")
