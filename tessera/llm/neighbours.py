@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import load, release, written
 
-NEIGHBOURS = 64  # of each node in the graph, up to LISTED rows
-LISTED = 16_384
-MORE_NEIGHBOURS = 16  # for each doubling of the rows beyond that
+NEIGHBOURS = 64  # of each node in the graph, whatever the number of rows
 NEAREST = 20  # that a query returns
 SETTLED = 0.001  # share of edges that are new, up to which NN-descent counts as converged
 ORDERS = 6  # random orders whose blocks start the graph
@@ -24,7 +22,6 @@ BUCKET = 2000  # nodes whose lists of NEIGHBOURS are merged together, about
 CENTRE = 512  # members of a node's surroundings that are compared in one piece, about
 BEAM = 24  # best nodes whose neighbours a search visits
 KEPT = 40  # best nodes that a search returns, to be scored exactly
-HOPS = 3  # rounds of visits, at most
 QUERY_STEP = 20
 
 _EDGES = "id long, other long, score float, fresh boolean"
@@ -240,11 +237,6 @@ def descend(spark: SparkSession, nodes: DataFrame, graph: DataFrame, buckets: in
     return written(spark, _merged(known.unionByName(found), buckets, keep))
 
 
-def list_length(total: int) -> int:
-    """Neighbours of each node: with lists of one length, recall falls as the rows grow, also once nothing is new."""
-    return NEIGHBOURS + math.ceil(MORE_NEIGHBOURS * max(0.0, math.log2(max(total, 1) / LISTED)))
-
-
 def build_graph(spark: SparkSession, nodes: DataFrame, total: int, keep: int = NEIGHBOURS,
                 settled: float = SETTLED) -> DataFrame:
     """Edges (id, other, score) of a graph in which every node lists near others.
@@ -273,13 +265,14 @@ def _scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def search(spark: SparkSession, nodes: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = BEAM,
-           hops: int = HOPS, kept: int = KEPT) -> DataFrame:
+           kept: int = KEPT) -> DataFrame:
     """(query, id) of the ``kept`` nodes that a greedy walk from each query's own node finds best.
 
     ``queries`` has query, the id of a node. Each round every query visits
     the unvisited ones among its ``beam`` best nodes: their neighbours, if
-    not seen yet, are scored. It ends when no query has anything to visit,
-    or after ``hops`` rounds.
+    not seen yet, are scored. It ends when no query has anything to visit;
+    it does end, as every round visits nodes that were not visited before.
+    Queries with nothing to visit rest.
     """
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     own = queries.join(graph.withColumnRenamed("id", "query"), "query")
@@ -288,14 +281,16 @@ def search(spark: SparkSession, nodes: DataFrame, graph: DataFrame, queries: Dat
     q_codes = (queries.join(codes.withColumnRenamed("id", "query"), "query")
                .withColumnsRenamed({"code": "q_code", "scale": "q_scale"}))
     steps = graph.select("id", "other")
-    for _ in range(hops):
+    while True:
         ranked = written(spark, state.withColumn("best", F.row_number().over(order) <= beam))
         visit = ranked.where(F.col("best") & ~F.col("visited")).select("query", "id")
         if visit.limit(1).isEmpty():
             break
-        seen = ranked.select("query", "id")
-        new = (visit.join(steps, "id").select("query", F.col("other").alias("id")).distinct()
-               .where("id <> query").join(seen, ["query", "id"], "left_anti"))
+        # of all that is reached or known, what is not known yet
+        reached = visit.join(steps, "id").select("query", F.col("other").alias("id"), F.lit(False).alias("known"))
+        known = ranked.select("query", "id", F.lit(True).alias("known"))
+        new = (reached.where("query <> id").unionByName(known).groupBy("query", "id")
+               .agg(F.bool_or("known").alias("known")).where(~F.col("known")).select("query", "id"))
         scored = (new.join(codes, "id").join(q_codes, "query")
                   .mapInPandas(_scored, "query long, id long, score float, visited boolean"))
         # what was seen and is not among the best stays known, so that it is not scored again
@@ -313,7 +308,7 @@ def _exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vector_col: str = "embedding",
-            count: int = NEAREST, keep: int | None = None, settled: float = SETTLED) -> DataFrame:
+            count: int = NEAREST, keep: int = NEIGHBOURS, settled: float = SETTLED) -> DataFrame:
     """query_id, rank, vec_id and score: the ``count`` rows of largest inner product found for each query row.
 
     Equal vectors are one node of the graph and are spread out again at the
@@ -321,8 +316,8 @@ def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec
     smaller id. Scores are inner products of the original vectors in double
     precision. Rows with a null id, and vectors that are null, zero or not
     finite throughout, take no part; with fewer candidates all are returned;
-    one usable row has none. All vectors must have one length. Without
-    ``keep``, :func:`list_length` gives the neighbours of each node.
+    one usable row has none. All vectors must have one length. ``keep`` is
+    the number of neighbours of each node in the graph.
     """
     spark = vectors.sparkSession
     nodes = written(spark, classes(vectors, id_col, vector_col))
@@ -333,7 +328,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vec
     members = written(spark, rows.join(nodes.select("id", "vector"), "vector").select("row", "is_query", "id"))
     asked = members.where("is_query")
     queries = asked.select(F.col("id").alias("query")).distinct()
-    graph = build_graph(spark, nodes, total, keep or list_length(total), settled)
+    graph = build_graph(spark, nodes, total, keep, settled)
     found = search(spark, nodes, graph, queries, kept=max(KEPT, 2 * count))
     found = found.unionByName(queries.select("query", F.col("query").alias("id")))  # copies of the query's own vector
     vector = nodes.select("id", "vector")

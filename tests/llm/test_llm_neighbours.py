@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.llm import neighbours
-from tessera.llm.neighbours import list_length, nearest, op9_nearest
+from tessera.llm.neighbours import nearest, op9_nearest
 
 SCHEMA = "vec_id long, embedding array<float>, score string, `rank` int"
 
@@ -95,6 +95,12 @@ def test_rounds_go_on_until_settled(spark, monkeypatch):
     assert len(taken) == 8  # the first round that leaves a thousandth or less
 
 
-def test_lists_grow_with_the_rows():
-    assert list_length(0) == list_length(16_384) == 64
-    assert list_length(32_768) == 80 and list_length(1 << 24) == 224
+def test_a_search_goes_on_until_nothing_is_left_to_visit(spark):
+    # a chain: each node lists only the next two, and the best node for the query is at its far end
+    n = 60
+    vectors = [(i, [1.0, (i + 1) / n]) for i in range(n)]
+    nodes = neighbours.classes(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    graph = spark.createDataFrame([(i, i + d, 1.0) for i in range(n) for d in (1, 2) if i + d < n], "id long, other long, score float")
+    queries = spark.createDataFrame([(0,)], "query long")
+    found = neighbours.search(spark, nodes, graph, queries, beam=3, kept=5).collect()
+    assert {r.id for r in found} == set(range(n - 5, n))
