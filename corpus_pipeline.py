@@ -15,7 +15,7 @@ from tessera.session import drop_folder, scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language."""
+    """Documents that have a language, under the one that is predicted for them."""
     return language.drop_unidentified(docs)
 
 
@@ -47,7 +47,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-# Language prediction, SimHash and byte-pair merges are beyond SQL; see tests/llm/test_pipeline.py.
+# Language prediction, SimHash and byte-pair merges are beyond SQL; see tests/llm/test_llm_pipeline.py.
 ORACLE_SQL = None
 
 

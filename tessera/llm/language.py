@@ -25,6 +25,7 @@ FAMILIES = {
     "semitic": ["ar", "he", "am", "mt"],
 }
 UNKNOWN = "und"
+SURE = 0.7  # score from which a prediction replaces another label (clear texts have about 0.9)
 SAMPLE_PER_LANGUAGE = 300  # labelled documents that the classifiers are fitted on, about, of each language
 SAMPLE = 60_000  # of all languages together; with more labels each has fewer
 LEAST_PER_LANGUAGE = 20  # documents of a language, however many labels there are
@@ -252,27 +253,31 @@ def held_out(id_col: str = "doc_id"):
 
 
 def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                      lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the rows that have no language; all columns, unchanged and unshuffled.
-
-    Fits on the labelled rows of ``docs`` that are not held out. If those
-    teach no language, only texts that are null or have no letter go. The texts
-    stay in their rows: the prediction is joined to each batch in place.
+                      lang_col: str = "lang", sure: float = SURE) -> DataFrame:
+    """``docs`` without the rows that have no language, their language column set by prediction; unshuffled.
+
+    Fits on the labelled rows of ``docs`` that are not held out and predicts
+    every whole text. A row whose text is null or has no letter goes. Of the
+    others, one without a label gets the predicted language, and one whose
+    label differs gets it if the prediction's score is at least ``sure``;
+    other columns are unchanged. If no language was learned, labels stay.
+    The texts stay in their rows: the prediction is made in each batch.
     """
     model = fit(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema, at = docs.schema, docs.columns.index(text_col)
+    schema, at, lang = docs.schema, docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            letters = batch.column(batch.num_columns - 1)
+            keep = batch.column(batch.num_columns - 1)
             kept = batch.select(list(range(batch.num_columns - 1)))
-            if own.languages:
-                names, _ = own.predict(*text_buffer(kept.column(at).fill_null("")))
-                keep = pa.array((names != UNKNOWN) & np.asarray(letters.to_numpy(zero_copy_only=False), bool))
-            else:
-                keep = letters
+            if own.languages and len(kept):
+                names, scores = own.predict(*text_buffer(kept.column(at).fill_null("")))
+                labels = np.array(kept.column(lang).to_pylist(), dtype=object)
+                bare = np.array([x is None for x in labels])
+                chosen = np.where((names != UNKNOWN) & (bare | (scores >= sure)), names, labels)
+                kept = kept.set_column(lang, kept.schema.field(lang), pa.array(chosen, kept.schema.field(lang).type))
             yield kept.filter(keep)
 
     flagged = docs.select("*", text_or_empty(text_col).rlike(r"\p{L}").alias("__letter"))

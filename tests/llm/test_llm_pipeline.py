@@ -59,3 +59,29 @@ def test_table_without_labels(spark, odd):
     want = Counter(r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
     out = corpus_pipeline.language_id(spark, docs, SF)
     assert want and out.columns == docs.columns and Counter(r.doc_id for r in out.collect()) == want
+
+
+def test_predictions_decide_the_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labelled = docs.where("lang is not null and length(text) > 400 and text rlike '[a-z]'")
+    # misnamed and unnamed documents, none of them learned from
+    wrong = labelled.where("lang = 'en' and crc32(cast(doc_id as string)) % 5 = 0").orderBy("doc_id").limit(12)
+    chosen = [r.doc_id for r in wrong.collect()]
+    bad, bare = chosen[:6], chosen[6:]
+    lang = (F.when(F.col("doc_id").isin(bad), F.lit("de")).when(F.col("doc_id").isin(bare), F.lit(None)).otherwise(F.col("lang")))
+    out = corpus_pipeline.language_id(spark, docs.withColumn("lang", lang), SF)
+    assert out.columns == docs.columns and out.schema == docs.schema
+    found = {r.doc_id: r.lang for r in out.where(F.col("doc_id").isin(chosen)).collect()}
+    assert found == {i: "en" for i in chosen}
+    before = {(r.doc_id, r.lang, r.text) for r in labelled.where(~F.col("doc_id").isin(chosen)).collect()}
+    after = {(r.doc_id, r.lang, r.text) for r in out.collect()}
+    assert len(before - after) <= len(before) // 100  # right names stay
+
+
+def test_a_table_of_a_foreign_language(spark):
+    en, xx = "the house and the garden of the old man ", "zq wxv kjj qqz vvx "
+    rows = [(i, (en if i % 2 else xx) * (3 + i % 5), "en" if i % 2 else "xx") for i in range(60)]
+    rows += [(100, xx * 9, None), (101, xx * 9, "en"), (102, None, "en"), (103, "123 45", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    assert out == {**{i: "en" if i % 2 else "xx" for i in range(60)}, 100: "xx", 101: "xx"}
