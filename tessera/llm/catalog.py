@@ -31,6 +31,7 @@ ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE,
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op6_substring_dedup": substring_dedup.ORACLE,
+    "op10_suffix_dedup": suffix_dedup.ORACLE,
     "op11_trie": conversations.ORACLE,
     "op13_warc": warc.ORACLE,
 }

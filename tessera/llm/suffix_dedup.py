@@ -234,3 +234,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without byte strings of 400 that occur elsewhere."""
     kept = remove_repeats(load(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n
+           from documents),
+w as (select doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) as k
+      from (select doc_id, h, unnest(range(n - 399)) as i from d where n >= 400)),
+hit as (select doc_id, i, i > 400 + lag(i) over (partition by doc_id order by i) as apart
+        from w where k in (select k from w group by k having count(*) > 1)),
+run as (select doc_id, i, sum(case when apart then 1 else 0 end) over (partition by doc_id order by i) as r from hit),
+span as (select doc_id, min(i) as a, max(i) + 400 as b from run group by doc_id, r),
+piece as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as from_b from span),
+cut as (select doc_id, count(*) as n_spans, sum(b - a)::bigint as n_removed, max(b) as last_b,
+               list((from_b, a) order by a) as kept from piece group by doc_id)
+select d.doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(case when kept is null then h else
+         array_to_string(list_transform(kept, lambda p: substr(h, 2 * p[1] + 1, 2 * (p[2] - p[1]))), '')
+         || substr(h, 2 * last_b + 1) end)) as kept_sha256
+from d left join cut using (doc_id)
+"""
