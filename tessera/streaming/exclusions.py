@@ -11,6 +11,8 @@ from tessera.operators.matching import check_free
 from tessera.streaming.word_count import ROCKSDB
 
 SLOTS = 8  # of the time to live: an exclusion is kept as its slot's first and last instant
+_STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+               "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 SALTS = 8  # parts over which the candidates of one key are spread
 
 
@@ -84,20 +86,23 @@ def start_append_stream(df: DataFrame, sink_dir: str, checkpoint_dir: str,
 
     Spark's file sink lists the files of finished batches; a replayed batch
     writes its own again, so each row is there once. State is kept in
-    RocksDB, progress in ``checkpoint_dir``. With ``processing_time`` the
-    query keeps polling; otherwise it takes what is there and stops.
+    RocksDB, without disk allocated in advance (a store for each partition
+    and side of a join would take some MB each), progress in
+    ``checkpoint_dir``. With ``processing_time`` the query keeps polling;
+    otherwise it takes what is there and stops.
     """
     spark = df.sparkSession
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    for k, v in _STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         writer = (df.writeStream.format("parquet").outputMode("append").option("path", sink_dir)
                   .option("checkpointLocation", checkpoint_dir))
         trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
         return writer.trigger(**trigger).start()
     finally:
-        spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def run_append_stream(df: DataFrame, sink_dir: str, checkpoint_dir: str) -> DataFrame:
