@@ -51,40 +51,34 @@ def brute(rows, stride=100, firsts=6):
 
 
 def check(spark, rows, **kw):
-    df = spark.createDataFrame([turn(*r) for r in rows], SCHEMA).repartition(5)
+    df = spark.createDataFrame([turn(*r) for r in rows], SCHEMA).repartition(3)
     got = C.conversation_trie(df, **kw)
     assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
                            "ends_sha256"]
     assert Counter(tuple(r) for r in got.collect()) == brute(rows, **kw)
 
 
-def test_odd_rows(spark):
+def test_odd_rows_shared_beginnings_chains_and_copies(spark):
     rows = [(0, i, "user", f"turn {i}") for i in range(5)] + [(0, None, None, None), (0, 3, "user", "turn 3")]
     rows += [(i, t, "user" if t % 2 else None, f"own {t} of {i % 3}") for i in range(1, 12) for t in range(i % 5)]
     rows += [(100, 0, "a", "b"), (100, 0, "ab", ""), (101, 0, "", "ab"), (205, 1, "x", None), (207, 1, "x", ""),
              (None, 0, "lost", "turn"), (None, None, None, None), (-3, 0, "minus", "é\U0001F600"), (-100, 0, "minus", "base"),
              (300, 0, "u", "long " * 20_000), (301, 0, "u", "long " * 20_000), (302, 7, "u", "tie b"), (302, 7, "u", "tie a")]
+    rng = random.Random(3)
+    for c in range(60):  # chains: each conversation goes on from the one before; copies; branches
+        kind = c % 4
+        n = c // 2 if kind == 0 else rng.randrange(1, 12)
+        rows += [(1000 + c, t, "u", "hot" if t == 0 else f"step {t}" if kind < 2 else f"{rng.randrange(2)}") for t in range(n)]
+    rows += [(2000 + c, t, "u", f"copy {t}") for c in range(40) for t in range(3)]
     check(spark, rows)
 
 
 def test_no_rows_and_no_turns(spark):
-    check(spark, [])
     check(spark, [(None, 1, "a", "b")])
     alone = next(c for c in range(1, 99) if zlib.crc32(str(c).encode()) % 6 >= 2)  # its turns go, its base is absent
     check(spark, [(alone, 0, "u", "a"), (alone, 1, "u", "b")])
 
 
-def test_shared_beginnings_chains_and_copies(spark):
-    rng = random.Random(3)
-    rows = []
-    for c in range(60):  # chains: each conversation goes on from the one before; copies; branches
-        kind = c % 4
-        n = c // 2 if kind == 0 else rng.randrange(1, 12)
-        rows += [(1000 + c, t, "u", "hot" if t == 0 else f"step {t}" if kind < 2 else f"{rng.randrange(2)}") for t in range(n)]
-    rows += [(2000 + c, t, "u", f"copy {t}") for c in range(40) for t in range(3)]
-    check(spark, rows, stride=1_000_000, firsts=1)
-
-
 def test_a_long_conversation_with_a_third_of_all_rows(spark):
     rows = [(1, t, "u", f"t{t}") for t in range(5000)]
     rows += [(2 + c, t, "u", f"t{t}" if t < c else f"other {c}") for c in range(60) for t in range(60)]
