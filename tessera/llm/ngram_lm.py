@@ -1,8 +1,9 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, kept as sorted hash arrays, mapped by workers."""
+"""Interpolated modified Kneser-Ney n-gram model: counted in Spark, kept as sorted hash arrays, mapped by workers."""
 
 from __future__ import annotations
 
 import os
+from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,33 +14,101 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, row_ranges, text_buffer,
+    _SPACE, MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, row_ranges, text_buffer,
     text_or_empty, unpack_counts, unpack_sorted, word_hashes, written,
 )
 from tessera.session import scratch
 
+ORDER = 3  # words of the longest n-grams
 CHUNK = 1 << 21  # bytes of text that are looked at together
-HELD = 3_000_000  # tokens that a task counts before it sends
+HELD = 3_000_000  # n-grams that a task counts before it sends
 PER_SHARD = 2_000_000  # tokens behind one shard of a model file, about
-RANGE_BITS = 20  # word ids in one file of what is kept by word id
-END = mix64(np.array([0x454E44], dtype=np.uint64))[0]  # stands for the end of a text
+KEY_BITS = 64  # of a key; where context and token need more, the token's lowest bits choose the owner too
+MAPS = 256  # files that a worker keeps mapped
+END, START = mix64(np.array([0x454E44, 0x535441], dtype=np.uint64))  # stand for the end and the start of a text
 _INVERSE = np.uint64(pow(int(MIX), -1, 1 << 64))
 HELD_OUT, HELD_OUT_AT = 7, 2
 
 _COUNTED = "owner int, keys binary, counts binary"
+_PARTS = "kind string, owner int, keys binary, counts binary, sums array<long>"
+_CLASSES = ("one", "two", "more")
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of each row and an end after each row, and where rows start (one more entry)."""
-    hashes, _, _, counts = word_hashes(data, offsets, lower=True)
-    bounds = counts + np.arange(len(counts))
-    out = np.full(bounds[-1], END, dtype=np.uint64)
-    ends = np.zeros(bounds[-1], dtype=bool)
-    ends[bounds[1:] - 1] = True
-    out[~ends] = hashes
-    return out, bounds
+# ---- texts as tokens --------------------------------------------------------------------
+
+@dataclass
+class Piece:
+    """Tokens of some whole texts, or of a slice of a long one.
+
+    Each text is its ``lead`` (starts, or for a later slice the tokens before
+    it), then its own tokens. ``bounds`` is where texts begin (one more
+    entry), ``place`` each token's place in its text.
+    """
+
+    hashes: np.ndarray
+    bounds: np.ndarray
+    place: np.ndarray
+    lead: int
+    first: bool
+
+    @property
+    def own(self) -> np.ndarray:
+        return self.place >= self.lead
+
+    def counted(self, order: int) -> np.ndarray:
+        """Where n-grams of an order end that count here; those of starts alone count once a text."""
+        return self.place >= order - 1 if self.first else self.own
+
+    def before(self, values: np.ndarray) -> np.ndarray:
+        """The value at the token before, -1 at the first of a text."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.place == 0] = -1
+        return out
 
 
+def _whole(data: np.ndarray, offsets: np.ndarray, lead: int) -> Piece:
+    hashes, _, _, counts = word_hashes(data, offsets, lower=True)
+    sizes = np.diff(counts) + lead + 1
+    bounds = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(bounds[-1]) - np.repeat(bounds[:-1], sizes)
+    out = np.full(bounds[-1], START, dtype=np.uint64)
+    word = place >= lead
+    word[bounds[1:] - 1] = False
+    out[word] = hashes
+    out[bounds[1:] - 1] = END
+    return Piece(out, bounds, place, lead, True)
+
+
+def _next_space(data: np.ndarray, at: int, stop: int) -> int:
+    while at < stop:
+        found = np.flatnonzero(_SPACE[data[at:min(at + CHUNK, stop)]])
+        if len(found):
+            return at + int(found[0])
+        at += CHUNK
+    return stop
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, lead: int, chunk: int | None = None
+           ) -> Iterator[tuple[int, int, Piece, bool]]:
+    """(first row, row after the last, piece, whether it ends its rows); a long text comes in slices, cut at spaces."""
+    chunk = chunk or CHUNK
+    for a, b in row_ranges(offsets, chunk):
+        at, stop = int(offsets[a]), int(offsets[b])
+        if stop - at <= 2 * chunk:
+            yield a, b, _whole(data, offsets[a:b + 1], lead), True
+            continue
+        carry, first = np.full(lead, START, dtype=np.uint64), True
+        while at < stop:
+            cut = _next_space(data, min(at + chunk, stop), stop)
+            hashes = word_hashes(data, np.array([at, cut]), lower=True)[0]
+            row = np.concatenate([carry, hashes, np.full(int(cut == stop), END, dtype=np.uint64)])
+            yield a, b, Piece(row, np.array([0, len(row)]), np.arange(len(row)), lead, first), cut == stop
+            carry, first, at = row[-lead:], False, cut
+
+
+# ---- the model --------------------------------------------------------------------------
+
 def _save(folder: str, name: str, values: np.ndarray) -> None:
     """Write a file whole or not at all, so that a second attempt of a task does no harm."""
     os.makedirs(folder, exist_ok=True)
@@ -56,41 +125,6 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
                          np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def _deal(keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Sorted keys and their counts, cut by the first ``bits`` bits of the key."""
-    cuts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
-    cuts = np.append(cuts, len(keys))
-    owners = np.flatnonzero(np.diff(cuts))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(owners.astype(np.int32)),
-         pa.array([pack_sorted(keys[cuts[o]:cuts[o + 1]]) for o in owners], pa.binary()),
-         pa.array([pack_counts(counts[cuts[o]:cuts[o + 1]]) for o in owners], pa.binary())],
-        names=["owner", "keys", "counts"])
-
-
-def _counted(texts: DataFrame, bits: int, keys_of) -> DataFrame:
-    """Counts of ``keys_of(data, offsets)`` over all texts, summed within tasks and dealt to 2**bits owners."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            data, offsets = text_buffer(batch["text"])
-            for a, b in row_ranges(offsets, CHUNK):
-                held.append(keys_of(data, offsets[a:b + 1]))
-                n += len(held[-1])
-                if n >= HELD:
-                    yield _deal(*np.unique(np.concatenate(held), return_counts=True), bits)
-                    held, n = [], 0
-        if n:
-            yield _deal(*np.unique(np.concatenate(held), return_counts=True), bits)
-
-    return texts.mapInArrow(run, _COUNTED)
-
-
-def _merged(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    return merge_counts([unpack_sorted(k) for k in pdf["keys"]], [unpack_counts(c) for c in pdf["counts"]])
-
-
 def discounts(n: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts of one, two, and three or more.
 
@@ -111,114 +145,320 @@ def _off(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3).astype(np.int64)]
 
 
+@dataclass
+class Grams:
+    """Where the n-grams of one order are.
+
+    The key of an n-gram is its context's id and its last token's id, mixed
+    one to one within ``width`` bits, so no two meet; that of a single token
+    is its hash. Owners are ranges of keys (the first ``bits`` bits) and, if
+    context and token need more than ``KEY_BITS``, the token's lowest
+    ``classes`` bits. An id is the place in all owners' keys.
+    """
+
+    bits: int = 1
+    width: int = 64
+    token_bits: int = 0
+    classes: int = 0
+    bases: list[int] = field(default_factory=lambda: [0, 0, 0])  # ids before each owner's, and all
+    off: tuple[float, float, float] = (0.5, 1.0, 1.5)
+
+    @classmethod
+    def after(cls, contexts: int, tokens: int, bits: int, key_bits: int) -> Grams:
+        own, other = max(tokens - 1, 1).bit_length(), max(contexts - 1, 1).bit_length()
+        classes = min(max(0, own + other - key_bits), own)
+        return cls(bits, max(own + other - classes, bits), own - classes, classes, [0] * ((1 << (bits + classes)) + 1))
+
+    @property
+    def size(self) -> int:
+        return self.bases[-1]
+
+    @property
+    def rest(self) -> int:
+        """Bits of a key within its owner."""
+        return self.width - self.bits
+
+    def _cut(self, keys: np.ndarray, bits: int) -> np.ndarray:
+        return keys if bits >= 64 else keys & np.uint64((1 << bits) - 1)
+
+    def keys(self, context: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and key."""
+        plain = (context.astype(np.uint64) << np.uint64(self.token_bits)) | (token >> self.classes).astype(np.uint64)
+        return token & ((1 << self.classes) - 1), self._cut(plain * MIX, self.width)
+
+    def local(self, keys: np.ndarray) -> np.ndarray:
+        """Keys as they are kept, without their owner's bits."""
+        return self._cut(keys, self.rest).astype(np.uint32 if self.rest <= 32 else np.uint64)
+
+    def parts(self, owner: int | np.ndarray, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and last token of kept keys."""
+        owner = np.asarray(owner).astype(np.uint64)
+        top = (owner & np.uint64((1 << self.bits) - 1)) << np.uint64(self.rest)
+        plain = self._cut((top | local.astype(np.uint64)) * _INVERSE, self.width)
+        token = (self._cut(plain, self.token_bits) << np.uint64(self.classes)) | (owner >> np.uint64(self.bits))
+        return (plain >> np.uint64(self.token_bits)).astype(np.int64), token.astype(np.int64)
+
+    def ranges(self, keys: np.ndarray) -> np.ndarray:
+        """Where each owner's part of sorted keys of a class begins, and their end."""
+        firsts = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(self.rest)
+        return np.append(np.searchsorted(keys, firsts), len(keys))
+
+
 @dataclass
 class KneserNey:
-    """A model in a shared folder; workers map its files as they need them.
-
-    ``words-<s>``: sorted hashes of the training tokens that start with the
-    bits of ``s``, with their ``counts-<s>``; a token's id is its place in
-    all of them. ``pairs-<s>``: sorted mixed numbers of (context id, token
-    id), with ``pair_counts-<s>``; mixing is one to one, so no two pairs
-    meet. ``follow-<r>`` and ``left-<r>``, by id range: the number of
-    different contexts of a token, and the share that a context leaves to
-    the lower order.
+    """A model in a shared folder; workers map its files as they need them, ``MAPS`` at a time.
+
+    For order k and owner o, aligned with the sorted ``keys-k-o``:
+    ``counts`` (how often), and below the highest order ``follow`` (how many
+    different tokens come before it), ``left`` (the share that it leaves, as
+    a context, to the lower order) and ``all`` (the sum that it divides as a
+    context; under the highest order that is ``counts``).
     """
 
     folder: str
-    word_bits: int = 1
-    pair_bits: int = 1
-    bases: list[int] = field(default_factory=lambda: [0, 0, 0])  # ids before each words file, and all
+    order: int = ORDER
+    grams: list[Grams] = field(default_factory=list)
     total: int = 0  # training tokens
-    texts: int = 0  # training texts
-    pairs: int = 0  # different pairs
-    pair_off: tuple[float, float, float] = (0.5, 1.0, 1.5)
-    word_off: tuple[float, float, float] = (0.5, 1.0, 1.5)
-    unknown: float = 1.0  # share of the lower order that goes to all tokens alike
+    start: int = -1  # the id that stands before texts
+    pairs: int = 0  # different pairs of neighbours
+    unknown: float = 1.0  # share of the lowest order that goes to all tokens alike
 
     def __post_init__(self):
-        self._maps: dict[str, np.ndarray | None] = {}
+        self._maps: OrderedDict[str, np.ndarray | None] = OrderedDict()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_maps"} | {"_maps": {}}
+        return {k: v for k, v in self.__dict__.items() if k != "_maps"} | {"_maps": OrderedDict()}
 
     @property
-    def vocabulary(self) -> int:
-        return self.bases[-1]
+    def lead(self) -> int:
+        return self.order - 1
 
-    def mapped(self, name: str) -> np.ndarray | None:
-        if name not in self._maps:
-            path = os.path.join(self.folder, f"{name}.npy")
-            self._maps[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
-        return self._maps[name]
-
-    def _find(self, keys: np.ndarray, bits: int, name: str, counts: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For sorted keys: place in their file (-1: not there), file, and count."""
-        cuts = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)),
-                         len(keys))
-        place, shard = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        count = np.zeros(len(keys), np.int64)
+    @property
+    def vocabulary(self) -> int:
+        return self.grams[0].size - 1 if self.grams else 0
+
+    def mapped(self, name: str, order: int, owner: int) -> np.ndarray | None:
+        file = f"{name}-{order}-{owner}"
+        if file not in self._maps:
+            path = os.path.join(self.folder, f"{file}.npy")
+            self._maps[file] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
+            if len(self._maps) > MAPS:
+                self._maps.popitem(last=False)
+        self._maps.move_to_end(file)
+        return self._maps[file]
+
+    def _search(self, order: int, keys: np.ndarray, names: tuple[str, ...], kind: int = 0) -> list[np.ndarray]:
+        """Id (-1: unknown) of each of sorted keys of a class, and what the files ``names`` hold for it."""
+        g = self.grams[order - 1]
+        out = [np.full(len(keys), -1, np.int64), *[np.zeros(len(keys)) for _ in names]]
+        cuts = g.ranges(keys)
         for s in np.flatnonzero(np.diff(cuts)):
-            a, b = cuts[s], cuts[s + 1]
-            shard[a:b] = s
-            held = self.mapped(f"{name}-{s}")
-            if held is not None and len(held):
-                at = np.minimum(np.searchsorted(held, keys[a:b]), len(held) - 1)
-                hit = held[at] == keys[a:b]
-                place[a:b] = np.where(hit, at, -1)
-                count[a:b] = np.where(hit, self.mapped(f"{counts}-{s}")[at], 0)
-        return place, shard, count
-
-    def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids (-1: unknown) and training counts."""
+            a, b, owner = cuts[s], cuts[s + 1], int(kind << g.bits | s)
+            held = self.mapped("keys", order, owner)
+            if held is None or not len(held):
+                continue
+            wanted = g.local(keys[a:b])
+            at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+            hit = held[at] == wanted
+            out[0][a:b][hit] = at[hit] + g.bases[owner]
+            for i, name in enumerate(names, 1):
+                values = self.mapped(name, order, owner)
+                if values is not None:
+                    out[i][a:b][hit] = values[at[hit]]
+        return out
+
+    def words(self, hashes: np.ndarray, names: tuple[str, ...] = ()) -> list[np.ndarray]:
+        """Ids of tokens, and what ``names`` hold."""
+        if not self.grams:
+            return [np.full(len(hashes), -1, np.int64), *[np.zeros(len(hashes)) for _ in names]]
         keys, back = np.unique(hashes, return_inverse=True)
-        place, shard, count = self._find(keys, self.word_bits, "words", "counts")
-        ids = np.where(place >= 0, place + np.array(self.bases)[shard], -1)
-        return ids[back], count[back]
-
-    def by_id(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """What a file by id range holds for each id; 0 where there is none."""
-        out = np.zeros(len(ids))
-        known, back = np.unique(ids, return_inverse=True)
-        got = np.zeros(len(known))
-        ranges = known >> RANGE_BITS
-        for r in np.unique(ranges[known >= 0]):
-            held = self.mapped(f"{name}-{r}")
-            if held is not None:
-                mine = (ranges == r) & (known >= 0)
-                got[mine] = held[known[mine] & ((1 << RANGE_BITS) - 1)]
-        out[:] = got[back]
+        return [v[back] for v in self._search(1, keys, names)]
+
+    def find(self, order: int, context: np.ndarray, token: np.ndarray, names: tuple[str, ...] = ()) -> list[np.ndarray]:
+        """Ids of n-grams, and what ``names`` hold; -1 and 0 where a part is unknown."""
+        out = [np.full(len(token), -1, np.int64), *[np.zeros(len(token)) for _ in names]]
+        known = np.flatnonzero((context >= 0) & (token >= 0))
+        if not len(known):
+            return out
+        kinds, keys = self.grams[order - 1].keys(context[known], token[known])
+        for kind in np.unique(kinds):
+            mine = np.flatnonzero(kinds == kind)
+            distinct, back = np.unique(keys[mine], return_inverse=True)
+            for held, got in zip(out, self._search(order, distinct, names, int(kind))):
+                held[known[mine]] = got[back]
         return out
 
-    def contexts(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Each token's context: the id before it, or that of a text's start, one past the last."""
-        before = np.empty(len(ids), np.int64)
-        before[1:] = ids[:-1]
-        before[bounds[:-1]] = self.vocabulary
-        return before
-
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-        """n_tokens, n_known, base_score and score of each row of a text buffer."""
-        hashes, bounds = tokens(data, offsets)
-        ids, counts = self.ids(hashes)
-        seen = self.by_id("follow", ids)
-        low = (np.maximum(seen - _off(seen, self.word_off), 0.0) / max(self.pairs, 1)
-               + self.unknown / (self.vocabulary + 1))
-        context = self.contexts(ids, bounds)
-        before = np.concatenate(([0], counts[:-1]))
-        before[bounds[:-1]] = self.texts
-        both = (ids >= 0) & (context >= 0)
-        keys = ((context[both].astype(np.uint64) << np.uint64(32)) | ids[both].astype(np.uint64)) * MIX
-        distinct, back = np.unique(keys, return_inverse=True)
-        pair = np.zeros(len(ids), np.int64)
-        pair[both] = self._find(distinct, self.pair_bits, "pairs", "pair_counts")[2][back]
-        share = self.by_id("left", context)
-        followed = (context >= 0) & (before > 0) & (share > 0)
-        high = np.maximum(pair - _off(pair, self.pair_off), 0.0) / np.maximum(before, 1) + share * low
-        logs = np.log10(np.where(followed, high, low))
+    def rest_of(self, order: int, ids: np.ndarray) -> np.ndarray:
+        """The id, one order lower, of n-grams without their first token."""
+        g = self.grams[order - 1]
+        distinct, back = np.unique(ids, return_inverse=True)
+        owners = np.searchsorted(g.bases, distinct, side="right") - 1
+        out = np.empty(len(distinct), np.int64)
+        for o in np.unique(owners):
+            mine = owners == o
+            held = self.mapped("keys" if order == 2 else "rest", order, int(o))[distinct[mine] - g.bases[o]]
+            out[mine] = g.parts(o, held)[1] if order == 2 else held
+        return out[back]
+
+    def suffix(self, order: int, context: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """As :meth:`rest_of`, for n-grams given as context and last token."""
+        return token if order == 2 else self.find(order - 1, self.rest_of(order - 1, context), token)[0]
+
+    def score(self, piece: Piece) -> dict[str, np.ndarray]:
+        """n_tokens, n_known, base_score and score of each text of a piece."""
+        def names(order: int) -> tuple[str, ...]:
+            if order == self.order:
+                return ("counts",)
+            return ("follow", "left", "counts" if order == self.order - 1 else "all")
+
+        ids, counts, *held = self.words(piece.hashes, ("counts", *names(1)))
+        token = ids
+        logs_of = (np.maximum(held[0] - _off(held[0], self.grams[0].off), 0.0) if self.grams else 0.0)
+        p = logs_of / max(self.pairs, 1) + self.unknown / (self.vocabulary + 1)
+        for k in range(2, self.order + 1 if self.grams else 0):
+            context, left, whole = piece.before(ids), piece.before(held[1]), piece.before(held[2])
+            ids, *held = self.find(k, context, token, names(k))
+            high = np.maximum(held[0] - _off(held[0], self.grams[k - 1].off), 0.0) / np.maximum(whole, 1.0)
+            p = np.where((context >= 0) & (whole > 0), high + left * p, p)
+        own, first = piece.own, piece.bounds[:-1]
         base = np.log10((counts + 1.0) / (self.total + self.vocabulary + 1.0))
-        first = bounds[:-1]
-        return {"n_tokens": np.diff(bounds), "n_known": np.add.reduceat((counts > 0).astype(np.int64), first),
-                "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(logs, first)}
+        sums = {"n_tokens": own, "n_known": own & (counts > 0), "base_score": np.where(own, base, 0.0),
+                "score": np.where(own, np.log10(np.where(own, p, 1.0)), 0.0)}
+        return {n: np.add.reduceat(v.astype(np.int64) if v.dtype == bool else v, first) for n, v in sums.items()}
+
+
+# ---- counting ---------------------------------------------------------------------------
+
+def _deal(g: Grams, kind: int, held: list[np.ndarray]) -> pa.RecordBatch:
+    """Sorted keys of a class and their counts, cut by owners."""
+    keys, counts = np.unique(np.concatenate(held), return_counts=True)
+    cuts = g.ranges(keys)
+    shards = np.flatnonzero(np.diff(cuts))
+    return pa.RecordBatch.from_arrays(
+        [pa.array((kind << g.bits | shards).astype(np.int32)),
+         pa.array([pack_sorted(keys[cuts[s]:cuts[s + 1]]) for s in shards], pa.binary()),
+         pa.array([pack_counts(counts[cuts[s]:cuts[s + 1]]) for s in shards], pa.binary())],
+        names=["owner", "keys", "counts"])
+
+
+def _counted(texts: DataFrame, model: KneserNey, order: int, chunk: int) -> DataFrame:
+    """Counts of the n-grams of an order over all texts, summed within tasks and dealt to owners."""
+    g = model.grams[order - 1]
+
+    def found(piece: Piece) -> Iterator[tuple[int, np.ndarray]]:
+        mine = piece.counted(order)
+        if order == 1:
+            yield 0, piece.hashes[mine]
+            return
+        token = ids = model.words(piece.hashes)[0]
+        for k in range(2, order):
+            ids = model.find(k, piece.before(ids), token)[0]
+        kinds, keys = g.keys(piece.before(ids)[mine], token[mine])
+        for kind in np.unique(kinds):
+            yield int(kind), keys[kinds == kind] if g.classes else keys
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = defaultdict(list), 0
+        for batch in batches:
+            for _, _, piece, _ in pieces(*text_buffer(batch["text"]), model.lead, chunk):
+                for kind, keys in found(piece):
+                    held[kind].append(keys)
+                    n += len(keys)
+                if n >= HELD:
+                    yield from (_deal(g, kind, keys) for kind, keys in held.items())
+                    held, n = defaultdict(list), 0
+        yield from (_deal(g, kind, keys) for kind, keys in held.items())
+
+    return texts.mapInArrow(run, _COUNTED)
+
+
+def _merged(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return merge_counts([unpack_sorted(k) for k in pdf["keys"]], [unpack_counts(c) for c in pdf["counts"]])
+
+
+def _by_owner(kind: str, ids: np.ndarray, counts: np.ndarray, g: Grams) -> list[tuple]:
+    """Counts by sorted id, cut by the owners of the ids."""
+    cuts = np.searchsorted(ids, g.bases)
+    return [(kind, int(o), pack_sorted(ids[a:b].astype(np.uint64)), pack_counts(counts[a:b]), None)
+            for o in np.flatnonzero(np.diff(cuts)) for a, b in [(cuts[o], cuts[o + 1])]]
+
+
+def _below(model: KneserNey, order: int, context: np.ndarray, token: np.ndarray, values: np.ndarray) -> list[tuple]:
+    """What n-grams of an order tell those one order lower: their classes as contexts, and who follows whom."""
+    ends = token != model.start
+    context, token, values = context[ends], token[ends], values[ends]
+    g = model.grams[order - 2]
+    out = [("sum", -1, b"", b"", [*[int((values == i).sum()) for i in (1, 2, 3, 4)], len(values)])]
+    for i, kind in enumerate(_CLASSES, 1):
+        out += _by_owner(kind, *np.unique(context[np.minimum(values, 3) == i], return_counts=True), g)
+    if order < model.order:
+        ids, back = np.unique(context, return_inverse=True)
+        out += _by_owner("all", ids, np.bincount(back, values, len(ids)).astype(np.int64), g)
+    return out + _by_owner("follow", *np.unique(model.suffix(order, context, token), return_counts=True), g)
+
+
+def _build(texts: DataFrame, model: KneserNey, order: int, chunk: int) -> DataFrame | None:
+    """Write the sorted keys and counts of an order; of the highest, what it tells the order below."""
+    g, top = model.grams[order - 1], order == model.order
+
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = _merged(pdf)
+        o = int(pdf["owner"].iat[0])
+        local = g.local(keys)
+        _save(model.folder, f"keys-{order}-{o}", local)
+        _save(model.folder, f"counts-{order}-{o}", _narrow(counts))
+        if top:
+            return pd.DataFrame(_below(model, order, *g.parts(o, local), counts),
+                                columns=["kind", "owner", "keys", "counts", "sums"])
+        if order > 2:  # the order above follows these
+            _save(model.folder, f"rest-{order}-{o}", model.suffix(order, *g.parts(o, local)))
+        return pd.DataFrame({"owner": [o], "n": [len(keys)], "total": [int(counts.sum())]})
+
+    groups = _counted(texts, model, order, chunk).groupBy("owner")
+    if top:
+        return written(texts.sparkSession, groups.applyInPandas(own, _PARTS))
+    held = groups.applyInPandas(own, "owner int, n long, total long").toPandas()  # a row for each owner
+    sizes = np.zeros((1 << (g.bits + g.classes)) + 1, dtype=np.int64)
+    sizes[held["owner"].to_numpy() + 1] = held["n"].to_numpy()
+    g.bases = [int(x) for x in np.cumsum(sizes)]
+    if order == 1:
+        model.total = int(held["total"].sum())
+    return None
+
+
+def _lower(spark: SparkSession, parts: DataFrame, model: KneserNey, order: int) -> DataFrame:
+    """From what the order above tells, write an order's files; what it tells the next below."""
+    g, d = model.grams[order - 1], model.grams[order].off
+
+    def own(pdf: pd.DataFrame) -> pd.DataFrame:
+        o = int(pdf["owner"].iat[0])
+        base, n, got = g.bases[o], g.bases[o + 1] - g.bases[o], {}
+        for kind in (*_CLASSES, "all", "follow"):
+            ids, counts = _merged(pdf[pdf["kind"] == kind])
+            got[kind] = np.zeros(n, np.int64)
+            got[kind][ids.astype(np.int64) - base] = counts
+        whole = got["all"]
+        if order == model.order - 1:
+            whole = np.asarray(model.mapped("counts", order, o), np.int64)
+        else:
+            _save(model.folder, f"all-{order}-{o}", _narrow(whole))
+        _save(model.folder, f"left-{order}-{o}", sum(x * got[c] for x, c in zip(d, _CLASSES)) / np.maximum(whole, 1))
+        _save(model.folder, f"follow-{order}-{o}", _narrow(got["follow"]))
+        seen = np.flatnonzero(got["follow"])
+        values = got["follow"][seen]
+        if order > 1:
+            out = _below(model, order, *g.parts(o, np.asarray(model.mapped("keys", order, o))[seen]), values)
+        else:
+            out = [("sum", -1, b"", b"", [*[int((values == i).sum()) for i in (1, 2, 3, 4)], len(values)])]
+        return pd.DataFrame(out, columns=["kind", "owner", "keys", "counts", "sums"])
+
+    return written(spark, parts.where("owner >= 0").groupBy("owner").applyInPandas(own, _PARTS))
+
+
+def _sums(parts: DataFrame) -> list[int]:
+    """How many values are one to four, and how many there are."""
+    return list(parts.where("owner = -1").select(
+        *[F.coalesce(F.sum(F.element_at("sums", i)), F.lit(0)).alias(f"s{i}") for i in range(1, 6)]).first())
 
 
 def _bits(n: float) -> int:
@@ -226,127 +466,77 @@ def _bits(n: float) -> int:
     return max(1, int(np.ceil(np.log2(max(n, 2)))))
 
 
-def train(docs: DataFrame, text_col: str = "text", per_shard: int = PER_SHARD) -> KneserNey:
-    """Count all texts of ``docs`` and write the model to the shared folder.
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, *, per_shard: int = PER_SHARD,
+          key_bits: int = KEY_BITS, chunk: int = CHUNK) -> KneserNey:
+    """Count all texts of ``docs`` and write the model of n-grams of up to ``order`` (2 at least) to the shared folder.
 
-    Tasks count their own tokens and pairs before anything is shuffled; the
-    owner of a hash range adds the counts up and writes one file. Ranges are
-    of mixed hashes, so a frequent word or context is spread over all
-    owners; the number of owners follows the size of the texts. What the
-    driver gets is a row of sums per owner. The folder must be one that all
-    workers mount.
+    Order by order, tasks count their own n-grams before anything is
+    shuffled; the owner of a key range adds the counts up and writes one
+    file. Ranges are of mixed keys, so a frequent word or context is spread
+    over all owners; the number of owners follows the size of the texts.
+    From the highest order down, owners then tell the next lower one how
+    many followers of which count each context has, and how many different
+    tokens come before each n-gram. What the driver gets is a row of sums
+    per owner. Each text is preceded by ``order - 1`` starts.
+
+    A text longer than ``2 * chunk`` bytes is taken in slices cut at spaces
+    (a single word is taken whole). The folder must be one that all workers
+    mount. No number of different tokens or n-grams is too large.
     """
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     spark = docs.sparkSession
     texts = docs.select(text_or_empty(text_col).alias("text"))
     size, n_texts = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
-    where = scratch(spark)
-    model = KneserNey(posix_folder(where), texts=n_texts)
+    model = KneserNey(posix_folder(scratch(spark)), order)
     if not n_texts:
         return model
-    model.word_bits = model.pair_bits = _bits(max(16, (size / 6 + n_texts) / per_shard))
-
-    def words(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _merged(pdf)
-        s = int(pdf["owner"].iat[0])
-        _save(model.folder, f"words-{s}", keys)
-        _save(model.folder, f"counts-{s}", _narrow(counts))
-        return pd.DataFrame({"owner": [s], "n": [len(keys)], "total": [int(counts.sum())]})
-
-    held = (_counted(texts, model.word_bits, lambda d, o: tokens(d, o)[0])
-            .groupBy("owner").applyInPandas(words, "owner int, n long, total long").toPandas())
-    sizes = np.zeros((1 << model.word_bits) + 1, dtype=np.int64)
-    sizes[held["owner"].to_numpy() + 1] = held["n"].to_numpy()
-    model.bases = [int(x) for x in np.cumsum(sizes)]
-    model.total = int(held["total"].sum())
-    if model.vocabulary >= 1 << 32:
-        raise ValueError("more than 2**32 different tokens")
-
-    def pair_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        hashes, bounds = tokens(data, offsets)
-        ids, _ = model.ids(hashes)
-        return ((model.contexts(ids, bounds).astype(np.uint64) << np.uint64(32)) | ids.astype(np.uint64)) * MIX
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = _merged(pdf)
-        s = int(pdf["owner"].iat[0])
-        _save(model.folder, f"pairs-{s}", keys)
-        _save(model.folder, f"pair_counts-{s}", _narrow(counts))
-        plain = keys * _INVERSE
-        context, token = plain >> np.uint64(32), plain & np.uint64(0xFFFFFFFF)
-        of_counts = [int((counts == i).sum()) for i in (1, 2, 3, 4)]
-        out = [("sum", -1, b"", b"", [*of_counts, len(keys)])]
-        for i, name in ((1, "one"), (2, "two"), (3, "more")):
-            out += _by_range(name, *np.unique(context[np.minimum(counts, 3) == i], return_counts=True))
-        out += _by_range("follow", *np.unique(token, return_counts=True))
-        return pd.DataFrame(out, columns=["kind", "owner", "keys", "counts", "sums"])
-
-    parts = written(spark, _counted(texts, model.pair_bits, pair_keys).groupBy("owner").applyInPandas(
-        pairs, "kind string, owner int, keys binary, counts binary, sums array<long>"))
-    sums = parts.where("owner = -1").select(
-        *[F.sum(F.element_at("sums", i)).alias(f"s{i}") for i in range(1, 6)]).first()
-    model.pair_off, model.pairs = discounts(list(sums)[:4]), sums[4]
-
-    def ranges(pdf: pd.DataFrame) -> pd.DataFrame:
-        r, width = int(pdf["owner"].iat[0]), 1 << RANGE_BITS
-        got = {}
-        for kind in ("one", "two", "more", "follow"):
-            keys, counts = _merged(pdf[pdf["kind"] == kind])
-            got[kind] = np.zeros(width, np.int64)
-            got[kind][(keys & np.uint64(width - 1)).astype(np.int64)] = counts
-        ids = np.arange(width, dtype=np.int64) + r * width
-        times = np.zeros(width, np.int64)  # how often each id is a context
-        for s in range(1 << model.word_bits):
-            a, b = max(model.bases[s], r * width), min(model.bases[s + 1], (r + 1) * width)
-            if a < b:
-                times[a - r * width:b - r * width] = model.mapped(f"counts-{s}")[a - model.bases[s]:b - model.bases[s]]
-        times[ids == model.vocabulary] = model.texts
-        d1, d2, d3 = model.pair_off
-        _save(model.folder, f"left-{r}",
-              ((d1 * got["one"] + d2 * got["two"] + d3 * got["more"]) / np.maximum(times, 1)))
-        _save(model.folder, f"follow-{r}", _narrow(got["follow"]))
-        return pd.DataFrame({"n1": [int((got["follow"] == 1).sum())], "n2": [int((got["follow"] == 2).sum())],
-                             "n3": [int((got["follow"] == 3).sum())], "n4": [int((got["follow"] == 4).sum())],
-                             "more": [int((got["follow"] > 2).sum())]})
-
-    names = ["n1", "n2", "n3", "n4", "more"]
-    lower = (parts.where("owner >= 0").groupBy("owner")
-             .applyInPandas(ranges, ", ".join(f"{n} long" for n in names))
-             .select(*[F.sum(n).alias(n) for n in names]).first())
-    model.word_off = discounts([lower["n1"], lower["n2"], lower["n3"], lower["n4"]])
-    d1, d2, d3 = model.word_off
-    model.unknown = (d1 * lower["n1"] + d2 * lower["n2"] + d3 * lower["more"]) / model.pairs
+    bits = _bits(max(16, (size / 6 + n_texts) / per_shard))
+    parts = None
+    for k in range(1, order + 1):
+        if k == 1:
+            model.grams.append(Grams(bits))
+        else:
+            model.grams.append(Grams.after(model.grams[-1].size, model.grams[0].size, bits, key_bits))
+        parts = _build(texts, model, k, chunk)
+        if k == 1:
+            model.total -= n_texts * model.lead  # starts are no tokens
+            model.start = int(model.words(np.array([START]))[0][0])
+    for k in range(order, 0, -1):
+        *of_counts, different = _sums(parts)
+        model.grams[k - 1].off = discounts(of_counts)
+        if k == 2:
+            model.pairs = different
+        if k > 1:
+            parts = _lower(spark, parts, model, k - 1)
+    d, (n1, n2, _, _) = model.grams[0].off, of_counts
+    model.unknown = (d[0] * n1 + d[1] * n2 + d[2] * (different - n1 - n2)) / model.pairs
     return model
 
 
-def _by_range(kind: str, ids: np.ndarray, counts: np.ndarray) -> list[tuple]:
-    """Counts by id, cut into id ranges."""
-    if not len(ids):
-        return []
-    ranges = np.arange(int(ids[0]) >> RANGE_BITS, (int(ids[-1]) >> RANGE_BITS) + 2, dtype=np.uint64)
-    cuts = np.searchsorted(ids, ranges << np.uint64(RANGE_BITS))
-    return [(kind, int(r), pack_sorted(ids[a:b]), pack_counts(counts[a:b]), None)
-            for r, a, b in zip(ranges[:-1], cuts[:-1], cuts[1:]) if a < b]
-
-
-def score_documents(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+def score_documents(docs: DataFrame, model: KneserNey, *, id_col: str = "doc_id", text_col: str = "text",
+                    chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row's whole text.
 
     ``score`` is the model's log10 probability of the text and its end,
     ``base_score`` that of single tokens with one added to every count. A
     null text is empty: one token, its end. Rows pass unshuffled, repeated
-    ones and null ids too; other columns are ignored. Without any training
-    text every token scores 0.
+    ones and null ids too; other columns are ignored. A very long text is
+    scored in slices. Without any training text every token scores 0.
     """
     names = ["n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffer(batch["text"])
-            for a, b in row_ranges(offsets, CHUNK):
-                got = model.score(data, offsets[a:b + 1])
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].slice(a, b - a), *[pa.array(got[n]) for n in names]], names=["doc_id", *names])
+            held = None
+            for a, b, piece, last in pieces(*text_buffer(batch["text"]), model.lead, chunk):
+                got = model.score(piece)
+                held = {n: held[n] + got[n] for n in names} if held else got
+                if last:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["doc_id"].slice(a, b - a), *[pa.array(held[n]) for n in names]],
+                        names=["doc_id", *names])
+                    held = None
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
