@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections import OrderedDict, defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import (
-    _SPACE, MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, row_ranges, text_buffer,
+    _SPACE, MIX, id_crc, load, merge_counts, mix64, pack_counts, pack_sorted, posix_folder, release, row_ranges, text_buffer,
     text_or_empty, unpack_counts, unpack_sorted, word_hashes, written,
 )
 from tessera.session import scratch
@@ -24,12 +25,14 @@ CHUNK = 1 << 21  # bytes of text that are looked at together
 HELD = 3_000_000  # n-grams that a task counts before it sends
 PER_SHARD = 2_000_000  # tokens behind one shard of a model file, about
 KEY_BITS = 64  # of a key; where context and token need more, the token's lowest bits choose the owner too
+INDEX_BITS = 16  # of a key, at most, that an index holds in place of the keys
 MAPS = 256  # files that a worker keeps mapped
 END, START = mix64(np.array([0x454E44, 0x535441], dtype=np.uint64))  # stand for the end and the start of a text
 _INVERSE = np.uint64(pow(int(MIX), -1, 1 << 64))
 HELD_OUT, HELD_OUT_AT = 7, 2
 
 _COUNTED = "owner int, keys binary, counts binary"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PARTS = "kind string, owner int, keys binary, counts binary, sums array<long>"
 _CLASSES = ("one", "two", "more")
 
@@ -118,11 +121,11 @@ def _save(folder: str, name: str, values: np.ndarray) -> None:
     os.replace(part, os.path.join(folder, f"{name}.npy"))
 
 
-def _narrow(counts: np.ndarray) -> np.ndarray:
-    """Counts in the fewest bytes that hold them all."""
-    top = int(counts.max()) if len(counts) else 0
-    return counts.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else
-                         np.uint32 if top < 1 << 32 else np.uint64)
+def _save_values(folder: str, name: str, values: np.ndarray) -> None:
+    """Numbers of few different values: the values, and for each number which one, in as few bytes as will do."""
+    table, codes = np.unique(values, return_inverse=True)
+    _save(folder, f"{name}-values", table)
+    _save(folder, name, codes.astype(np.min_scalar_type(max(len(table) - 1, 0))))
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -186,15 +189,27 @@ class Grams:
         plain = (context.astype(np.uint64) << np.uint64(self.token_bits)) | (token >> self.classes).astype(np.uint64)
         return token & ((1 << self.classes) - 1), self._cut(plain * MIX, self.width)
 
-    def local(self, keys: np.ndarray) -> np.ndarray:
-        """Keys as they are kept, without their owner's bits."""
-        return self._cut(keys, self.rest).astype(np.uint32 if self.rest <= 32 else np.uint64)
+    @property
+    def low(self) -> int:
+        """Bits of a key that are kept one by one; an index by the bits between holds where those begin."""
+        return self.rest if self.rest > 32 + INDEX_BITS else min(self.rest, 32)
+
+    def local(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys without their owner's bits: index, and rest."""
+        own = self._cut(keys, self.rest)
+        high = np.zeros(len(own), np.int64) if self.low == self.rest else (own >> np.uint64(self.low)).astype(np.int64)
+        return high, self._cut(own, self.low).astype(np.uint32 if self.low <= 32 else np.uint64)
+
+    def index(self, high: np.ndarray) -> np.ndarray:
+        """Where each index's keys begin, and their end."""
+        return np.searchsorted(high, np.arange((1 << (self.rest - self.low)) + 1))
 
-    def parts(self, owner: int | np.ndarray, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def parts(self, owner: int, high: np.ndarray, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Context and last token of kept keys."""
-        owner = np.asarray(owner).astype(np.uint64)
+        owner = np.uint64(owner)
         top = (owner & np.uint64((1 << self.bits) - 1)) << np.uint64(self.rest)
-        plain = self._cut((top | local.astype(np.uint64)) * _INVERSE, self.width)
+        between = high.astype(np.uint64) << np.uint64(self.low) if self.low < self.rest else np.uint64(0)
+        plain = self._cut((top | between | local.astype(np.uint64)) * _INVERSE, self.width)
         token = (self._cut(plain, self.token_bits) << np.uint64(self.classes)) | (owner >> np.uint64(self.bits))
         return (plain >> np.uint64(self.token_bits)).astype(np.int64), token.astype(np.int64)
 
@@ -204,12 +219,29 @@ class Grams:
         return np.append(np.searchsorted(keys, firsts), len(keys))
 
 
+def _place(held: np.ndarray, wanted: np.ndarray, high: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place in the kept keys for each wanted one, and whether it stands there, among those of its index."""
+    if len(index) == 2:
+        at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+        return at, held[at] == wanted
+    a, stop = index[high].astype(np.int64), index[high + 1].astype(np.int64)
+    b = stop
+    while (apart := a < b).any():
+        mid = np.minimum((a + b) >> 1, len(held) - 1)
+        less = held[mid] < wanted
+        a = np.where(apart & less, mid + 1, a)
+        b = np.where(apart & ~less, mid, b)
+    at = np.minimum(a, len(held) - 1)
+    return at, (a < stop) & (held[at] == wanted)
+
+
 @dataclass
 class KneserNey:
     """A model in a shared folder; workers map its files as they need them, ``MAPS`` at a time.
 
-    For order k and owner o, aligned with the sorted ``keys-k-o``:
-    ``counts`` (how often), and below the highest order ``follow`` (how many
+    For order k and owner o, ``keys-k-o`` are sorted, ``index`` says where
+    those of each leading bits begin, and aligned with the keys are, each
+    with its ``-values``: ``counts`` (how often), and below the highest order ``follow`` (how many
     different tokens come before it), ``left`` (the share that it leaves, as
     a context, to the lower order) and ``all`` (the sum that it divides as a
     context; under the highest order that is ``counts``).
@@ -237,8 +269,8 @@ class KneserNey:
     def vocabulary(self) -> int:
         return self.grams[0].size - 1 if self.grams else 0
 
-    def mapped(self, name: str, order: int, owner: int) -> np.ndarray | None:
-        file = f"{name}-{order}-{owner}"
+    def mapped(self, name: str, order: int, owner: int, suffix: str = "") -> np.ndarray | None:
+        file = f"{name}-{order}-{owner}{suffix}"
         if file not in self._maps:
             path = os.path.join(self.folder, f"{file}.npy")
             self._maps[file] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
@@ -257,16 +289,21 @@ class KneserNey:
             held = self.mapped("keys", order, owner)
             if held is None or not len(held):
                 continue
-            wanted = g.local(keys[a:b])
-            at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
-            hit = held[at] == wanted
+            high, wanted = g.local(keys[a:b])
+            at, hit = _place(held, wanted, high, self.mapped("index", order, owner))
             out[0][a:b][hit] = at[hit] + g.bases[owner]
             for i, name in enumerate(names, 1):
-                values = self.mapped(name, order, owner)
-                if values is not None:
-                    out[i][a:b][hit] = values[at[hit]]
+                codes = self.mapped(name, order, owner)
+                if codes is not None:
+                    out[i][a:b][hit] = self.mapped(name, order, owner, "-values")[codes[at[hit]]]
         return out
 
+    def kept(self, order: int, owner: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and last token of the n-grams at these places of an owner."""
+        index = self.mapped("index", order, owner)
+        high = np.searchsorted(index, at, side="right") - 1
+        return self.grams[order - 1].parts(owner, high, np.asarray(self.mapped("keys", order, owner)[at]))
+
     def words(self, hashes: np.ndarray, names: tuple[str, ...] = ()) -> list[np.ndarray]:
         """Ids of tokens, and what ``names`` hold."""
         if not self.grams:
@@ -296,8 +333,8 @@ class KneserNey:
         out = np.empty(len(distinct), np.int64)
         for o in np.unique(owners):
             mine = owners == o
-            held = self.mapped("keys" if order == 2 else "rest", order, int(o))[distinct[mine] - g.bases[o]]
-            out[mine] = g.parts(o, held)[1] if order == 2 else held
+            at = distinct[mine] - g.bases[o]
+            out[mine] = self.kept(2, int(o), at)[1] if order == 2 else self.mapped("rest", order, int(o))[at]
         return out[back]
 
     def suffix(self, order: int, context: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -404,14 +441,15 @@ def _build(texts: DataFrame, model: KneserNey, order: int, chunk: int) -> DataFr
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, counts = _merged(pdf)
         o = int(pdf["owner"].iat[0])
-        local = g.local(keys)
+        high, local = g.local(keys)
         _save(model.folder, f"keys-{order}-{o}", local)
-        _save(model.folder, f"counts-{order}-{o}", _narrow(counts))
+        _save(model.folder, f"index-{order}-{o}", g.index(high).astype(np.uint32 if len(keys) < 1 << 32 else np.uint64))
+        _save_values(model.folder, f"counts-{order}-{o}", counts)
         if top:
-            return pd.DataFrame(_below(model, order, *g.parts(o, local), counts),
+            return pd.DataFrame(_below(model, order, *g.parts(o, high, local), counts),
                                 columns=["kind", "owner", "keys", "counts", "sums"])
         if order > 2:  # the order above follows these
-            _save(model.folder, f"rest-{order}-{o}", model.suffix(order, *g.parts(o, local)))
+            _save(model.folder, f"rest-{order}-{o}", model.suffix(order, *g.parts(o, high, local)))
         return pd.DataFrame({"owner": [o], "n": [len(keys)], "total": [int(counts.sum())]})
 
     groups = _counted(texts, model, order, chunk).groupBy("owner")
@@ -439,15 +477,16 @@ def _lower(spark: SparkSession, parts: DataFrame, model: KneserNey, order: int)
             got[kind][ids.astype(np.int64) - base] = counts
         whole = got["all"]
         if order == model.order - 1:
-            whole = np.asarray(model.mapped("counts", order, o), np.int64)
+            whole = model.mapped("counts", order, o, "-values")[model.mapped("counts", order, o)]
         else:
-            _save(model.folder, f"all-{order}-{o}", _narrow(whole))
-        _save(model.folder, f"left-{order}-{o}", sum(x * got[c] for x, c in zip(d, _CLASSES)) / np.maximum(whole, 1))
-        _save(model.folder, f"follow-{order}-{o}", _narrow(got["follow"]))
+            _save_values(model.folder, f"all-{order}-{o}", whole)
+        _save_values(model.folder, f"left-{order}-{o}",
+                     sum(x * got[c] for x, c in zip(d, _CLASSES)) / np.maximum(whole, 1))
+        _save_values(model.folder, f"follow-{order}-{o}", got["follow"])
         seen = np.flatnonzero(got["follow"])
         values = got["follow"][seen]
         if order > 1:
-            out = _below(model, order, *g.parts(o, np.asarray(model.mapped("keys", order, o))[seen]), values)
+            out = _below(model, order, *model.kept(order, o, seen), values)
         else:
             out = [("sum", -1, b"", b"", [*[int((values == i).sum()) for i in (1, 2, 3, 4)], len(values)])]
         return pd.DataFrame(out, columns=["kind", "owner", "keys", "counts", "sums"])
@@ -466,6 +505,17 @@ def _bits(n: float) -> int:
     return max(1, int(np.ceil(np.log2(max(n, 2)))))
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Lets Spark delete a job's shuffle files when it ends: what it gave is written by then."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, *, per_shard: int = PER_SHARD,
           key_bits: int = KEY_BITS, chunk: int = CHUNK) -> KneserNey:
     """Count all texts of ``docs`` and write the model of n-grams of up to ``order`` (2 at least) to the shared folder.
@@ -492,23 +542,25 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER, *, per_sh
     if not n_texts:
         return model
     bits = _bits(max(16, (size / 6 + n_texts) / per_shard))
-    parts = None
-    for k in range(1, order + 1):
-        if k == 1:
-            model.grams.append(Grams(bits))
-        else:
-            model.grams.append(Grams.after(model.grams[-1].size, model.grams[0].size, bits, key_bits))
-        parts = _build(texts, model, k, chunk)
-        if k == 1:
-            model.total -= n_texts * model.lead  # starts are no tokens
-            model.start = int(model.words(np.array([START]))[0][0])
-    for k in range(order, 0, -1):
-        *of_counts, different = _sums(parts)
-        model.grams[k - 1].off = discounts(of_counts)
-        if k == 2:
-            model.pairs = different
-        if k > 1:
-            parts = _lower(spark, parts, model, k - 1)
+    with _shuffles_deleted(spark):
+        for k in range(1, order + 1):
+            if k == 1:
+                model.grams.append(Grams(bits, bases=[0] * ((1 << bits) + 1)))
+            else:
+                model.grams.append(Grams.after(model.grams[-1].size, model.grams[0].size, bits, key_bits))
+            parts = _build(texts, model, k, chunk)
+            if k == 1:
+                model.total -= n_texts * model.lead  # starts are no tokens
+                model.start = int(model.words(np.array([START]))[0][0])
+        for k in range(order, 0, -1):
+            *of_counts, different = _sums(parts)
+            model.grams[k - 1].off = discounts(of_counts)
+            if k == 2:
+                model.pairs = different
+            above = parts
+            if k > 1:
+                parts = _lower(spark, above, model, k - 1)
+            release(above)
     d, (n1, n2, _, _) = model.grams[0].off, of_counts
     model.unknown = (d[0] * n1 + d[1] * n2 + d[2] * (different - n1 - n2)) / model.pairs
     return model

@@ -119,6 +119,35 @@ def test_no_training_text(spark, odd, nothing):
         train(odd, order=1)
 
 
+@pytest.mark.parametrize("grams", [ngram_lm.Grams(4, 45, 21), ngram_lm.Grams(3, 50, 20, 3), ngram_lm.Grams(2, 64, 30),
+                                   ngram_lm.Grams(5, 20, 9), ngram_lm.Grams(6, 6, 3)])
+def test_kept_keys(grams):
+    """Keys of every width, with and without an index, give their parts back; others are not found."""
+    rng, owned = np.random.default_rng(1), {}
+    bits = min(grams.width - grams.token_bits, 24)
+    context = rng.integers(0, 1 << bits, 4000)
+    token = rng.integers(0, 1 << min(grams.token_bits + grams.classes, 20), 4000)
+    kinds, keys = grams.keys(context, token)
+    for kind in np.unique(kinds):
+        sorted_keys = np.unique(keys[kinds == kind])
+        cuts = grams.ranges(sorted_keys)
+        for s in np.flatnonzero(np.diff(cuts)):
+            owned[int(kind << grams.bits | s)] = sorted_keys[cuts[s]:cuts[s + 1]]
+    back = set()
+    for owner, mine in owned.items():
+        high, held = grams.local(mine)
+        index = grams.index(high)
+        at, hit = ngram_lm._place(held, held, high, index)
+        assert hit.all() and list(at) == list(range(len(mine)))
+        back |= set(zip(*(x.tolist() for x in grams.parts(owner, high, held))))
+        # the same low bits under other leading bits
+        other = np.roll(np.arange(len(index) - 1), 1)[high]
+        _, hit = ngram_lm._place(held, held, other, index)
+        truth = set(zip(high.tolist(), held.tolist()))
+        assert hit.tolist() == [p in truth for p in zip(other.tolist(), held.tolist())]
+    assert back == set(zip(context.tolist(), token.tolist()))
+
+
 def test_maps_are_bounded(spark, odd, monkeypatch):
     docs = [(r.doc_id, r.text) for r in odd.collect()]
     model = train(odd, per_shard=50)
