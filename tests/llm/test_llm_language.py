@@ -3,7 +3,11 @@
 import random
 import zlib
 
-from tessera.llm.language import UNKNOWN, drop_unidentified, fit, identify, op4_language
+import numpy as np
+import pytest
+
+from tessera.llm import language
+from tessera.llm.language import UNKNOWN, LanguageModel, drop_unidentified, fit, fit_svm, identify, op4_language
 
 from llm_helpers import nothing, odd  # noqa: F401
 
@@ -64,3 +68,50 @@ def test_more_than_200_labels(spark):
     truth = {i: lang for i, _, lang in docs if i >= 196000}
     assert set(got) == set(truth)
     assert sum(got[i] == truth[i] for i in truth) > 0.95 * len(truth)
+
+
+@pytest.mark.parametrize("c, apart", [(10.0, 0.5), (1.0, 0.2), (0.1, 3.0)])
+def test_svm_is_the_minimum_of_its_loss(c, apart):
+    """Against Newton steps on the primal loss: half the squared weights and bias, c times squared hinges."""
+    rng = np.random.default_rng(4)
+    y = np.where(np.arange(80) % 3 == 0, 1.0, -1.0)
+    x = (rng.normal(size=(80, 6)) + apart * y[:, None]).astype(np.float32)
+    w, bias = fit_svm(x, y, c=c, rounds=2000)
+    z = np.hstack([x, np.ones((80, 1))]).astype(np.float64)
+    plain = np.zeros(7)
+    for _ in range(100):
+        short = np.maximum(1 - y * (z @ plain), 0)
+        near = z[short > 0]
+        plain -= np.linalg.solve(np.eye(7) + 2 * c * near.T @ near, plain - 2 * c * z.T @ (y * short))
+
+    def loss(v):
+        return 0.5 * v @ v + c * (np.maximum(1 - y * (z @ v), 0) ** 2).sum()
+
+    mine = np.append(w, bias)
+    assert loss(mine) <= loss(plain) * 1.001 and np.allclose(mine, plain, atol=2e-2)
+
+
+def test_margins_sum_the_weights_of_all_ngrams():
+    """Against byte n-grams counted one by one, with texts shorter than an n-gram and empty ones."""
+    rng, size = np.random.default_rng(8), 1 << language.FEATURE_BITS
+    weights = [rng.normal(size=len(language.ORDERS) * size).astype(np.float32) for _ in range(2)]
+    model = LanguageModel(["a", "b", "c"], [["a", "b"], ["c"]], {(0, 1): (weights[0], 0.25)}, {("a", "b"): (weights[1], -0.5)})
+    texts = [t.encode() for t in ("", "x", "ab", "Abc", "The Quick brown", "", "à la carte, 12!", "lorem " * 500)]
+
+    def folded(raw):
+        return [b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in raw]
+
+    def feature(gram):
+        code = 0
+        for b in gram:
+            code = (code * 0x01000193 + b + 1) % 2 ** 32
+        return ((code ^ code >> 15) * 0x2C1B3C6D % 2 ** 32) >> (32 - language.FEATURE_BITS)
+
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = model.margins(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for p, (w, bias) in enumerate(zip(weights, (0.25, -0.5))):
+        for i, raw in enumerate(texts):
+            row = folded(raw)
+            total = sum(float(w[k * size + feature(row[j:j + o])]) for k, o in enumerate(language.ORDERS)
+                        for j in range(len(row) - o + 1))
+            assert got[p, i] == pytest.approx(total / max(len(row), 1) + bias, abs=1e-4)

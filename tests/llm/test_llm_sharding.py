@@ -1,8 +1,11 @@
 """Rendezvous sharding: laws, growth, slots, odd rows."""
 
+import math
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tessera.llm.sharding import op1_sharding, rendezvous, shard_documents
@@ -57,3 +60,21 @@ def test_one_repeated_row_is_a_third_of_all(spark):
 def test_weights_set_the_shares(spark):
     df = spark.range(20_000).select(rendezvous(F.col("id"), [3.0, 1.0]).alias("s"))
     assert abs(df.where("s = 0").count() / 20_000 - 0.75) < 0.02
+
+
+def score(i, key, weight):
+    """What a shard scores for a long key, worked out apart from Spark."""
+    h = xxhash.xxh64(struct.pack("<q", key), seed=xxhash.xxh64(struct.pack("<i", i), seed=42).intdigest()).intdigest()
+    return weight / -math.log(((h >> 11) + 0.5) * 2.0 ** -53)
+
+
+def test_every_row_is_in_its_best_scoring_shard(spark):
+    rows = op1_sharding(spark, SF).select(F.col("doc_id").cast("long").alias("doc_id"), "shard", "grown_shard").collect()
+    assert spark.read.parquet(f"{SF}/documents.parquet").schema["doc_id"].dataType.simpleString() == "bigint"
+    for r in rows:
+        scores = [score(i, r.doc_id, 1.0) for i in range(25)]
+        assert r.shard == max(range(24), key=lambda i: scores[i])
+        assert r.grown_shard == max(range(25), key=lambda i: scores[i])
+    weights = [0.5, 4.0, 1.5]
+    for r in spark.range(-300, 300).select("id", rendezvous(F.col("id"), weights).alias("s")).collect():
+        assert r.s == max(range(3), key=lambda i: score(i, r.id, weights[i]))
