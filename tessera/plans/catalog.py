@@ -241,12 +241,12 @@ def q_printed_top_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_completed_line_count(spark: SparkSession, d: str) -> DataFrame:
-    """Lines of the finished ones of several folders: orders by status, the write of one left unfinished."""
+    """Lines of the finished ones of several folders: all orders by status, the write of one (P) left unfinished."""
     root, orders = scratch(spark), table(spark, d, "orders")
-    line = _one_line("o_orderkey", "o_orderpriority")
-    for status in ("F", "O"):
-        orders.where(F.col("o_orderstatus") == status).select(line).write.text(f"{root}/{status}")
-    (orders.where(F.col("o_orderstatus") == "P").select(line)
+    line, status = _one_line("o_orderkey", "o_orderpriority"), F.col("o_orderstatus")
+    orders.where(status == "F").select(line).write.text(f"{root}/F")
+    orders.where(~status.eqNullSafe("F") & ~status.eqNullSafe("P")).select(line).write.text(f"{root}/rest")
+    (orders.where(status == "P").select(line)
      .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(f"{root}/P"))
     return jobs.completed_line_count(spark, root)
 

@@ -189,7 +189,7 @@ ORACLE: dict[str, str] = {
                as line
         from ({_WORD_COUNT}) order by cnt desc, word desc limit 1000
     """,
-    "completed_line_count": "select count(*) as n_lines from orders where o_orderstatus in ('F', 'O')",
+    "completed_line_count": "select count(*) as n_lines from orders where o_orderstatus is distinct from 'P'",
     "word_rank": f"""
         select row_number() over (order by cnt desc, word desc) as rnk, word, cnt from ({_WORD_COUNT})
     """,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 SUCCESS_MARKER = "_SUCCESS"
 PATH_DATE_REGEX = r"(\d{4})[-/](\d{2})[-/](\d{2})"
 
+LISTINGS = 32  # calls to the file system at the same time
+
 
 def _fs_for(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -120,31 +123,38 @@ def text_folders(spark: SparkSession, root: str, require_success: bool = True,
 
     A folder counts as finished if it, or one above it up to ``root``, has a
     ``_SUCCESS`` marker. A folder whose path names a day outside the range
-    is not listed. Listing is one call per folder that is entered.
+    is not listed. Listing is one call per folder that is entered, level by
+    level, ``LISTINGS`` at the same time.
     """
     top, fs = _fs_for(spark, root.rstrip("/"))
     if not fs.exists(top):
         raise FileNotFoundError(f"no such folder: {root}")
     found, anything = [], False
     bounded = date_from is not None or date_to is not None
-    queue = [(top, False)]
-    while queue:
-        folder, finished = queue.pop()
-        entries = list(fs.listStatus(folder))
-        names = [e.getPath().getName() for e in entries]
-        finished = finished or SUCCESS_MARKER in names
-        data = any(e.isFile() and not n.startswith(("_", ".")) for e, n in zip(entries, names))
-        anything = anything or data
-        if data and (finished or not require_success):
-            found.append(str(folder.toString()))
-        for e, n in zip(entries, names):
-            if e.isDirectory() and not n.startswith(("_", ".")):
-                below = str(e.getPath().toString())
-                day = path_date(below[len(str(top.toString())):])
-                if bounded and day is not None and not in_date_range([str(day)], date_from, date_to):
-                    anything = True
-                    continue
-                queue.append((e.getPath(), finished))
+
+    def listed(folder) -> list[tuple]:
+        return [(e.getPath(), e.getPath().getName(), e.isDirectory()) for e in fs.listStatus(folder)]
+
+    level = [(top, False)]
+    with ThreadPoolExecutor(LISTINGS) as pool:
+        while level:
+            below = []
+            for (folder, finished), entries in zip(level, pool.map(listed, [f for f, _ in level])):
+                finished = finished or any(n == SUCCESS_MARKER for _, n, _ in entries)
+                shown = [e for e in entries if not e[1].startswith(("_", "."))]
+                data = any(not is_folder for _, _, is_folder in shown)
+                anything = anything or data
+                if data and (finished or not require_success):
+                    found.append(str(folder.toString()))
+                for path, _, is_folder in shown:
+                    if not is_folder:
+                        continue
+                    day = path_date(str(path.toString())[len(str(top.toString())):])
+                    if bounded and day is not None and not in_date_range([str(day)], date_from, date_to):
+                        anything = True
+                        continue
+                    below.append((path, finished))
+            level = below
     return sorted(in_date_range(found, date_from, date_to)), anything
 
 
@@ -168,7 +178,8 @@ def read_text_dirs(spark: SparkSession, root: str | list[str], pattern: str | No
         dirs = [d.rstrip("/") for d in root]
         anything = bool(dirs)
         if require_success:
-            dirs = [d for d in dirs if has_marker(spark, d)]
+            with ThreadPoolExecutor(LISTINGS) as pool:
+                dirs = [d for d, done in zip(dirs, list(pool.map(lambda d: has_marker(spark, d), dirs))) if done]
         dirs = in_date_range(dirs, date_from, date_to)
     elif pattern is None:
         dirs, anything = text_folders(spark, root, require_success, date_from, date_to)

@@ -128,3 +128,27 @@ def test_partitioned_text_prunes_days_and_needs_success(spark, scratch):
     p = jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
     assert read_partitioned_text(spark, root, "day").count() == 0
+
+
+def test_wide_and_deep_trees_are_listed_whole(spark, tmp_path):
+    """More folders in a level than calls at a time; markers above, hidden folders, folders out of range."""
+    from tessera.sources.text_dirs import LISTINGS, text_folders
+    want = set()
+    for i in range(LISTINGS + 9):
+        for j, month in enumerate(("2014/05", "2014/06")):
+            leaf = tmp_path / f"t{i}" / month / f"{1 + i % 28:02}"
+            leaf.mkdir(parents=True)
+            (leaf / "part-0").write_text("x\n")
+            if i % 3 == 0:
+                (tmp_path / f"t{i}" / "_SUCCESS").touch()
+            elif i % 3 == 1:
+                (leaf / "_SUCCESS").touch()
+            if j == 0 and i % 3 != 2:
+                want.add(str(leaf))
+    hidden = tmp_path / "_temporary" / "2014" / "05" / "01"
+    hidden.mkdir(parents=True)
+    (hidden / "part-0").write_text("x\n")
+    found, anything = text_folders(spark, str(tmp_path), date_to="2014-05-31")
+    assert anything and {f.removeprefix("file:") for f in found} == want and found == sorted(found)
+    every, _ = text_folders(spark, str(tmp_path), require_success=False)
+    assert len(every) == 2 * (LISTINGS + 9)
