@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tessera.operators import failure_streak, ttl_exclude
-from tessera.streaming import failure_streak_stream_df, read_stream, run_append_stream, ttl_exclude_stream_df
+from tessera.streaming import failure_streak_stream_df, read_stream, run_append_stream, start_append_stream, ttl_exclude_stream_df
+from tessera.streaming.failures import advance
 
 NOW = dt.datetime(2024, 5, 1)
 SCHEMA = "event_id long, user_id long, ts timestamp_ntz, kind string"
@@ -112,3 +113,38 @@ def test_streaks_equal_the_batch_job(spark, scratch, cap, health):
     out = run_append_stream(failure_streak_stream_df(read_stream(spark, src, SCHEMA, 1), delay="20 hours", **args), sink, ck)
     # null user -1 marks the end and fails nothing
     assert rows(out) == want
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "double"])
+def test_many_keys_share_a_bucket(spark, scratch, kind):
+    """State and calls follow the buckets, not the keys; large numbers beside nulls stay as they are."""
+    big = 1 << 60
+    data = [(big + i if i % 5 else None, u, t, k) for i, u, t, k in sorted(made(400, 9, keys=60), key=lambda r: r[2])]
+    data += [(big + 1000, 3, None, "error"), (None, None, None, "error")]
+
+    def shaped(df):
+        user = {"double": "if(user_id = 2 and event_id % 2 = 0, -0.0D, user_id - 2)",
+                "bigint": f"user_id + {big}", "string": "concat('user ', user_id)"}[kind]
+        return df.selectExpr("event_id", f"cast({user} as {kind}) as user_id", "ts", "kind", "concat(event_id, user_id) as more")
+
+    args = dict(key="user_id", ts="ts", failed=F.col("kind").isin("error", "view"), order_by=["event_id", "more"], cap=2,
+                keep=["event_id", "more"], healthy=F.col("kind") == "view")
+    groups = {}
+    for r in shaped(spark.createDataFrame(data, SCHEMA)).collect():
+        groups.setdefault(repr(r.user_id).replace("-0.0", "0.0"), []).append(r)
+    want = []
+    for group in groups.values():
+        group.sort(key=lambda r: (r.ts or dt.datetime.min, r.event_id or -1, r.more or ""))
+        streaks, _ = advance([r.kind in ("error", "view") for r in group], [r.kind == "view" for r in group], 0, 2)
+        failures = [r for r in group if r.kind in ("error", "view")]
+        want += [(r.event_id, r.more, r.user_id, n) for r, n in zip(failures, streaks, strict=True)]
+    src, sink, ck = f"{scratch}/src", f"{scratch}/sink", f"{scratch}/ck"
+    end = [(-1, None, close(data)[0][2], "none")]
+    for part in (data[:200], data[200:], end):
+        arrive(spark, src, part)
+        out = failure_streak_stream_df(shaped(read_stream(spark, src, SCHEMA, 1)), delay="20 hours", buckets=3, **args)
+        query = start_append_stream(out, sink, ck)
+        query.awaitTermination()
+        assert all(p["stateOperators"][0]["numRowsTotal"] <= 3 for p in query.recentProgress)
+    got = spark.read.schema(out.schema).parquet(sink).select("event_id", "more", "user_id", "streak").collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, want))
