@@ -62,23 +62,16 @@ def price_steps(prices: DataFrame, grp: str, opt: str, value: str, ts: str,
         moments = moments.unionByName(excluded.select(grp, opt, "key", F.explode(F.array("x_at", F.col("x_at") + ttl)).alias("at")))
         keyed = excluded.select("key", F.col("x_at").alias("at")).distinct()
     moments = _written(moments.distinct())
+    # at an instant of an exclusion the price is 0, whatever the averages are
+    free = moments if keyed is None else _written(ttl_exclude(moments, keyed, "key", "at", exclusion_ttl_hours))
 
-    def average(hours: float, n: int, name: str) -> DataFrame:
-        found = trailing_topn_series(rows, "key", "value", "at", hours, n, keep=[grp, opt, "at"], points=moments)
-        return found.withColumnRenamed("avg_top", name)
-
-    hist, recent = average(hist_hours, hist_n, "hist"), average(recent_hours, recent_n, "recent")
-    both = hist.join(recent.select(F.col("key").alias("r_key"), F.col("at").alias("r_at"), "recent"),
-                     (F.col("key") == F.col("r_key")) & (F.col("at") == F.col("r_at")))
-    zero = F.lit(0.0)
-    price = F.greatest(F.coalesce("hist", zero), F.coalesce("recent", zero), zero)
-    steps = both.select(grp, opt, "key", "at", price.alias("price"))
-    if keyed is not None:
-        steps = _written(steps)
-        free = ttl_exclude(steps, keyed, "key", "at", exclusion_ttl_hours)
-        steps = (steps.withColumn("price", zero).unionByName(free)
-                 .groupBy(grp, opt, "key", "at").agg(F.max("price").alias("price")))
-    return steps.select(grp, opt, "at", "price")
+    def average(hours: float, n: int) -> DataFrame:
+        found = trailing_topn_series(rows, "key", "value", "at", hours, n, keep=[grp, opt, "at"], points=free)
+        return found.select(grp, opt, "at", F.col("avg_top").alias("price"))
+
+    steps = moments.select(grp, opt, "at", F.lit(0.0).alias("price"))
+    steps = steps.unionByName(average(hist_hours, hist_n)).unionByName(average(recent_hours, recent_n))
+    return steps.groupBy(grp, opt, "at").agg(F.max("price").alias("price"))
 
 
 def _with_previous(steps: DataFrame, grp: str, opt: str) -> DataFrame:

@@ -148,3 +148,17 @@ def test_many_keys_share_a_bucket(spark, scratch, kind):
         assert all(p["stateOperators"][0]["numRowsTotal"] <= 3 for p in query.recentProgress)
     got = spark.read.schema(out.schema).parquet(sink).select("event_id", "more", "user_id", "streak").collect()
     assert sorted(repr(tuple(r)) for r in got) == sorted(map(repr, want))
+
+
+def test_exclusions_are_kept_for_the_parts_of_time_they_reach(spark, scratch):
+    n, src = 200, f"{scratch}/src"
+    arrive(spark, src, [(i, i, NOW + dt.timedelta(minutes=i % 180), "error") for i in range(n)])
+    arrive(spark, src, [(n + i, i, NOW + dt.timedelta(hours=5), "view") for i in (0, 150, n)])
+    arrive(spark, src, [(n + n, 0, NOW + dt.timedelta(hours=5.2), "view")])  # moves the watermark on, but not past any reach
+    arrive(spark, src, close([(0, 0, NOW, "")]))
+    cand, exc = kinds(read_stream(spark, src, SCHEMA, 1))
+    query = start_append_stream(ttl_exclude_stream_df(cand, exc, "user_id", "ts", ttl_hours=3), f"{scratch}/sink", f"{scratch}/ck")
+    query.awaitTermination()
+    held = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"] if "Join" in op["operatorName"]]
+    assert 0 < max(held) <= 3 * n + 4
+    assert real(spark.read.parquet(f"{scratch}/sink")) == [n, n + n, n + n]
