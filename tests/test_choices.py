@@ -74,3 +74,24 @@ def test_no_prices_and_no_decisions(spark):
     assert choices_over_time(spark.createDataFrame(made(9, 1), PRICES), none, *args).collect() == []
     with pytest.raises(ValueError):
         choices_over_time(prices, some, [(1, "a", None)], "grp", "opt", "value", "ts", ["id"])
+
+
+def test_averages_are_asked_for_where_nothing_is_excluded(spark, monkeypatch):
+    asked, series = [], choices.trailing_topn_series
+
+    def counted(*args, points, **kw):
+        asked.append({(r.key, r.at) for r in points.collect()})
+        return series(*args, points=points, **kw)
+
+    monkeypatch.setattr(choices, "trailing_topn_series", counted)
+    hour = lambda h: NOW + dt.timedelta(hours=h)
+    prices = spark.createDataFrame([("a", 1, hour(0), 2.0), ("a", 1, hour(2), 8.0), ("a", None, hour(2), 4.0)], PRICES)
+    gone = spark.createDataFrame([(1, hour(1)), (None, hour(7))], "opt long, ts timestamp_ntz")
+    steps = choices.price_steps(prices, "grp", "opt", "value", "ts", exclusions=gone).collect()
+    at = {h: int((hour(h) - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for h in (0, 1, 2, 4, 7, 10)}
+    got = {(r.opt, r.at): r.price for r in steps}
+    assert len(got) == len(steps)
+    want = {(1, 0): 2.0, (1, 1): 0.0, (1, 2): 0.0, (1, 4): 5.0, (None, 2): 4.0, (None, 7): 0.0, (None, 10): 4.0}
+    assert {(o, h): got[o, at[h]] for o, h in want} == want
+    assert len(asked) == 2 and all(len(a) < len(steps) for a in asked)
+    assert not any(t in (at[1], at[2]) and '"opt":1' in key for a in asked for key, t in a)
