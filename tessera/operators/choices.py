@@ -5,17 +5,20 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.time import ts_type
 from tessera.operators.matching import _epoch_micros, check_free, ttl_exclude
-from tessera.operators.sequence import in_chunks
+from tessera.operators.sequence import begins, cut_by_range, in_chunks
 from tessera.operators.sliding import trailing_topn_series
 from tessera.session import scratch, ship_package
 
 CHUNK_ROWS = 100_000  # price changes and questions that one task sweeps, about
+STEP_ROWS = 500_000  # price changes, in the order of options, that one task links, about
 LEVELS = 40  # two to the power of so many chunks are provided for
 _HOUR = 3_600_000_000
 
@@ -40,8 +43,8 @@ def price_steps(prices: DataFrame, grp: str, opt: str, value: str, ts: str,
     time are ignored.
     """
     chosen = prices if groups is None else prices.where(F.col(grp).isin(list(groups)))
-    rows = chosen.select(grp, opt, F.col(value).alias("value"), _epoch_micros(F.col(ts), ts_type(prices, ts)).alias("at"),
-                         F.to_json(F.struct(grp, opt)).alias("key")).where(F.col("at").isNotNull())
+    rows = _written(chosen.select(grp, opt, F.col(value).alias("value"), _epoch_micros(F.col(ts), ts_type(prices, ts)).alias("at"),
+                                  F.to_json(F.struct(grp, opt)).alias("key")).where(F.col("at").isNotNull()))
     second = F.lit(1_000_000).cast("bigint")
     leaves = F.floor(F.col("at") / second).cast("bigint") * second + second  # and a window's length later it is out
     spans = [int(round(h * _HOUR)) for h in (hist_hours, recent_hours)]
@@ -58,36 +61,61 @@ def price_steps(prices: DataFrame, grp: str, opt: str, value: str, ts: str,
         met = F.lit(True)
         for c in on:
             met = met & F.col(c).eqNullSafe(F.col(f"x_{c}"))
-        excluded = options.join(out, met)  # an exclusion by option alone meets it once for each group it is in
+        # an exclusion by option alone meets it once for each group it is in
+        excluded = _written(options.join(out, met).select(grp, opt, "key", "x_at").distinct())
         moments = moments.unionByName(excluded.select(grp, opt, "key", F.explode(F.array("x_at", F.col("x_at") + ttl)).alias("at")))
-        keyed = excluded.select("key", F.col("x_at").alias("at")).distinct()
+        keyed = excluded.select("key", F.col("x_at").alias("at"))
     moments = _written(moments.distinct())
     # at an instant of an exclusion the price is 0, whatever the averages are
     free = moments if keyed is None else _written(ttl_exclude(moments, keyed, "key", "at", exclusion_ttl_hours))
 
-    def average(hours: float, n: int) -> DataFrame:
-        found = trailing_topn_series(rows, "key", "value", "at", hours, n, keep=[grp, opt, "at"], points=free)
-        return found.select(grp, opt, "at", F.col("avg_top").alias("price"))
+    lately = trailing_topn_series(rows, "key", "value", "at", recent_hours, recent_n, keep=[grp, opt, "at"], points=free)
+    lately = _written(lately.withColumnRenamed("avg_top", "__recent"))
+    both = trailing_topn_series(rows, "key", "value", "at", hist_hours, hist_n, keep=[grp, opt, "at", "__recent"], points=lately)
+    steps = moments.select(grp, opt, "at", F.lit(0.0).alias("price")).unionByName(
+        both.select(grp, opt, "at", F.greatest("__recent", "avg_top").alias("price")))
+    return _written(steps.groupBy(grp, opt, "at").agg(F.max("price").alias("price")))
+
+
+def _befores(by: list[str]):
+    """Each row of a chunk in order with the price and chunk of its option's row before, as far as the chunk has it."""
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        n = rows.num_rows
+        before = pa.array(np.arange(-1, n - 1), mask=begins(rows, by))
+        at = np.arange(n)
+        for name, column in {"__local": rows.column("price").take(before), "__from": rows.column("__b").take(before),
+                             "__first": pa.array(at == 0), "__final": pa.array(at == n - 1)}.items():
+            rows = rows.append_column(name, column)
+        yield from rows.combine_chunks().to_batches()
 
-    steps = moments.select(grp, opt, "at", F.lit(0.0).alias("price"))
-    steps = steps.unionByName(average(hist_hours, hist_n)).unionByName(average(recent_hours, recent_n))
-    return steps.groupBy(grp, opt, "at").agg(F.max("price").alias("price"))
+    return run
 
 
 def _with_previous(steps: DataFrame, grp: str, opt: str) -> DataFrame:
-    """Steps (with their chunk ``__b``) and the price and chunk of the option's step before (null for its first)."""
-    cut = in_chunks(steps, [grp, opt, "at"], "__c")
-    here = Window.partitionBy(grp, opt, "__c").orderBy("at")
-    local = cut.withColumn("__before", F.lag(F.struct("price", "__b")).over(here))
-    last = cut.groupBy(grp, opt, "__c").agg(F.max_by(F.struct("price", "__b"), "at").alias("__last"))
-    carried = last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(grp, opt).orderBy("__c"))).where(
-        F.col("__carry").isNotNull()).select(F.col(grp).alias("__g"), F.col(opt).alias("__o"), F.col("__c").alias("__k"), "__carry")
-    # a chunk goes on with one option at most, so there are fewer rows to carry than chunks
-    joined = local.join(F.broadcast(carried), F.col(grp).eqNullSafe(F.col("__g")) & F.col(opt).eqNullSafe(F.col("__o"))
-                        & (F.col("__c") == F.col("__k")), "left")
-    before = F.coalesce("__before", "__carry")
-    return joined.select(grp, opt, "at", "price", "__b", before.getField("price").alias("__was"),
-                         before.getField("__b").alias("__since"))
+    """Steps (with their chunk ``__b``) and the price and chunk of the option's step before (null for its first).
+
+    One pass in the order of options; only the first row of a chunk may have to look into an earlier one.
+    """
+    order = [grp, opt, "at"]
+    cut = cut_by_range(steps, order, "__c", STEP_ROWS, steps.count()).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    kinds = dict(cut.dtypes)
+    ship_package(steps.sparkSession)
+    local = _written(cut.mapInArrow(_befores([grp, opt]), ", ".join(f"`{c}` {k}" for c, k in kinds.items())
+                                    + ", __local double, __from bigint, __first boolean, __final boolean"))
+    # of each chunk its last row, and its first, which asks for the last row of its option before it
+    ends = (local.where("__final").select(grp, opt, "__c", F.lit(1).alias("__end"), F.struct("price", "__b").alias("__last"))
+            .unionByName(local.where("__first").select(grp, opt, "__c", F.lit(0).alias("__end")), allowMissingColumns=True))
+    carried = (ends.withColumn("__carry", F.lag("__last").over(Window.partitionBy(grp, opt).orderBy("__c", "__end")))
+               .where((F.col("__end") == 0) & F.col("__carry").isNotNull()).select(F.col("__c").alias("__k"), "__carry"))
+    joined = local.join(F.broadcast(carried), F.when(F.col("__first"), F.col("__c")) == F.col("__k"), "left")
+    return joined.select(grp, opt, "at", "price", "__b",
+                         F.coalesce("__local", F.col("__carry").getField("price")).alias("__was"),
+                         F.coalesce("__from", F.col("__carry").getField("__b")).alias("__since"))
 
 
 def _covering(steps: DataFrame, chunks: DataFrame, grp: str, opt: str) -> DataFrame:
@@ -190,8 +218,9 @@ def choices_over_time(prices: DataFrame, decisions: DataFrame, preferences: Sequ
     questions = (times.where(F.col("at").isNotNull()).withColumn("want", F.explode(wanted))
                  .select(*keep, "at", "want.*", F.lit(1).alias("__kind")))
     sequence = steps.withColumn("__kind", F.lit(0)).unionByName(questions, allowMissingColumns=True)
-    chunks = in_chunks(sequence, [grp, "at", "__kind", opt, *keep], rows_per_chunk=CHUNK_ROWS)
-    linked = _written(_with_previous(chunks.where("__kind = 0").select(grp, opt, "at", "price", "__b"), grp, opt))
+    chunks = in_chunks(sequence, [grp, "at", "__kind", opt, *keep], rows_per_chunk=CHUNK_ROWS,
+                       rows=steps.count() + decisions.count() * len(preferences))
+    linked = _with_previous(chunks.where("__kind = 0").select(grp, opt, "at", "price", "__b"), grp, opt)
     covers = _covering(linked, chunks, grp, opt)
     rows = (linked.withColumns({"__kind": F.lit(0), "__in": F.coalesce(F.col("__since") < F.col("__b"), F.lit(False))})
             .drop("__since")

@@ -93,7 +93,8 @@ def ttl_exclude(candidates: DataFrame, exclusions: DataFrame, key: str, ts: str,
            .where(F.col("__k").isNotNull() & F.col("__us").isNotNull()).distinct()
            .withColumns({"__c": F.lit(0), "__tie": F.lit(0).cast("bigint")}))
     order = ["__us", "__c", "__tie"]  # at one instant exclusions come first
-    both = in_chunks(cand.unionByName(exc, allowMissingColumns=True), ["__k", *order])
+    both = in_chunks(cand.unionByName(exc, allowMissingColumns=True), ["__k", *order],
+                     rows=candidates.count() + exclusions.count())
     w = (Window.partitionBy("__k", "__b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     excluded_at = F.when(F.col("__c") == 0, F.col("__us"))

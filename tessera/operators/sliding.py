@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.time import ts_type
 from tessera.operators.matching import _epoch_micros, check_free
-from tessera.operators.sequence import in_chunks
+from tessera.operators.sequence import begins, cut_by_range
 from tessera.session import scratch, ship_package
 
 CHUNK_ROWS = 100_000  # rows and window starts that one task takes at once, about
@@ -49,38 +50,63 @@ def _values(tops: np.ndarray) -> list[list[float]]:
     return [row[::-1][: int(np.isfinite(row).sum())].tolist() for row in tops]
 
 
-def _chunk_lists(key: str, order: list[str], keep: list[str], span: int, n: int):
-    """One chunk: each instant's list as far as the chunk goes, each window start's from there on, the chunk's own."""
+def _chunk_lists(key: str, names: list[str], span: int, n: int):
+    """One chunk, rows in order: the average of each window that lies in it; of others, the lists to be merged.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key, "__us", "__kind", *order], kind="stable", na_position="first").reset_index(drop=True)
-        null = pdf[key].isna()
-        seg = ((pdf[key] != pdf[key].shift()) & ~(null & null.shift(fill_value=False))).cumsum().to_numpy() - 1
-        first = np.flatnonzero(np.diff(seg, prepend=-1))
-        stop = np.append(first[1:], len(pdf))
-        us, kind = pdf["__us"].to_numpy(np.int64), pdf["__kind"].to_numpy(np.int64)
-        v = pd.to_numeric(pdf["__v"]).to_numpy(np.float64, na_value=np.nan, copy=True)
-        v[~np.isfinite(v) | (kind != EVENT)] = -np.inf
-        ask = np.flatnonzero(pdf["__ask"].to_numpy(bool))
+    Those are each instant's list as far as the chunk goes and, only for keys
+    that can go on in another chunk, the list from each window start on and
+    the list of the whole.
+    """
+
+    def run(batches):
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        head = begins(rows, [key])
+        seg = head.cumsum() - 1
+        first = np.flatnonzero(head)
+        stop = np.append(first[1:], len(seg))
+        us, kind = rows.column("__us").to_numpy(), rows.column("__kind").to_numpy()
+        v = rows.column("__v").to_numpy().astype(np.float64)  # NaN for null
+        valued = np.isfinite(v) & (kind == EVENT)
+        so_far = np.concatenate([[0], valued.cumsum()])
+        v = v[valued]
+        ask = np.flatnonzero(rows.column("__ask").to_numpy())
         start = (us[ask] - span) // 1_000_000 * 1_000_000
         lo = np.empty(len(ask), np.int64)
-        for s, (a, b) in enumerate(zip(first, stop)):
-            own = slice(*np.searchsorted(ask, [a, b]))
-            lo[own] = a + np.searchsorted(us[a:b], start[own])
+        own = np.searchsorted(ask, np.append(first, len(seg)))
+        for s in np.flatnonzero(np.diff(own)):
+            mine = slice(own[s], own[s + 1])
+            lo[mine] = first[s] + np.searchsorted(us[first[s]:stop[s]], start[mine])
         begin = first[seg[ask]]
         closed = (lo > begin) | ((kind[lo] == MARK) & (us[lo] == start))
-        marks = np.flatnonzero(kind == MARK)
+        marks = np.flatnonzero((kind == MARK) & (seg == seg[-1]))  # an earlier key's windows end in this chunk
         edge = np.unique([0, len(first) - 1])  # only these keys can go on in another chunk
-        tops = range_tops(v[:, None], np.concatenate([np.where(closed, lo, begin), marks, first[edge]]),
-                          np.concatenate([ask + 1, stop[seg[marks]], stop[edge]]), n)
-        rows = np.concatenate([ask, marks, first[edge]])
-        out = pdf.loc[rows, list(dict.fromkeys([*keep, key]))].reset_index(drop=True)
-        out["__b"] = pdf["__b"].to_numpy()[rows]
-        out["__kind"] = np.concatenate([np.full(len(ask), EVENT), np.full(len(marks), MARK), np.full(len(edge), WHOLE)])
-        out["__start"] = np.concatenate([start, us[marks], np.zeros(len(edge), np.int64)])
-        out["__closed"] = np.concatenate([closed, np.ones(len(marks) + len(edge), bool)])
-        out["__tops"] = _values(tops)
-        return out
+        tops = range_tops(v[:, None], so_far[np.concatenate([np.where(closed, lo, begin), marks, first[edge]])],
+                          so_far[np.concatenate([ask + 1, stop[seg[marks]], stop[edge]])], n)[:, ::-1]
+        there = np.isfinite(tops)
+        held = there.sum(axis=1)
+        total = np.zeros(len(tops))
+        with np.errstate(over="ignore"):
+            for i in range(n):  # largest first, one after the other
+                total = np.where(there[:, i], total + tops[:, i], total)
+        done = np.concatenate([closed, np.zeros(len(marks) + len(edge), bool)])
+        there[done] = False  # their average is all that is needed
+        ends = np.concatenate([[0], there.sum(axis=1).cumsum()]).astype(np.int32)
+        out = rows.select(names).take(pa.array(np.concatenate([ask, marks, first[edge]])))
+        size = [len(ask), len(marks), len(edge)]
+        more = {
+            "__b": pa.array(np.full(len(tops), rows.column("__b")[0].as_py()), pa.int64()),
+            "__kind": pa.array(np.repeat([EVENT, MARK, WHOLE], size), pa.int32()),
+            "__start": pa.array(np.concatenate([start, us[marks], np.zeros(len(edge), np.int64)]), pa.int64()),
+            "__closed": pa.array(np.concatenate([closed, np.ones(len(marks) + len(edge), bool)])),
+            "__tops": pa.ListArray.from_arrays(pa.array(ends), pa.array(tops[there])),
+            "avg_top": pa.array(total / np.maximum(held, 1), pa.float64(), mask=(held == 0) | ~done),
+        }
+        for name, column in more.items():
+            out = out.append_column(name, column)
+        yield from out.combine_chunks().to_batches()
 
     return run
 
@@ -120,9 +146,10 @@ def trailing_topn_series(events: DataFrame, key: str, value: str, ts: str, hours
     One ordered sweep, no range join: events and the distinct starts of
     their windows (whole seconds) are put in one sequence by key and time
     and cut into chunks by row counts (see ``in_chunks``), so a hot key is
-    spread over tasks. A chunk gives lists of at most n values: from each
-    start to its end, from its beginning to each event, and its own; a
-    window that began in an earlier chunk is merged from those three kinds.
+    spread over tasks. A chunk averages the windows that lie in it; for the
+    others it gives lists of at most n values: from each start to its end,
+    from its beginning to each event, and its own; a window that began in an
+    earlier chunk is merged from those three kinds.
     """
     spark, order, keep = events.sparkSession, list(order_by), list(keep)
     asked = events if points is None else points
@@ -147,19 +174,23 @@ def trailing_topn_series(events: DataFrame, key: str, value: str, ts: str, hours
     if points is not None:
         sequence = sequence.unionByName(instants.where(placed), allowMissingColumns=True)
     ties = [c for c in order if c not in (key, ts)]
-    chunks = in_chunks(sequence, [key, "__us", "__kind", *ties], rows_per_chunk=CHUNK_ROWS)
+    # a start for each instant at most
+    rows = values.count() * 2 if points is None else values.count() + instants.count() * 2
+    order = [key, "__us", "__kind", *ties]
+    chunks = cut_by_range(sequence, order, "__b", CHUNK_ROWS, rows).sortWithinPartitions(
+        *[F.col(c).asc_nulls_first() for c in order])
     kinds = {f.name: f.dataType.simpleString() for f in chunks.schema.fields}
     given = ", ".join(f"`{c}` {kinds[c]}" for c in names)
     ship_package(spark)
-    found = chunks.groupBy("__b").applyInPandas(
-        _chunk_lists(key, ties, keep, span, n),
-        f"{given}, __b bigint, __kind int, __start bigint, __closed boolean, __tops array<double>")
+    found = chunks.mapInArrow(
+        _chunk_lists(key, names, span, n),
+        f"{given}, __b bigint, __kind int, __start bigint, __closed boolean, __tops array<double>, avg_top double")
     path = scratch(spark)
     found.write.parquet(path)
     found = spark.read.schema(found.schema).parquet(path)
 
     asked_rows = found.where(F.col("__kind") == EVENT)
-    closed = asked_rows.where("__closed").select(*names, "__tops")
+    closed = asked_rows.where("__closed").select(*names, "avg_top")
     marks = found.where(F.col("__kind") == MARK).select(F.col(key).alias("__mk"), F.col("__start").alias("__ms"),
                                                         F.col("__b").alias("__from"), F.col("__tops").alias("__end"))
     opened = asked_rows.where(~F.col("__closed")).join(
@@ -174,9 +205,10 @@ def trailing_topn_series(events: DataFrame, key: str, value: str, ts: str, hours
                          & (F.col("__b") == F.col("__pb")), "left")
     none = F.array().cast("array<double>")
     every = F.sort_array(F.concat("__end", F.coalesce("__mid", none), "__tops"), asc=False)
-    tops = closed.unionByName(merged.select(*names, F.slice(every, 1, n).alias("__tops")))
     total = F.aggregate("__tops", F.lit(0.0), lambda a, x: a + x)
-    average = F.try_divide(total, F.size("__tops"))
-    out = tops.select(*names, (F.round(average, digits) if digits is not None else average).alias("avg_top"))
+    across = merged.select(*names, F.slice(every, 1, n).alias("__tops")).select(
+        *names, F.try_divide(total, F.size("__tops")).alias("avg_top"))
+    average = F.col("avg_top")
+    out = closed.unionByName(across).select(*names, (F.round(average, digits) if digits is not None else average).alias("avg_top"))
     alone = instants.where(~placed).select(*names, F.lit(None).cast("double").alias("avg_top"))
     return out.unionByName(alone)

@@ -95,3 +95,20 @@ def test_averages_are_asked_for_where_nothing_is_excluded(spark, monkeypatch):
     assert {(o, h): got[o, at[h]] for o, h in want} == want
     assert len(asked) == 2 and all(len(a) < len(steps) for a in asked)
     assert not any(t in (at[1], at[2]) and '"opt":1' in key for a in asked for key, t in a)
+
+
+def test_linked_steps_follow_on_from_earlier_chunks(spark, monkeypatch):
+    monkeypatch.setattr(choices, "STEP_ROWS", 7)
+    monkeypatch.setattr("tessera.operators.sequence.LEAST_ROWS", 7)
+    rng = random.Random(4)
+    steps = [(g, o, at, float(rng.randrange(5)), at // 10) for g, o, n in
+             [("a", 1, 30), ("a", None, 3), (None, 2, 11), ("b", 1, 1), (None, None, 25)] for at in rng.sample(range(90), n)]
+    want = {}
+    for g, o, at, price, b in sorted(steps, key=lambda s: s[2]):
+        want.setdefault((g, o), []).append((at, price, b))
+    want = {(g, o, r[0]): (b[1], b[2]) if b else (None, None)
+            for (g, o), rs in want.items() for b, r in zip([None, *rs], rs)}
+    df = spark.createDataFrame(steps, "grp string, opt long, at long, price double, __b long")
+    got = choices._with_previous(df, "grp", "opt").collect()
+    assert len(got) == len(steps)
+    assert {(r.grp, r.opt, r.at): (r["__was"], r["__since"]) for r in got} == want

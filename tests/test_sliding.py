@@ -4,9 +4,11 @@ import datetime as dt
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.operators import sliding, trailing_topn_avg, trailing_topn_series
+from tessera.operators.sequence import begins
 
 NOW = dt.datetime(2024, 5, 1)
 SCHEMA = "event_id long, k string, ts timestamp_ntz, value double"
@@ -92,3 +94,23 @@ def test_last_event_agrees_with_the_job_of_one_instant(spark):
 
 def test_no_events(spark):
     assert series(spark.createDataFrame([], SCHEMA)) == {}
+
+
+def test_lists_are_kept_for_windows_that_go_on_alone(spark, monkeypatch):
+    folders, scratch = [], sliding.scratch
+    monkeypatch.setattr(sliding, "scratch", lambda s: folders.append(scratch(s)) or folders[-1])
+    data = made(80, 3, keys=(None, *"abcdefgh"))
+    assert series(spark.createDataFrame(data, SCHEMA).repartition(1), hours=3, n=4) == brute(data, 3, 4)
+    rows = spark.read.parquet(folders[0]).collect()  # few rows: one chunk
+    assert all(len(r["__tops"]) == 0 for r in rows if r["__closed"] and r["__kind"] == sliding.EVENT)
+    assert {r.k for r in rows if r["__kind"] == sliding.MARK} == {"h"}
+
+
+def test_rows_of_a_new_key():
+    nan = float("nan")
+    table = pa.table({"a": pa.chunked_array([[None, None, nan], [nan, 0.0, -0.0, 1.0]]), "b": list("xxxxxyy"),
+                      "c": pa.array([[1], [1], [1], [1], [1], [1], None])})
+    assert begins(table, ["a"]).tolist() == [True, False, True, False, True, False, True]
+    assert begins(table, ["a", "b"]).tolist() == [True, False, True, False, True, True, True]
+    assert begins(table, ["c"]).tolist() == [True] + [False] * 5 + [True]
+    assert begins(table.slice(0, 0), ["a"]).tolist() == []
