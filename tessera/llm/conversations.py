@@ -25,14 +25,14 @@ def _xor(c: Column) -> Column:
     return F.bit_xor(c)
 
 
-def running(rows: DataFrame, key: str, order: list[str], **values: tuple) -> DataFrame:
+def running(rows: DataFrame, key: str, order: list[str], rows_known: int | None = None, **values: tuple) -> DataFrame:
     """``rows`` with running aggregates along ``order`` within ``key``; each value is (column, "sum" or "xor").
 
     Rows are cut into chunks by row counts, so that a key of very many rows
     is spread; each chunk runs on its own and one row for a chunk that goes
     on with a key carries what came before: as many rows as chunks at most.
     """
-    chunks = in_chunks(rows, [key, *order])
+    chunks = in_chunks(rows, [key, *order], rows=rows_known)
     by = [F.col(c).asc_nulls_first() for c in order]
     upto = Window.partitionBy("__b", key).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     so_far = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -68,8 +68,8 @@ def numbered_turns(convs: DataFrame, conv_col: str = "conv_id", turn_col: str =
     return ranked.select("conv_id", "k", "t1", "t2", "points")
 
 
-def rebuilt_turns(turns: DataFrame, stride: int = STRIDE, firsts: int = FIRSTS) -> tuple[DataFrame, DataFrame]:
-    """Conversations whose beginnings are another's: turns (conv_id, d, t1, t2, points) and lengths (conv_id, total).
+def beginnings(turns: DataFrame, stride: int = STRIDE, firsts: int = FIRSTS) -> DataFrame:
+    """conv_id, h (turns that it loses), base (conversation that it begins with), given (turns from there) and total.
 
     Conversation c begins with the first h turns of conversation c - c %
     stride (all if it has fewer, none if there is none), h being the CRC-32
@@ -78,26 +78,33 @@ def rebuilt_turns(turns: DataFrame, stride: int = STRIDE, firsts: int = FIRSTS)
     convs = turns.groupBy("conv_id").agg(F.max("k").alias("n"))
     h = F.crc32(F.col("conv_id").cast("string")) % firsts
     base = F.col("conv_id") - F.col("conv_id") % stride
-    bases = convs.select(F.col("conv_id").alias("b_id"), F.col("n").alias("b_n"))
-    heads = (convs.withColumns({"h": h, "base": base}).join(bases, F.col("base") == F.col("b_id"), "left")
-             .select("conv_id", "n", "h", "base", F.least("h", F.coalesce("b_n", F.lit(0))).alias("given")))
+    bases = (turns.where((F.col("conv_id") % stride == 0) & (F.col("k") < firsts))
+             .groupBy(F.col("conv_id").alias("b_id")).agg(F.max("k").alias("b_n")))
+    given = F.least("h", F.coalesce("b_n", F.lit(0)))
+    return (convs.withColumns({"h": h, "base": base}).join(bases, F.col("base") == F.col("b_id"), "left")
+            .select("conv_id", "h", "base", given.alias("given"),
+                    (given + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("total")))
+
+
+def rebuilt_turns(turns: DataFrame, heads: DataFrame, stride: int = STRIDE, firsts: int = FIRSTS) -> DataFrame:
+    """The turns (conv_id, d, t1, t2, points) of the conversations with other :func:`beginnings` (``heads``)."""
     source = (turns.where((F.col("conv_id") % stride == 0) & (F.col("k") < firsts))
               .select(F.col("conv_id").alias("b_id"), F.col("k").alias("d"), "t1", "t2", "points"))
     given = heads.join(source, (F.col("base") == F.col("b_id")) & (F.col("d") <= F.col("given")))
     own = (turns.join(heads.select("conv_id", "h", "given"), "conv_id").where("k > h")
            .withColumn("d", F.col("given") + F.col("k") - F.col("h")))
     columns = ["conv_id", "d", "t1", "t2", "points"]
-    lengths = heads.select("conv_id", (F.col("given") + F.greatest(F.col("n") - F.col("h"), F.lit(0))).alias("total"))
-    return given.select(*columns).unionByName(own.select(*columns)), lengths
+    return given.select(*columns).unionByName(own.select(*columns))
 
 
-def hashed_prefixes(turns: DataFrame) -> DataFrame:
+def hashed_prefixes(turns: DataFrame, rows: int | None = None) -> DataFrame:
     """s, d, x1, x2 (128-bit hash of the first d turns), points (of turn d) and points_to (of the first d).
 
     The hash is the exclusive or of the hashes of (place, turn), so it runs
-    along a conversation and is carried from chunk to chunk.
+    along a conversation and is carried from chunk to chunk. ``rows`` is
+    their number, where the caller knows it.
     """
-    hashed = running(turns, "conv_id", ["d"], x1=(F.xxhash64("d", "t1", "t2"), "xor"),
+    hashed = running(turns, "conv_id", ["d"], rows_known=rows, x1=(F.xxhash64("d", "t1", "t2"), "xor"),
                      x2=(F.xxhash64("t2", "d", "t1"), "xor"), points_to=(F.col("points"), "sum"))
     return hashed.select(F.col("conv_id").alias("s"), "d", "x1", "x2", "points", "points_to")
 
@@ -260,11 +267,12 @@ def conversation_trie(convs: DataFrame, conv_col: str = "conv_id", turn_col: str
     """
     spark = convs.sparkSession
     turns = written(spark, numbered_turns(convs, conv_col, turn_col, role_col, text_col))
-    again, lengths = rebuilt_turns(turns, stride, firsts)
-    prefixes = written(spark, hashed_prefixes(again))
-    lengths = written(spark, lengths)
-    out = prefix_nodes(lengths, prefixes)
-    for table in (turns, prefixes, lengths):
+    heads = written(spark, beginnings(turns, stride, firsts))
+    again = rebuilt_turns(turns, heads, stride, firsts)
+    n = heads.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    prefixes = written(spark, hashed_prefixes(again, n))
+    out = prefix_nodes(heads.select("conv_id", "total"), prefixes)
+    for table in (turns, prefixes, heads):
         release(table)
     return out
 

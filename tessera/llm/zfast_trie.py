@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import release, written
 
 BATCHES = (1 / 8, 1.0)  # share of the strings in the trie after each batch
+BLOCK = 1 << 10  # depths of a string whose nodes are put in order together
 _NODES = ("rep long, len long, plen long, f long, h1 long, h2 long, c1 long, c2 long, e1 long, e2 long")
 
 
@@ -127,43 +128,58 @@ def _locate(spark: SparkSession, strings: DataFrame, nodes: DataFrame, prefixes:
     return out
 
 
-def _insert(spark: SparkSession, at: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
+def _above(rows: DataFrame, block: int) -> DataFrame:
+    """``rows`` (s, l, d, ...) with plen: the next smaller d of the same s, or l if there is none.
+
+    Depths are compared within blocks of them; one row for each block that
+    holds any carries the last one of the block before, so a string of very
+    many nodes is spread.
+    """
+    rows = rows.withColumn("block", F.floor(F.col("d") / block))
+    within = F.lag("d").over(Window.partitionBy("s", "block").orderBy("d"))
+    last = rows.where(F.col("total") >= block).groupBy("s", "block").agg(F.max("d").alias("last"))
+    before = last.select(F.col("s").alias("b_s"), F.col("block").alias("b_block"),
+                         F.lag("last").over(Window.partitionBy("s").orderBy("block")).alias("before"))
+    return (rows.withColumn("within", within)
+            .join(before, (F.col("s") == F.col("b_s")) & (F.col("block") == F.col("b_block")), "left")
+            .withColumn("plen", F.coalesce("within", "before", "l")))
+
+
+def _insert(spark: SparkSession, at: DataFrame, nodes: DataFrame, prefixes: DataFrame, block: int = BLOCK) -> DataFrame:
     """The nodes with the strings at positions ``at`` (of :func:`_locate`) in the trie.
 
-    Edges are split where strings leave or end. Of the strings that go on
-    alike from one place the smallest becomes a leaf; the others go down its
-    new edge to where they part from it, and are inserted there in the next
-    round, until none is left: as many rounds as branches lie on a new path.
+    Edges are split where strings leave or end. Beyond that place all
+    prefixes of a string are new, and whatever strings share one have left
+    at the same place. So one grouping by hash finds the new extents: the
+    prefixes where a string ends or from which strings go on differently.
     """
-    same = ["rep", "len", "l"]
-    while True:
-        rest = written(spark, _hash_at(at.where("l < total"), prefixes, "s", F.col("l") + 1, "n1", "n2"))
-        leaves = (rest.groupBy(*same, "n1", "n2").agg(F.min(F.struct("s", "total")).alias("leaf"))
-                  .select(*same, "n1", "n2", "leaf.*"))
-        cuts = at.where("plen < l and l < len").select("rep", "len", "plen", "l").distinct()
-        above = F.lag("l").over(Window.partitionBy("rep", "len").orderBy("l"))
-        upper = cuts.withColumn("above", above).select("rep", F.col("l").alias("len"),
-                                                       F.coalesce("above", "plen").alias("plen"))
-        lower = cuts.groupBy("rep", "len").agg(F.max("l").alias("plen"))
-        ends = leaves.select(F.col("s").alias("rep"), F.col("total").alias("len"), F.col("l").alias("plen"))
-        new = _keyed(upper.unionByName(lower).unionByName(ends), prefixes)
-        grown = written(spark, nodes.join(lower.select("rep", "len"), ["rep", "len"], "left_anti").unionByName(new))
-        to = leaves.select(*[F.col(c).alias(f"t_{c}") for c in leaves.columns])
-        alike = (F.col("rep").eqNullSafe(F.col("t_rep")) & (F.col("len") == F.col("t_len")) & (F.col("l") == F.col("t_l"))
-                 & (F.col("n1") == F.col("t_n1")) & (F.col("n2") == F.col("t_n2")))
-        others = rest.join(to, alike).where("s != t_s").select(
-            "s", "total", F.col("t_s").alias("rep"), F.col("t_total").alias("len"), F.col("l").alias("plen"),
-            (F.col("l") + 1).alias("lo"))
-        left = written(spark, _common(others, prefixes))
-        for table in (rest, at, nodes):
-            release(table)
-        at, nodes = left, grown
-        if at.isEmpty():
-            release(at)
-            return nodes
-
-
-def build(strings: DataFrame, prefixes: DataFrame, batches: tuple[float, ...] = BATCHES) -> DataFrame:
+    p = prefixes.select(F.col("s").alias("p_s"), "d", "x1", "x2")
+    paths = (at.where("l < total").select("s", "total", "l").join(p, (F.col("s") == F.col("p_s")) & (F.col("d") > F.col("l")))
+             .drop("p_s"))
+    paths = written(spark, _hash_at(paths, prefixes, "s", F.col("d") + 1, "n1", "n2"))
+    extents = (paths.groupBy("d", "x1", "x2").agg(
+        F.min("s").alias("rep"), F.max(F.col("d") == F.col("total")).alias("ends"),
+        ((F.min("n1") != F.max("n1")) | (F.min("n2") != F.max("n2"))).alias("parts"))
+        .where("ends or parts").select("d", "x1", "x2", "rep"))
+    below = (_above(paths.join(extents, ["d", "x1", "x2"]).select("s", "total", "l", "d", "rep"), block)
+             .where("s = rep").select("rep", F.col("d").alias("len"), "plen"))
+    cuts = at.where("plen < l and l < len").select("rep", "len", "plen", "l").distinct()
+    edge = Window.partitionBy("rep", "len").orderBy("l")
+    cuts = cuts.withColumns({"above": F.lag("l").over(edge), "lowest": F.lead("l").over(edge).isNull()})
+    upper = F.struct(F.col("l").alias("len"), F.coalesce("above", "plen").alias("plen"))
+    lower = F.when(F.col("lowest"), F.struct(F.col("len").alias("len"), F.col("l").alias("plen")))
+    split = (cuts.select("rep", F.explode(F.array(upper, lower)).alias("part")).where("part is not null")
+             .select("rep", "part.len", "part.plen"))
+    new = _keyed(below.unionByName(split), prefixes)
+    gone = at.where("plen < l and l < len").select("rep", "len").distinct()
+    grown = written(spark, nodes.join(gone, ["rep", "len"], "left_anti").unionByName(new))
+    for table in (paths, at, nodes):
+        release(table)
+    return grown
+
+
+def build(strings: DataFrame, prefixes: DataFrame, batches: tuple[float, ...] = BATCHES,
+          block: int = BLOCK) -> DataFrame:
     """The nodes but the root: rep, len, plen, f, h1, h2, c1, c2, e1, e2.
 
     ``strings`` are (s, total): different strings, which may begin alike or be
@@ -177,11 +193,17 @@ def build(strings: DataFrame, prefixes: DataFrame, batches: tuple[float, ...] =
     spark = strings.sparkSession
     nodes = written(spark, spark.createDataFrame([], _NODES))
     share = F.pmod(F.xxhash64("s"), F.lit(1 << 20)) / float(1 << 20)
-    low = 0.0
+    low, planted, zero = 0.0, False, F.lit(0).cast("long")
     for high in batches:
         batch = written(spark, strings.where((F.col("total") > 0) & (share >= low) & (share < high)).select("s", "total"))
         if not batch.isEmpty():
-            nodes = _insert(spark, _locate(spark, batch, nodes, prefixes), nodes, prefixes)
+            if planted:
+                at = _locate(spark, batch, nodes, prefixes)
+            else:  # every string leaves the empty trie at its root
+                at = written(spark, batch.select("s", "total", F.lit(None).cast("long").alias("rep"),
+                                                 *[zero.alias(c) for c in ("len", "plen", "l")]))
+            nodes = _insert(spark, at, nodes, prefixes, block)
+            planted = True
         release(batch)
         low = high
     return nodes

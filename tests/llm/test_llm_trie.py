@@ -115,3 +115,34 @@ def test_batches_give_the_same_nodes(spark):
     every = {w[:d] for w in words for d in range(1, len(w) + 1)}
     ends = {p for p in every if p in words or sum(p + (x,) in every for x in (0, 1)) == 2}
     assert found[0] == found[1] and len(found[0]) == len(ends)
+
+
+def chain(spark, n):
+    """Strings each of which goes on from the one before, as ``strings`` and ``prefixes``."""
+    strings = spark.createDataFrame([(s, s) for s in range(1, n + 1)], "s long, total long")
+    return strings, strings.select("s", F.explode(F.sequence(F.lit(1).cast("long"), "total")).alias("d")).select(
+        "s", "d", F.xxhash64("d").alias("x1"), F.xxhash64(F.lit(1), "d").alias("x2"))
+
+
+def test_a_batch_is_inserted_at_once_however_many_branches_follow_each_other(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(zfast_trie, "written", lambda spark, df: tables.append(0) or C.written(spark, df))
+    count = {}
+    for n in (3, 12):
+        tables.clear()
+        nodes = zfast_trie.build(*chain(spark, n), batches=(1.0,)).collect()
+        assert sorted((r.plen, r["len"]) for r in nodes) == [(d - 1, d) for d in range(1, n + 1)]
+        count[n] = len(tables)
+    assert count[3] == count[12]
+
+
+def test_nodes_of_a_string_put_in_order_in_blocks_of_depths(spark):
+    strings, prefixes = chain(spark, 40)
+    some = strings.where("s in (1, 2, 9, 16, 17, 40)").unionByName(spark.createDataFrame([(99, 40)], strings.schema))
+    prefixes = prefixes.join(some.select("s"), "s", "left_semi")
+    twin = prefixes.where("s = 40").select(F.lit(99).cast("long").alias("s"), "d", *[  # parts from s = 40 after 23
+        F.when(F.col("d") > 23, -F.col("d")).otherwise(F.col(x)).alias(x) for x in ("x1", "x2")])
+    for batches, block in (((1.0,), 4), ((0.5, 1.0), 1)):
+        nodes = zfast_trie.build(some, prefixes.unionByName(twin), batches, block).collect()
+        assert sorted((r.plen, r["len"]) for r in nodes) == [(0, 1), (1, 2), (2, 9), (9, 16), (16, 17), (17, 23),
+                                                             (23, 40), (23, 40)]
