@@ -220,8 +220,8 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = True, pattern
     """Records and quarantined gaps of the archives in a folder, compressed by members or plain.
 
     A row with a null ``reason`` is a record that passed every check
-    (members' CRC and size, version line, header, length, end mark, block
-    and payload digest); any other is a gap: bytes [start, end) of
+    (members' CRC and size, version line, header, length, record id, end
+    mark, block and payload digest); any other is a gap: bytes [start, end) of
     ``archive`` in no valid record, and the first check that failed. After a
     failure reading goes on at the next valid member or version line, so
     later records are recovered. Archives are the files whose names match

@@ -84,6 +84,8 @@ def _parse(data: bytes, at: int) -> tuple[Record | None, str]:
     size = headers.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         return None, "no content length"
+    if not headers.get("warc-record-id"):
+        return None, "no record id"
     first = stop + len(RECORD_END)
     last = first + int(size)
     if last > len(data):
@@ -128,8 +130,8 @@ def _member_records(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]
 def salvage(data: bytes, members: bool = True) -> Iterator[Record | Gap]:
     """Every valid record of an archive in order, and the gaps between them.
 
-    Where a record or gzip member fails a check (version line, header,
-    length, end mark, CRC, size, block digest), the bytes from there are
+    Where a record or gzip member fails a check (version line, header, length,
+    record id, end mark, CRC, size, block digest), the bytes from there are
     quarantined up to the next place at which a member unpacks or a version
     line begins a record that passes; reading goes on there. Records and
     gaps cover all bytes. Zero bytes between records are padding, no gap. A

@@ -161,6 +161,14 @@ def test_reasons_and_places():
     assert list(salvage(b"nothing here")) == [Gap(0, 12, "no version line")]
 
 
+def test_a_record_that_lost_its_id_is_a_gap():
+    a, b, c = records(3)
+    for hurt in (b.replace(b"WARC-Record-ID", b"WARC-Record-HD"), b.replace(b"<urn:page:1:0>", b"")):
+        found = list(salvage(a + hurt + c))
+        assert [x.headers["warc-record-id"] for x in found if isinstance(x, Record)] == ["<urn:page:0:0>", "<urn:page:2:0>"]
+        assert found[1] == Gap(len(a), len(a) + len(hurt), "no record id") and covers(found, len(a + hurt + c))
+
+
 def test_damaged_files_through_spark(spark, scratch, tmp_path):
     rows = [page(i, f"page {i} " * 50) for i in range(60)]
     path = f"{scratch}/damaged"
