@@ -1,6 +1,7 @@
 """The language model against counts in plain Python."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -159,6 +160,34 @@ def test_maps_are_bounded(spark, odd, monkeypatch):
     assert 0 < len(model._maps) <= 5
 
 
+def test_files_do_not_grow_with_owners(spark, odd):
+    """As many files, and as many opened by a chunk, for 16 owners of keys as for 256; all scores alike."""
+    few, many = train(odd, per_shard=1_000_000), train(odd, per_shard=50)
+    assert len(few.grams[0].bases) == 17 and len(many.grams[0].bases) == 257
+    files = [sorted(os.listdir(m.folder)) for m in (few, many)]
+    assert files[0] == files[1] and len(files[0]) < 30
+    data = "the quick brown fox".encode()
+    for m in (few, many):
+        m.score(next(ngram_lm.pieces(np.frombuffer(data, np.uint8), np.array([0, len(data)]), m.lead))[2])
+        assert len(m._maps) < 25
+    scores = [sorted((str(r.doc_id), r.n_tokens, round(r.score, 9)) for r in score_documents(odd, m).collect())
+              for m in (few, many)]
+    assert scores[0] == scores[1]
+
+
+@pytest.mark.parametrize("width", [3, 20, 47, 64])
+def test_distinct_keys(width):
+    rng = np.random.default_rng(width)
+    for n in (0, 1, 2, 5000):
+        keys = rng.integers(0, 1 << min(width, 63), n).astype(np.uint64) << np.uint64(width == 64)
+        keys = np.concatenate([keys, keys[: n // 3]])
+        distinct, back = ngram_lm._distinct(keys, width)
+        assert (distinct[back] == keys).all() and set(distinct.tolist()) == set(keys.tolist())
+        assert len(distinct) <= len(keys)
+        if width + 13 <= 64:
+            assert (distinct == np.unique(keys)).all()
+
+
 def test_very_long_text_in_slices(spark):
     """Twelve million bytes in one row: counted and scored in slices, as counts say."""
     words = np.array(["alpha", "beta", "gamma", "delta", "eps", "zeta"])
